@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Reference-data sides (zone lookups, master key sets) are broadcast only when this check passes.
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows. Reads at most ``max_rows + 1`` rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` when the row bound holds, else ``df`` unchanged (shuffle join; AQE may
+    still convert it at run time from measured sizes)."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df

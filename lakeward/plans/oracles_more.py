@@ -3,3 +3,57 @@
 from __future__ import annotations
 
 from .oracles import oracle  # noqa: F401
+
+from .oracles import MASTER, TRIPS, ZONES, with_
+
+CLOCK = "TIMESTAMP '2025-01-01 00:00:00'"
+
+VALIDATED = f"""
+validated AS (
+  SELECT *, tpep_pickup_datetime AS pickup_ts, tpep_dropoff_datetime AS dropoff_ts,
+    CAST(tpep_pickup_datetime AS DATE) AS pickup_date,
+    'validated' AS governance_zone, {CLOCK} AS ingested_at, 'NYC_TLC' AS source_system
+  FROM trips
+  WHERE tpep_pickup_datetime IS NOT NULL AND tpep_dropoff_datetime IS NOT NULL
+    AND tpep_dropoff_datetime >= tpep_pickup_datetime AND TRY_CAST(fare_amount AS DOUBLE) > 0
+)"""
+
+DURATION = """(FLOOR(EPOCH(dropoff_ts))::BIGINT - FLOOR(EPOCH(pickup_ts))::BIGINT) / 60.0::DOUBLE"""
+
+PARTS = """
+parts AS (
+  SELECT CAST(p_partkey AS INTEGER) AS LocationID, p_brand AS Borough, p_name AS Zone, p_type AS service_zone
+  FROM part
+)"""
+
+oracle("validated_trips", f"{with_(TRIPS, VALIDATED)}\nSELECT * FROM validated")
+oracle("trip_duration", f"{with_(TRIPS, VALIDATED)}\nSELECT *, {DURATION} AS trip_duration_min FROM validated")
+oracle("enriched_trips", f"""{with_(TRIPS, VALIDATED, ZONES, MASTER)},
+lookup AS (SELECT CAST(LocationID AS VARCHAR) AS location_id, Zone AS zone_name, Borough AS borough, service_zone
+           FROM master)
+SELECT v.* REPLACE ('curated' AS governance_zone), {DURATION} AS trip_duration_min,
+  pu.location_id AS pu_location_id, pu.zone_name AS pu_zone, pu.borough AS pu_borough,
+  pu.service_zone AS pu_service_zone,
+  dz.location_id AS do_location_id, dz.zone_name AS do_zone, dz.borough AS do_borough,
+  dz.service_zone AS do_service_zone,
+  {CLOCK} AS curated_at
+FROM validated v
+LEFT JOIN lookup pu ON v.PULocationID = TRY_CAST(pu.location_id AS INTEGER)
+LEFT JOIN lookup dz ON v.DOLocationID = TRY_CAST(dz.location_id AS INTEGER)""")
+oracle("zone_lookup_csv", f"""{with_(PARTS)}
+SELECT CAST(LocationID AS VARCHAR) AS LocationID, Borough, Zone, service_zone FROM parts""")
+oracle("zone_lookup_typed", f"{with_(PARTS)}\nSELECT * FROM parts")
+
+_DECL_TYPES = [("VendorID", "int", "INTEGER"), ("tpep_pickup_datetime", "timestamp", "TIMESTAMP"),
+               ("tpep_dropoff_datetime", "timestamp", "TIMESTAMP"), ("passenger_count", "int", "INTEGER"),
+               ("trip_distance", "double", "DOUBLE"), ("RatecodeID", "int", "INTEGER"),
+               ("store_and_fwd_flag", "string", "VARCHAR"), ("PULocationID", "int", "INTEGER"),
+               ("DOLocationID", "int", "INTEGER"), ("fare_amount", "double", "DOUBLE"),
+               ("extra", "double", "DOUBLE"), ("tip_amount", "double", "DOUBLE"),
+               ("tolls_amount", "double", "DOUBLE"), ("total_amount", "double", "DOUBLE")]
+_conf = "\nUNION ALL ".join(
+    f"SELECT '{n}' AS column_name, '{t}' AS declared_type, '{t}' AS actual_type, "
+    f"COUNT(*) FILTER (WHERE {n} IS NOT NULL AND TRY_CAST({n} AS {d}) IS NULL) AS nonconforming_rows, "
+    f"COUNT(*) FILTER (WHERE {n} IS NULL) AS null_rows, COUNT(*) AS total_rows FROM trips"
+    for n, t, d in _DECL_TYPES)
+oracle("schema_conformance", f"{with_(TRIPS)}\n{_conf}")

@@ -57,3 +57,113 @@ _conf = "\nUNION ALL ".join(
     f"COUNT(*) FILTER (WHERE {n} IS NULL) AS null_rows, COUNT(*) AS total_rows FROM trips"
     for n, t, d in _DECL_TYPES)
 oracle("schema_conformance", f"{with_(TRIPS)}\n{_conf}")
+
+# ------------------------------------------------------------------------------------ matching
+
+SUPPLIERS = """
+sups AS (
+  SELECT CAST(s_suppkey AS INTEGER) AS LocationID, CAST(s_nationkey AS VARCHAR) AS Borough, s_name AS Zone,
+         CAST(NULL AS VARCHAR) AS service_zone
+  FROM supplier
+)"""
+
+
+def norm(col: str) -> str:
+    return (f"TRIM(REGEXP_REPLACE(REGEXP_REPLACE(UPPER(CAST({col} AS VARCHAR)), '[^A-Z0-9 ]', ' ', 'g'), "
+            f"'\\s+', ' ', 'g'))")
+
+
+def r4(x: str) -> str:
+    """Round half-up on the shortest decimal text of a double, as Spark's round(double, 4) does."""
+    return f"CAST(ROUND(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18)), 4) AS DOUBLE)"
+
+
+def std(src: str) -> str:
+    return f"""
+z AS (
+  SELECT LocationID AS location_id, Borough, Zone, service_zone,
+    {norm('Zone')} AS zone_norm, {norm('Borough')} AS borough_norm
+  FROM {src}
+),
+zk AS (SELECT *, CONCAT_WS('::', borough_norm, zone_norm) AS match_key FROM z)"""
+
+
+SIM = (f"CASE WHEN GREATEST(LENGTH(zone_a), LENGTH(zone_b)) = 0 THEN 0.0::DOUBLE ELSE "
+       f"{r4('1 - LEVENSHTEIN(zone_a, zone_b) / GREATEST(LENGTH(zone_a), LENGTH(zone_b))')} END")
+
+PAIRS = f"""
+pairs AS (
+  SELECT a.location_id AS id_a, b.location_id AS id_b, a.zone_norm AS zone_a, b.zone_norm AS zone_b,
+         a.borough_norm AS borough
+  FROM zk a JOIN zk b ON a.borough_norm = b.borough_norm AND a.location_id < b.location_id
+),
+s1 AS (SELECT *, {SIM} AS name_similarity, SPLIT_PART(zone_a, ' ', 1) AS token_a,
+         SPLIT_PART(zone_b, ' ', 1) AS token_b FROM pairs),
+s2 AS (SELECT *, CASE WHEN token_a = token_b THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS token_match FROM s1),
+s3 AS (SELECT *, {r4('name_similarity * 0.9::DOUBLE + token_match * 0.1::DOUBLE')} AS match_confidence FROM s2),
+scored AS (SELECT *, CASE WHEN match_confidence >= 0.95::DOUBLE THEN 'AUTO_MERGE'
+                          WHEN match_confidence >= 0.8::DOUBLE THEN 'STEWARD_REVIEW' ELSE 'REJECT' END AS decision
+           FROM s3)"""
+
+PARTS_M = with_(PARTS, std("parts"), PAIRS)
+SUPS_M = with_(SUPPLIERS, std("sups"), PAIRS)
+_PAIR_COLS = ("id_a, id_b, zone_a, zone_b, borough, name_similarity, token_a, token_b, token_match, "
+              "match_confidence, decision")
+
+oracle("normalized_names", f"{with_(PARTS, std('parts'))}\nSELECT * FROM zk")
+oracle("normalized_names_declared", f"""{with_(PARTS)},
+z AS (SELECT LocationID AS location_id, Borough, Zone, service_zone, {norm('Zone')} AS zone_norm,
+             UPPER(TRIM(Borough)) AS borough_norm,
+             UPPER(TRIM(Borough)) || '::' || UPPER(TRIM(Zone)) AS declared_key FROM parts)
+SELECT *, CONCAT_WS('::', borough_norm, zone_norm) AS match_key FROM z""")
+oracle("dup_by_match_key", f"""{with_(PARTS, std('parts'))}
+SELECT match_key, COUNT(*) AS count FROM zk GROUP BY match_key HAVING COUNT(*) > 1""")
+oracle("dup_by_id", f"""{with_(PARTS, SUPPLIERS)}, both_src AS (SELECT * FROM parts UNION ALL SELECT * FROM sups)
+SELECT LocationID AS location_id, COUNT(*) AS count FROM both_src GROUP BY LocationID HAVING COUNT(*) > 1""")
+oracle("match_name_pairs", f"""{PARTS_M}
+SELECT borough, LEAST(zone_a, zone_b) AS zone_u, GREATEST(zone_a, zone_b) AS zone_v, name_similarity,
+  SPLIT_PART(LEAST(zone_a, zone_b), ' ', 1) AS token_u, SPLIT_PART(GREATEST(zone_a, zone_b), ' ', 1) AS token_v,
+  token_match, match_confidence, decision, COUNT(*) AS pair_count
+FROM scored WHERE match_confidence >= 0.8::DOUBLE
+GROUP BY ALL""")
+oracle("match_decisions", f"""{PARTS_M}
+SELECT {_PAIR_COLS} FROM scored WHERE decision <> 'REJECT' AND zone_a <> zone_b""")
+oracle("match_decisions_suppliers", f"""{SUPS_M}
+SELECT {_PAIR_COLS} FROM scored WHERE decision <> 'REJECT' AND zone_a <> zone_b""")
+oracle("steward_queue", f"""{PARTS_M}
+SELECT id_a, id_b, zone_a, zone_b, borough, name_similarity, match_confidence, decision,
+  'PENDING' AS review_status, {CLOCK} AS submitted_at_utc
+FROM scored WHERE decision = 'STEWARD_REVIEW' AND zone_a <> zone_b""")
+
+
+def _audit(base: str) -> str:
+    return f"""{base}
+SELECT (SELECT COUNT(*) FROM zk) AS total_zone_rows, COUNT(*) AS total_pairs_compared,
+  COUNT(*) FILTER (WHERE decision = 'AUTO_MERGE') AS auto_merge_pairs,
+  COUNT(*) FILTER (WHERE decision = 'STEWARD_REVIEW') AS steward_review_pairs,
+  COUNT(*) FILTER (WHERE decision = 'REJECT') AS reject_pairs,
+  0.95::DOUBLE AS high_conf_threshold, 0.8::DOUBLE AS med_conf_threshold
+FROM scored"""
+
+
+oracle("match_audit", _audit(PARTS_M))
+oracle("match_audit_suppliers", _audit(SUPS_M))
+oracle("golden_master", f"""{with_(PARTS, std('parts'))},
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY match_key ORDER BY location_id NULLS FIRST,
+             Borough NULLS FIRST, Zone NULLS FIRST, service_zone NULLS FIRST, zone_norm NULLS FIRST,
+             borough_norm NULLS FIRST) AS rn FROM zk)
+SELECT * EXCLUDE (rn), 'ACTIVE' AS mdm_state, {CLOCK} AS created_at_utc, {CLOCK} AS updated_at_utc,
+  'min(location_id) per match_key' AS survivorship_rule
+FROM ranked WHERE rn = 1""")
+oracle("survivorship_first_non_null", f"""{with_(PARTS, std('parts'))}
+SELECT match_key, MIN(location_id) AS location_id,
+  ARG_MIN(Zone, location_id) FILTER (WHERE Zone IS NOT NULL) AS Zone,
+  ARG_MIN(Borough, location_id) FILTER (WHERE Borough IS NOT NULL) AS Borough,
+  ARG_MIN(service_zone, location_id) FILTER (WHERE service_zone IS NOT NULL) AS service_zone
+FROM zk GROUP BY match_key""")
+oracle("match_heuristic", f"""{PARTS_M},
+np AS (SELECT borough, LEAST(zone_a, zone_b) AS zone_u, GREATEST(zone_a, zone_b) AS zone_v, COUNT(*) AS pair_count
+       FROM scored WHERE match_confidence >= 0.8::DOUBLE GROUP BY ALL)
+SELECT *, CASE WHEN zone_u = zone_v THEN 1.0::DOUBLE ELSE 0.85::DOUBLE END AS heuristic_score,
+  CASE WHEN zone_u = zone_v THEN 'AUTO_MERGE' ELSE 'STEWARD_REVIEW' END AS heuristic_decision
+FROM np""")

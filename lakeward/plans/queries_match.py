@@ -1,3 +1,99 @@
-"""Registered queries (filled in below)."""
+"""Registered matching / dedup queries (M-01..M-16, J-03, J-06, W-01, O-01, O-02, A-04, A-13)."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import matching as m
+from ..sources import fixtures as fx
+from .catalog import RUN_CLOCK, query
+
+
+def _parts(spark, sf_dir):
+    return m.standardize(fx.part_entities(spark, sf_dir))
+
+
+def _suppliers(spark, sf_dir):
+    return m.standardize(fx.supplier_entities(spark, sf_dir))
+
+
+@query("normalized_names")
+def normalized_names(spark, sf_dir):
+    """Standardised names, blocks and match keys of the part entities."""
+    return _parts(spark, sf_dir)
+
+
+@query("normalized_names_declared")
+def normalized_names_declared(spark, sf_dir):
+    """Declared standardisation: block upper+trim only, and the declared key expression."""
+    e = fx.part_entities(spark, sf_dir)
+    return m.standardize(e, borough_mode="upper_trim").withColumn("declared_key", m.declared_match_key(e))
+
+
+@query("dup_by_match_key")
+def dup_by_match_key(spark, sf_dir):
+    """Match keys held by more than one entity row."""
+    return m.dup_by_match_key(_parts(spark, sf_dir))
+
+
+@query("dup_by_id")
+def dup_by_id(spark, sf_dir):
+    """Ids held by more than one row when two sources (parts and suppliers) are loaded together."""
+    both = fx.part_entities(spark, sf_dir).unionByName(fx.supplier_entities(spark, sf_dir))
+    return m.dup_by_id(m.standardize(both))
+
+
+@query("match_name_pairs")
+def match_name_pairs(spark, sf_dir):
+    """Actionable name pairs per block with the number of entity pairs each stands for."""
+    return m.name_pair_scores(_parts(spark, sf_dir))
+
+
+@query("match_decisions")
+def match_decisions(spark, sf_dir):
+    """Id-level AUTO_MERGE / STEWARD_REVIEW pairs between different names (parts by brand)."""
+    return m.match_decisions(_parts(spark, sf_dir))
+
+
+@query("match_decisions_suppliers")
+def match_decisions_suppliers(spark, sf_dir):
+    """Id-level actionable pairs of suppliers blocked by nation."""
+    return m.match_decisions(_suppliers(spark, sf_dir))
+
+
+@query("steward_queue")
+def steward_queue(spark, sf_dir):
+    """Steward review queue (PENDING), highest confidence first."""
+    return m.steward_queue(m.match_decisions(_parts(spark, sf_dir)), now=RUN_CLOCK)
+
+
+@query("match_audit")
+def match_audit(spark, sf_dir):
+    """Run audit: rows, pairs compared, pairs per decision band (parts by brand)."""
+    return m.match_audit(_parts(spark, sf_dir))
+
+
+@query("match_audit_suppliers")
+def match_audit_suppliers(spark, sf_dir):
+    """Run audit for suppliers blocked by nation."""
+    return m.match_audit(_suppliers(spark, sf_dir))
+
+
+@query("golden_master")
+def golden_master(spark, sf_dir):
+    """One row per match key: the row of the smallest id, stamped ACTIVE."""
+    return m.golden_master(_parts(spark, sf_dir), now=RUN_CLOCK)
+
+
+@query("survivorship_first_non_null")
+def survivorship_first_non_null(spark, sf_dir):
+    """Attribute-wise survivorship per match key (MIN id, FIRST_NON_NULL by id)."""
+    return m.survivorship_first_non_null(_parts(spark, sf_dir))
+
+
+@query("match_heuristic")
+def match_heuristic(spark, sf_dir):
+    """Declared heuristic scorer (1.0 equal key, else 0.85) over the actionable name pairs."""
+    pairs = m.name_pair_scores(_parts(spark, sf_dir))
+    return m.heuristic_scores(pairs).select("borough", "zone_u", "zone_v", "pair_count",
+                                            "heuristic_score", "heuristic_decision")

@@ -167,3 +167,88 @@ np AS (SELECT borough, LEAST(zone_a, zone_b) AS zone_u, GREATEST(zone_a, zone_b)
 SELECT *, CASE WHEN zone_u = zone_v THEN 1.0::DOUBLE ELSE 0.85::DOUBLE END AS heuristic_score,
   CASE WHEN zone_u = zone_v THEN 'AUTO_MERGE' ELSE 'STEWARD_REVIEW' END AS heuristic_decision
 FROM np""")
+
+# ----------------------------------------------------------------------------------- lifecycle
+
+JOB = "'lakeward_check'"
+ORPH = f"""
+ti AS (SELECT *, PULocationID AS PULocationID_int, DOLocationID AS DOLocationID_int FROM trips),
+orph AS (
+  SELECT *, 'PICKUP_NOT_IN_MASTER' AS orphan_type FROM ti
+  WHERE NOT EXISTS (SELECT 1 FROM master m WHERE m.LocationID = ti.PULocationID_int)
+  UNION ALL
+  SELECT *, 'DROPOFF_NOT_IN_MASTER' AS orphan_type FROM ti
+  WHERE NOT EXISTS (SELECT 1 FROM master m WHERE m.LocationID = ti.DOLocationID_int)
+)"""
+oracle("orphans_all", f"""{with_(TRIPS, ZONES, MASTER, ORPH)}
+SELECT *, {JOB} AS job_name, {CLOCK} AS detected_at_utc FROM orph""")
+oracle("orphans_pickup", f"""{with_(TRIPS, ZONES, MASTER, ORPH)}
+SELECT *, {JOB} AS job_name, {CLOCK} AS detected_at_utc FROM orph WHERE orphan_type = 'PICKUP_NOT_IN_MASTER'""")
+
+STATES = """
+st AS (
+  SELECT *, (['PROPOSED', 'ACTIVE', 'DEPRECATED', 'RETIRED', 'REJECTED'])[(LocationID % 5) + 1] AS mdm_state,
+    CAST(DATE '2020-01-01' + CAST(LocationID AS INTEGER) AS DATE) AS state_date
+  FROM parts
+)"""
+oracle("lifecycle_snapshot", f"""{with_(PARTS, STATES)}
+SELECT mdm_state, COUNT(*) AS record_count, {JOB} AS job_name, {CLOCK} AS snapshot_at_utc FROM st GROUP BY mdm_state""")
+oracle("lifecycle_snapshot_default", f"""{with_(PARTS)}
+SELECT 'ACTIVE' AS mdm_state, COUNT(*) AS record_count, {JOB} AS job_name, {CLOCK} AS snapshot_at_utc
+FROM parts HAVING COUNT(*) > 0""")
+
+_REQ = [("PROPOSED", ["submitted_at_utc", "submitted_by", "review_reason"]),
+        ("ACTIVE", ["created_at_utc", "updated_at_utc", "source_system"]),
+        ("DEPRECATED", ["deprecated_at_utc", "deprecated_reason"]),
+        ("RETIRED", ["retired_at_utc", "retired_reason", "retention_until"]),
+        ("REJECTED", ["rejected_at_utc", "reject_reason"])]
+_PRESENT = {"created_at_utc", "updated_at_utc", "source_system", "deprecated_at_utc", "deprecated_reason",
+            "submitted_at_utc"}
+_miss = ", ".join(
+    f"CASE WHEN r.to_state = '{s}' AND {(f + ' IS NULL') if f in _PRESENT else 'TRUE'} THEN '{f}' END"
+    for s, fs in _REQ for f in fs)
+oracle("transition_check", f"""{with_(PARTS, STATES)},
+req AS (
+  SELECT LocationID AS location_id, mdm_state AS from_state,
+    (['PROPOSED', 'ACTIVE', 'DEPRECATED', 'RETIRED', 'REJECTED'])[((LocationID + 1) % 5) + 1] AS to_state,
+    {CLOCK} AS created_at_utc, {CLOCK} AS updated_at_utc,
+    CASE WHEN service_zone IS NOT NULL THEN 'raw_reference' END AS source_system,
+    CASE WHEN LENGTH(Zone) > 9 THEN {CLOCK} END AS deprecated_at_utc,
+    'superseded' AS deprecated_reason, {CLOCK} AS submitted_at_utc
+  FROM st),
+edges(from_state, to_state) AS (VALUES ('PROPOSED', 'ACTIVE'), ('PROPOSED', 'REJECTED'), ('ACTIVE', 'DEPRECATED'),
+  ('DEPRECATED', 'RETIRED'), ('DEPRECATED', 'ACTIVE')),
+chk AS (
+  SELECT r.*, e.from_state IS NOT NULL AS is_allowed, CONCAT_WS(',', {_miss}) AS missing_fields
+  FROM req r LEFT JOIN edges e ON r.from_state = e.from_state AND r.to_state = e.to_state)
+SELECT *, is_allowed AND missing_fields = '' AS is_valid FROM chk""")
+oracle("retention_expired", f"""{with_(PARTS, STATES)},
+r AS (SELECT *, CAST(state_date + CAST(CASE mdm_state WHEN 'ACTIVE' THEN 3650 WHEN 'DEPRECATED' THEN 3650
+         WHEN 'RETIRED' THEN 3650 WHEN 'REJECTED' THEN 365 END AS INTEGER) AS DATE) AS retention_until FROM st)
+SELECT *, TRUE AS is_expired FROM r WHERE retention_until < DATE '2035-01-01'""")
+
+NEWSNAP = """
+sized AS (SELECT CAST(p_partkey AS INTEGER) AS LocationID, p_brand AS Borough, p_name AS Zone, p_type AS service_zone,
+                 p_size FROM part),
+newsnap AS (
+  SELECT LocationID, Borough, Zone,
+    CASE WHEN p_size <= 6 THEN service_zone || ' REVISED' ELSE service_zone END AS service_zone
+  FROM sized WHERE p_size > 2
+  UNION ALL
+  SELECT -LocationID - 1, Borough, Zone, service_zone FROM sized WHERE p_size >= 49
+)"""
+oracle("master_cdc", f"""{with_(PARTS, NEWSNAP)}
+SELECT COALESCE(n.LocationID, o.LocationID) AS LocationID,
+  CASE WHEN n.LocationID IS NULL THEN o.Borough ELSE n.Borough END AS Borough,
+  CASE WHEN n.LocationID IS NULL THEN o.Zone ELSE n.Zone END AS Zone,
+  CASE WHEN n.LocationID IS NULL THEN o.service_zone ELSE n.service_zone END AS service_zone,
+  CASE WHEN o.LocationID IS NULL THEN 'INSERT' WHEN n.LocationID IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS change_type
+FROM parts o FULL OUTER JOIN newsnap n ON o.LocationID = n.LocationID
+WHERE o.LocationID IS NULL OR n.LocationID IS NULL
+   OR o.Borough IS DISTINCT FROM n.Borough OR o.Zone IS DISTINCT FROM n.Zone
+   OR o.service_zone IS DISTINCT FROM n.service_zone""")
+oracle("run_summary", f"""{with_(TRIPS, ZONES, MASTER, ORPH)}
+SELECT 'audit/history' AS audit_history_out_path, 'curated/trips' AS curated_trips_path,
+  'audit/lifecycle' AS lifecycle_snapshot_path, 'master/zones' AS master_zones_path,
+  'audit/orphans' AS orphans_out_path, {JOB} AS job_name, COUNT(*) AS orphans_count, {CLOCK} AS generated_at_utc
+FROM orph""")

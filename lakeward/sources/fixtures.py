@@ -23,10 +23,10 @@ DROPOFF_NULL_NATION = 7
 MASTER_BOROUGHS = ["AMERICA", "ASIA", "EUROPE"]
 STATE_CYCLE = ["PROPOSED", "ACTIVE", "DEPRECATED", "RETIRED", "REJECTED"]
 STATE_EPOCH = "2020-01-01"
-CDC_DROP_MOD = 7
-CDC_CHANGE_MOD = 5
-CDC_ADD_MOD = 11
-CDC_ADD_OFFSET = 100
+CDC_DELETE_MAX_SIZE = 2
+CDC_UPDATE_MAX_SIZE = 6
+CDC_INSERT_MIN_SIZE = 49
+CHANGE_FIELD_MIN_LEN = 9
 # ---------------------------------------------------------------------------------------------
 
 
@@ -88,29 +88,52 @@ def master_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones(spark, sf_dir).filter(F.col("Borough").isin(MASTER_BOROUGHS))
 
 
-def zones_with_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zones with a lifecycle state and a state date derived from the id."""
-    z = zones(spark, sf_dir)
+def with_state(entities: DataFrame) -> DataFrame:
+    """Entities with a lifecycle state and a state date derived from the id."""
     states = F.array(*[F.lit(s) for s in STATE_CYCLE])
-    return z.select(
+    return entities.select(
         "*",
         F.element_at(states, (F.col("LocationID") % len(STATE_CYCLE)) + 1).alias("mdm_state"),
         F.date_add(F.lit(STATE_EPOCH).cast("date"), F.col("LocationID")).alias("state_date"),
     )
 
 
-def zones_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 'new' snapshot of the CDC pair: some rows dropped, some changed, some added."""
-    z = zones(spark, sf_dir)
-    kept = z.filter(F.col("LocationID") % CDC_DROP_MOD != 0).withColumn(
+def change_requests(entities: DataFrame, clock: str) -> DataFrame:
+    """Each entity asks to move to the next state of the cycle; some required fields are filled."""
+    states = F.array(*[F.lit(s) for s in STATE_CYCLE])
+    e = with_state(entities)
+    ts = F.lit(clock).cast("timestamp")
+    return e.select(
+        F.col("LocationID").alias("location_id"),
+        F.col("mdm_state").alias("from_state"),
+        F.element_at(states, ((F.col("LocationID") + 1) % len(STATE_CYCLE)) + 1).alias("to_state"),
+        ts.alias("created_at_utc"), ts.alias("updated_at_utc"),
+        F.when(F.col("service_zone").isNotNull(), F.lit("raw_reference")).alias("source_system"),
+        F.when(F.length("Zone") > CHANGE_FIELD_MIN_LEN, ts).alias("deprecated_at_utc"),
+        F.lit("superseded").alias("deprecated_reason"),
+        ts.alias("submitted_at_utc"),
+    )
+
+
+def changed_snapshot(entities: DataFrame, size_col: str = "p_size") -> DataFrame:
+    """The 'new' snapshot of a CDC pair, from attribute rules: small sizes deleted, a size band
+    re-typed, the largest sizes re-keyed as new entities (negative ids)."""
+    kept = entities.filter(F.col(size_col) > CDC_DELETE_MAX_SIZE).withColumn(
         "service_zone",
-        F.when(F.col("LocationID") % CDC_CHANGE_MOD == 0, F.concat(F.col("service_zone"), F.lit(" changed")))
+        F.when(F.col(size_col) <= CDC_UPDATE_MAX_SIZE, F.concat(F.col("service_zone"), F.lit(" REVISED")))
          .otherwise(F.col("service_zone")))
-    added = z.filter(F.col("LocationID") % CDC_ADD_MOD == 0).withColumn(
-        "LocationID", F.col("LocationID") + F.lit(CDC_ADD_OFFSET))
+    added = entities.filter(F.col(size_col) >= CDC_INSERT_MIN_SIZE).withColumn(
+        "LocationID", -F.col("LocationID") - 1)
     return kept.unionByName(added)
 
 
+def part_entities_sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part entities with the size attribute used to derive snapshot changes."""
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("int").alias("LocationID"), F.col("p_brand").alias("Borough"),
+        F.col("p_name").alias("Zone"), F.col("p_type").alias("service_zone"), "p_size")
+
+
 def part_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as MDM entities: id, blocking attribute (brand), name; grows with the scale factor."""
     return table(spark, sf_dir, "part").select(

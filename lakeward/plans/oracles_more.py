@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracles import oracle  # noqa: F401
+from .oracles import ORACLES, oracle  # noqa: F401
 
 from .oracles import MASTER, TRIPS, ZONES, with_
 
@@ -252,3 +252,37 @@ SELECT 'audit/history' AS audit_history_out_path, 'curated/trips' AS curated_tri
   'audit/lifecycle' AS lifecycle_snapshot_path, 'master/zones' AS master_zones_path,
   'audit/orphans' AS orphans_out_path, {JOB} AS job_name, COUNT(*) AS orphans_count, {CLOCK} AS generated_at_utc
 FROM orph""")
+
+# ----------------------------------------------------------------------------------- snapshots
+
+oracle("snapshot_current", f"{with_(TRIPS, VALIDATED)}\nSELECT * FROM validated")
+oracle("partition_day_counts", f"{with_(TRIPS, VALIDATED)}\nSELECT pickup_date, COUNT(*) AS trips FROM validated GROUP BY ALL")
+oracle("time_travel_version", f"{with_(PARTS)}\nSELECT * FROM parts")
+oracle("time_travel_timestamp", f"{with_(PARTS, NEWSNAP)}\nSELECT * FROM newsnap")
+oracle("snapshot_append_current", f"""{with_(PARTS, NEWSNAP)}
+SELECT * FROM newsnap UNION ALL SELECT * FROM newsnap WHERE LocationID < 0""")
+oracle("table_history", f"""{with_(PARTS, NEWSNAP, TRIPS, VALIDATED)},
+h(table_name, version, operation, committed_at_utc, num_output_rows, mode) AS (
+  SELECT 'master_zones', 0::BIGINT, 'WRITE', TIMESTAMP '2025-01-01 00:00:00', (SELECT COUNT(*) FROM parts), 'Overwrite'
+  UNION ALL SELECT 'master_zones', 1, 'WRITE', TIMESTAMP '2025-01-01 01:00:00', (SELECT COUNT(*) FROM newsnap), 'Overwrite'
+  UNION ALL SELECT 'master_zones', 2, 'APPEND', TIMESTAMP '2025-01-01 02:00:00',
+    (SELECT COUNT(*) FROM newsnap WHERE LocationID < 0), 'Append'
+  UNION ALL SELECT 'curated_trips', 0, 'WRITE', TIMESTAMP '2025-01-01 00:00:00', (SELECT COUNT(*) FROM validated),
+    'Overwrite')
+SELECT *, {JOB} AS job_name, {CLOCK} AS captured_at_utc FROM h""")
+_GATE_TRIPS = with_(TRIPS, __import__("lakeward.plans.oracles", fromlist=["flagged_cte"]).flagged_cte())
+oracle("pipeline_runs", f"""{_GATE_TRIPS}
+SELECT {JOB} AS job_name, 'dev' AS environment, 'SUCCEEDED' AS status, CAST(NULL AS VARCHAR) AS error_message,
+  COUNT(*) AS records_in, COUNT(*) FILTER (WHERE dq_pass) AS records_out,
+  COUNT(*) FILTER (WHERE NOT dq_pass) AS rejects_count
+FROM flagged""")
+oracle("gate_curated_written", f"{_GATE_TRIPS}\nSELECT * EXCLUDE (dq_pass) FROM flagged WHERE dq_pass")
+oracle("gate_quarantine_written", f"{_GATE_TRIPS}\nSELECT * FROM flagged WHERE NOT dq_pass")
+oracle("gate_report_json", f"""{_GATE_TRIPS}
+SELECT COUNT(*) AS total_rows, COUNT(*) FILTER (WHERE dq_pass) AS passed_rows,
+  COUNT(*) FILTER (WHERE NOT dq_pass) AS failed_rows,
+  COUNT(*) FILTER (WHERE NOT pickup_before_dropoff) AS pickup_before_dropoff_fail_count,
+  COUNT(*) FILTER (WHERE NOT ratecode_range) AS ratecode_range_fail_count, {JOB} AS job_name
+FROM flagged""")
+oracle("catalog_tables", ORACLES["golden_master"])
+oracle("archive_expired", ORACLES["retention_expired"])

@@ -47,11 +47,16 @@ class SnapshotTable:
         self.ledger_path = f"{self.root}/_ledger"
 
     # ------------------------------------------------------------------ ledger
+    def _ledger_exists(self) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.ledger_path)
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
     def history(self) -> DataFrame:
         """All versions, newest first (empty frame for a new table)."""
-        try:
+        if self._ledger_exists():
             led = self.spark.read.schema(LEDGER_SCHEMA).parquet(self.ledger_path)
-        except Exception:
+        else:
             led = self.spark.createDataFrame([], LEDGER_SCHEMA)
         return led.orderBy(F.desc("version"))
 
@@ -86,6 +91,20 @@ class SnapshotTable:
         self.spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.ledger_path)
         return version
 
+    def register(self, folders: list[str], metrics: dict, mode: str = "overwrite", operation: str = "WRITE",
+                 parameters: dict | None = None, partition_by: list[str] | None = None,
+                 now: dt.datetime | None = None) -> int:
+        """Commit data folders written by someone else (e.g. one side of a partitioned write)."""
+        entries = self._entries()
+        version = (entries[0]["version"] + 1) if entries else 0
+        prev = list(entries[0]["files"]) if entries and mode == "append" else []
+        params = {"mode": mode.capitalize()}
+        params.update({k: str(v) for k, v in (parameters or {}).items()})
+        row = (version, now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), operation, params,
+               {k: str(v) for k, v in metrics.items()}, None, prev + list(folders), list(partition_by or []))
+        self.spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.ledger_path)
+        return version
+
     # ------------------------------------------------------------------ read
     def _entry(self, version: int | None = None, timestamp: str | dt.datetime | None = None) -> dict:
         entries = self._entries()

@@ -286,3 +286,50 @@ SELECT COUNT(*) AS total_rows, COUNT(*) FILTER (WHERE dq_pass) AS passed_rows,
 FROM flagged""")
 oracle("catalog_tables", ORACLES["golden_master"])
 oracle("archive_expired", ORACLES["retention_expired"])
+
+# ---------------------------------------------------------------------------------- stewardship
+
+GOLD = f"""
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY match_key ORDER BY location_id NULLS FIRST,
+             Borough NULLS FIRST, Zone NULLS FIRST, service_zone NULLS FIRST, zone_norm NULLS FIRST,
+             borough_norm NULLS FIRST) AS rn FROM zk),
+gold AS (SELECT * EXCLUDE (rn), 'ACTIVE' AS mdm_state, {CLOCK} AS created_at_utc, {CLOCK} AS updated_at_utc,
+  'min(location_id) per match_key' AS survivorship_rule FROM ranked WHERE rn = 1)"""
+oracle("master_table_shape", f"""{with_(PARTS, std('parts'), GOLD)}
+SELECT ROW_NUMBER() OVER (ORDER BY match_key) AS golden_id, location_id, Borough AS borough, Zone AS zone_name,
+  service_zone, match_key, CAST(1 AS DECIMAL(5,4)) AS match_confidence, survivorship_rule, mdm_state,
+  'raw_reference' AS source_system, created_at_utc, updated_at_utc, 'data_owner_masterdata' AS data_owner,
+  'data_steward_masterdata' AS data_steward, 'internal' AS classification, 'v1' AS version_tag
+FROM gold""")
+QUEUE = f"""
+queue AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY s.id_a, s.id_b) AS queue_id, s.id_b AS location_id, r.Borough AS borough,
+    r.Zone AS zone_name, r.service_zone, r.match_key, CAST(s.match_confidence AS DECIMAL(5,4)) AS match_confidence,
+    s.decision, 'possible duplicate of ' || CAST(s.id_a AS VARCHAR) || ' (' || s.zone_a || ')' AS review_reason,
+    'OPEN' AS status, 'data_steward_masterdata' AS assigned_to, {CLOCK} AS submitted_at_utc,
+    {CLOCK} AS updated_at_utc
+  FROM scored s JOIN zk r ON r.location_id = s.id_b AND r.zone_norm = s.zone_b AND r.borough_norm = s.borough
+  WHERE s.decision = 'STEWARD_REVIEW' AND s.zone_a <> s.zone_b
+),
+applied AS (
+  SELECT * REPLACE (
+    CASE WHEN match_confidence >= 0.9 THEN 'APPROVED' WHEN match_confidence < 0.82 THEN 'REJECTED'
+         ELSE 'IN_REVIEW' END AS status,
+    CASE WHEN (CASE WHEN match_confidence >= 0.9 THEN 'APPROVED' WHEN match_confidence < 0.82 THEN 'REJECTED'
+         ELSE 'IN_REVIEW' END) <> status THEN TIMESTAMP '2025-01-02 00:00:00' ELSE updated_at_utc END
+      AS updated_at_utc)
+  FROM queue
+)"""
+oracle("steward_queue_table", f"{PARTS_M}, {QUEUE}\nSELECT * FROM queue")
+oracle("steward_apply", f"{PARTS_M}, {QUEUE}\nSELECT * FROM applied")
+oracle("steward_master_after", f"""{PARTS_M}, {QUEUE}, {GOLD}
+SELECT g.location_id, g.match_key,
+  CASE WHEN a.location_id IS NOT NULL AND g.mdm_state = 'ACTIVE' THEN 'DEPRECATED' ELSE g.mdm_state END AS mdm_state,
+  CASE WHEN a.location_id IS NOT NULL AND g.mdm_state = 'ACTIVE' THEN TIMESTAMP '2025-01-02 00:00:00'
+       ELSE g.updated_at_utc END AS updated_at_utc
+FROM gold g LEFT JOIN (SELECT DISTINCT location_id FROM applied WHERE status = 'APPROVED') a
+  ON g.location_id = a.location_id""")
+oracle("match_jaro_winkler", f"""{PARTS_M}
+SELECT borough, LEAST(zone_a, zone_b) AS zone_u, GREATEST(zone_a, zone_b) AS zone_v, COUNT(*) AS pair_count,
+  {r4('JARO_WINKLER_SIMILARITY(LEAST(zone_a, zone_b), GREATEST(zone_a, zone_b))')} AS jaro_winkler
+FROM scored WHERE match_confidence >= 0.8::DOUBLE GROUP BY ALL""")

@@ -97,3 +97,63 @@ def match_heuristic(spark, sf_dir):
     pairs = m.name_pair_scores(_parts(spark, sf_dir))
     return m.heuristic_scores(pairs).select("borough", "zone_u", "zone_v", "pair_count",
                                             "heuristic_score", "heuristic_decision")
+
+
+def _queue(spark, sf_dir):
+    from ..operators import stewardship as sw
+
+    z = _parts(spark, sf_dir)
+    return sw.queue_table(m.match_decisions(z), z, now=RUN_CLOCK)
+
+
+def _steward_decisions(queue):
+    """Steward verdicts derived from the confidence band of each queue entry."""
+    status = (F.when(F.col("match_confidence") >= F.lit(0.9), F.lit("APPROVED"))
+               .when(F.col("match_confidence") < F.lit(0.82), F.lit("REJECTED"))
+               .otherwise(F.lit("IN_REVIEW")))
+    return queue.select("queue_id", status.alias("status"))
+
+
+@query("master_table_shape")
+def master_table_shape(spark, sf_dir):
+    """Golden master in the relational master-table shape with dense golden ids."""
+    from ..operators import stewardship as sw
+
+    return sw.master_table(m.golden_master(_parts(spark, sf_dir), now=RUN_CLOCK))
+
+
+@query("steward_queue_table")
+def steward_queue_table(spark, sf_dir):
+    """Steward review queue in the relational shape (one OPEN entry per review pair)."""
+    return _queue(spark, sf_dir)
+
+
+@query("steward_apply")
+def steward_apply(spark, sf_dir):
+    """Queue after applying steward verdicts (APPROVED / REJECTED / IN_REVIEW)."""
+    from ..operators import stewardship as sw
+
+    q = _queue(spark, sf_dir)
+    return sw.apply_decisions(q, _steward_decisions(q), now="2025-01-02 00:00:00")
+
+
+@query("steward_master_after")
+def steward_master_after(spark, sf_dir):
+    """Master after approvals: approved duplicates move ACTIVE -> DEPRECATED (rows kept)."""
+    from ..operators import stewardship as sw
+
+    q = _queue(spark, sf_dir)
+    applied = sw.apply_decisions(q, _steward_decisions(q), now="2025-01-02 00:00:00")
+    golden = m.golden_master(_parts(spark, sf_dir), now=RUN_CLOCK)
+    return sw.master_after_approvals(golden, applied, now="2025-01-02 00:00:00").select(
+        "location_id", "match_key", "mdm_state", "updated_at_utc")
+
+
+@query("match_jaro_winkler")
+def match_jaro_winkler(spark, sf_dir):
+    """Jaro-Winkler scorer (Arrow UDF) over the actionable distinct name pairs."""
+    from ..functions.similarity_udf import jaro_winkler_similarity
+
+    pairs = m.name_pair_scores(_parts(spark, sf_dir))
+    return pairs.select("borough", "zone_u", "zone_v", "pair_count",
+                        jaro_winkler_similarity("zone_u", "zone_v").alias("jaro_winkler"))

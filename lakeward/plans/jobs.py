@@ -129,6 +129,9 @@ def quality_gate_job(spark: SparkSession, source: DataFrame, curated_root: str,
     rules = q.code_rules(source) if rules is None else rules
     flagged = q.flag_frame(source, rules)
     obs = Observation("quality_gate")
+    if partition_by:
+        # high-cardinality output partitions (days): cluster first so a task writes few files
+        flagged = flagged.hint("rebalance", q.DQ_PASS, *partition_by)
     observed = flagged.observe(obs, *q.report_measures(rules))
     run_dir = f"{quarantine_root.rstrip('/')}/run={uuid.uuid4().hex[:12]}"
     observed.write.mode("error").partitionBy(q.DQ_PASS, *(partition_by or [])).parquet(run_dir)

@@ -76,6 +76,10 @@ class SnapshotTable:
         version = (entries[0]["version"] + 1) if entries else 0
         folder = f"{self.root}/v={version}"
         obs = Observation(f"commit_{version}")
+        if partition_by:
+            # cluster rows by the partition value before the write: each task then writes few
+            # files instead of one per (task, day); AQE splits a hot day and merges small ones
+            df = df.hint("rebalance", *partition_by)
         observed = df.observe(obs, F.count(F.lit(1)).alias("numOutputRows"))
         w = observed.write.mode("error")
         if partition_by:

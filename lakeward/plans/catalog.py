@@ -36,6 +36,6 @@ def query(name: str):
 
 def queries() -> dict[str, QueryFn]:
     # import for the registration side effect
-    from . import queries_gate, queries_ingest, queries_lifecycle, queries_match, queries_snap  # noqa: F401
+    from . import queries_gate, queries_ingest, queries_lifecycle, queries_match, queries_snap, queries_stream  # noqa: F401
 
     return dict(REGISTRY)

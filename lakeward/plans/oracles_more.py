@@ -284,6 +284,13 @@ SELECT COUNT(*) AS total_rows, COUNT(*) FILTER (WHERE dq_pass) AS passed_rows,
   COUNT(*) FILTER (WHERE NOT pickup_before_dropoff) AS pickup_before_dropoff_fail_count,
   COUNT(*) FILTER (WHERE NOT ratecode_range) AS ratecode_range_fail_count, {JOB} AS job_name
 FROM flagged""")
+oracle("gate_stream_passed", ORACLES["gate_curated_written"])
+oracle("gate_stream_report", f"""{_GATE_TRIPS}
+SELECT COUNT(*) AS total_rows, COUNT(*) FILTER (WHERE dq_pass) AS passed_rows,
+  COUNT(*) FILTER (WHERE NOT dq_pass) AS failed_rows,
+  COUNT(*) FILTER (WHERE NOT pickup_before_dropoff) AS pickup_before_dropoff_fail_count,
+  COUNT(*) FILTER (WHERE NOT ratecode_range) AS ratecode_range_fail_count
+FROM flagged""")
 oracle("catalog_tables", ORACLES["golden_master"])
 oracle("archive_expired", ORACLES["retention_expired"])
 

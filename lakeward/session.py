@@ -15,6 +15,11 @@ from pyspark.sql import SparkSession
 UTC = "UTC"
 
 
+def _listing_tasks(cores: int | str) -> int:
+    n = (os.cpu_count() or 8) if str(cores) == "*" else int(cores)
+    return 4 * n
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "lakeward") -> SparkSession:
     """A local session configured like the cluster profile (AQE on, UTC, no UI)."""
     builder = (
@@ -28,6 +33,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", UTC)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # file listing of a day-partitioned table: one listing task per folder by default
+        # (up to 10,000); a few tasks per core is enough and saves the scheduling cost
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(_listing_tasks(cores)))
         .config("spark.driver.memory", os.environ.get("LAKEWARD_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()

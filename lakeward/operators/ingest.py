@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import governance as gov
 from ..functions.time import as_timestamp, duration_minutes, stamp
 from ..sources.files import first_existing
+from ..functions.casts import text_to_int, to_int
 from .joins import broadcast_if_bounded
 
 
@@ -76,7 +77,7 @@ def role_lookup(lookup: DataFrame, prefix: str) -> DataFrame:
         F.col("zone_name").alias(f"{prefix}_zone"),
         F.col("borough").alias(f"{prefix}_borough"),
         F.col("service_zone").alias(f"{prefix}_service_zone"),
-        F.col("location_id").cast("string").try_cast("int").alias(f"_{prefix}_key"),
+        text_to_int(F.col("location_id")).alias(f"_{prefix}_key"),
     )
 
 
@@ -100,12 +101,12 @@ def enrich_trips(validated: DataFrame, zones: DataFrame, now=None,
         side = role_lookup(lookup, prefix)
         if is_broadcast:
             side = F.broadcast(side)
-        df = df.join(side, F.col(key).try_cast("int") == F.col(f"_{prefix}_key"), "left").drop(f"_{prefix}_key")
+        df = df.join(side, to_int(df, key) == F.col(f"_{prefix}_key"), "left").drop(f"_{prefix}_key")
     return governance_stamp(df, gov.ZONE_CURATED, "curated_at", now)
 
 
 def lookup_fanout(zones: DataFrame) -> DataFrame:
     """Lookup ids present more than once (each such id multiplies the matching trips)."""
     lookup = standard_zone_lookup(zones)
-    return (lookup.groupBy(F.col("location_id").cast("string").try_cast("int").alias("location_id"))
+    return (lookup.groupBy(text_to_int(F.col("location_id")).alias("location_id"))
                   .agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Reference-data sides (zone lookups, master key sets) are broadcast only when this check passes.
+# Reference-data sides (zone lookups, master key sets) are broadcast only when both bounds hold.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+_FIXED_WIDTH = 8  # bytes charged per value besides its text length
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -14,7 +16,20 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when the row bound holds, else ``df`` unchanged (shuffle join; AQE may
-    still convert it at run time from measured sizes)."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def size_within(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows whose values take at most ``max_bytes``
+    (text length of every value + a fixed width per value). One pass over at most ``max_rows + 1``
+    rows, so the check itself is bounded whatever the size of ``df``."""
+    width = sum(F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns)
+    row = (df.limit(max_rows + 1)
+             .agg(F.count(F.lit(1)).alias("n"),
+                  F.coalesce(F.sum(width + F.lit(_FIXED_WIDTH * len(df.columns))), F.lit(0)).alias("b"))
+             .first())
+    return row.n <= max_rows and row.b <= max_bytes
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                         max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` when the row and byte bounds hold, else ``df`` unchanged (shuffle join;
+    AQE may still convert it at run time from measured sizes)."""
+    return F.broadcast(df) if size_within(df, max_rows, max_bytes) else df

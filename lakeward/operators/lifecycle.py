@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import governance as gov
+from ..functions.casts import to_int
 from ..functions.time import stamp
 from ..sources.files import require_columns, resolve_any
 from .joins import broadcast_if_bounded
@@ -17,7 +18,7 @@ from .joins import broadcast_if_bounded
 def master_ids(master: DataFrame) -> DataFrame:
     """Distinct integer ids of the master (``LocationID`` or ``location_id``); bad text dropped."""
     idc = resolve_any(master, "LocationID", "location_id", what="master")
-    return master.select(F.col(idc).cast("string").try_cast("int").alias("_mid")).dropna().distinct()
+    return master.select(to_int(master, idc).alias("_mid")).dropna().distinct()
 
 
 def orphans(trips: DataFrame, master: DataFrame, job_name: str, now=None,
@@ -30,7 +31,7 @@ def orphans(trips: DataFrame, master: DataFrame, job_name: str, now=None,
     """
     require_columns(trips, *[k for k, _ in roles], what="trips")
     ids = broadcast_if_bounded(master_ids(master))
-    df = trips.withColumns({f"{k}_int": F.col(k).cast("string").try_cast("int") for k, _ in roles})
+    df = trips.withColumns({f"{k}_int": to_int(trips, k) for k, _ in roles})
     for i, (k, _) in enumerate(roles):
         df = df.join(ids.select(F.col("_mid").alias(f"_hit{i}")), F.col(f"{k}_int") == F.col(f"_hit{i}"), "left")
     kinds = F.array(*[F.when(F.col(f"_hit{i}").isNull(), F.lit(t)) for i, (_, t) in enumerate(roles)])

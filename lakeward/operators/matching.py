@@ -26,10 +26,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import governance as gov
 from ..functions import text as tx
+from ..functions.casts import to_int
 from ..functions.time import stamp
 from ..sources.files import require_columns, resolve_any
 
@@ -49,11 +49,7 @@ def standardize(entities: DataFrame, borough_mode: str = "normalize") -> DataFra
     """
     require_columns(entities, "LocationID", what="zone reference")
     zone_col = resolve_any(entities, "Zone", "zone_name", what="zone reference")
-    id_type = entities.schema["LocationID"].dataType
-    z = entities.withColumnRenamed("LocationID", ID)
-    if not isinstance(id_type, T.IntegerType):
-        z = z.withColumn(ID, F.col(ID).cast("string").try_cast("int") if isinstance(id_type, T.StringType)
-                         else F.col(ID).try_cast("int"))
+    z = entities.withColumn("LocationID", to_int(entities, "LocationID")).withColumnRenamed("LocationID", ID)
     cols = {NAME: tx.normalize_text(zone_col)}
     if "Borough" in entities.columns:
         cols[BLOCK] = tx.normalize_text("Borough") if borough_mode == "normalize" else tx.upper_trim("Borough")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import governance as gov
 from ..functions.time import as_timestamp
 from ..sources.files import first_existing
+from ..functions.casts import to_int
 from .joins import broadcast_if_bounded
 
 DQ_PASS = "dq_pass"
@@ -216,9 +217,9 @@ def null_profile(df: DataFrame, columns: list[str] | None = None, max_null_share
 def referential_split(trips: DataFrame, master_ids: DataFrame, key: str, id_col: str = "LocationID",
                       max_broadcast_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows whose ``key`` is in the master, rows whose key is not — NULL keys included)."""
-    ids = master_ids.select(F.col(id_col).try_cast("int").alias("_rid")).dropna().distinct()
+    ids = master_ids.select(to_int(master_ids, id_col).alias("_rid")).dropna().distinct()
     ids = broadcast_if_bounded(ids, max_broadcast_rows) if max_broadcast_rows else broadcast_if_bounded(ids)
-    k = F.col(key).try_cast("int")
+    k = to_int(trips, key)
     return (trips.join(ids, k == F.col("_rid"), "left_semi"),
             trips.join(ids, k == F.col("_rid"), "left_anti"))
 
@@ -231,8 +232,8 @@ def referential_integrity(trips: DataFrame, master_ids: DataFrame, keys=("PULoca
     scanned once and aggregated with partial aggregation.
     """
     ids = broadcast_if_bounded(
-        master_ids.select(F.col(id_col).try_cast("int").alias("_rid")).dropna().distinct())
-    j = trips.select(*[F.col(k).try_cast("int").alias(k) for k in keys])
+        master_ids.select(to_int(master_ids, id_col).alias("_rid")).dropna().distinct())
+    j = trips.select(*[to_int(trips, k).alias(k) for k in keys])
     for i, k in enumerate(keys):
         hit = ids.select(F.col("_rid").alias(f"_hit{i}"))
         j = j.join(hit, F.col(k) == F.col(f"_hit{i}"), "left")

@@ -46,3 +46,14 @@ def test_jaro_winkler_reference_values():
     assert round(jaro_winkler("DIXON", "DICKSONX"), 4) == 0.8133
     assert jaro_winkler("", "") == 0.0 and jaro_winkler("A", "A") == 1.0
     assert jaro_winkler(None, "A") is None
+
+
+def test_text_to_int_reads_ids_like_the_lenient_cast(spark):
+    from lakeward.functions.casts import text_to_int
+
+    cases = [("1", 1), ("1.0", 1), ("-7.9", -7), (" 42 ", 42), ("+5", 5), (".", 0), ("5.", 5),
+             ("N/A", None), ("", None), ("-", None), ("1e3", None), ("2147483647", 2147483647),
+             ("2147483648", None), ("-2147483648.5", -2147483648), (None, None)]
+    df = spark.createDataFrame([(t,) for t, _ in cases], "t string")
+    got = [r.v for r in df.select(text_to_int(F.col("t")).alias("v")).collect()]
+    assert got == [v for _, v in cases]

@@ -184,6 +184,10 @@ oracle("orphans_all", f"""{with_(TRIPS, ZONES, MASTER, ORPH)}
 SELECT *, {JOB} AS job_name, {CLOCK} AS detected_at_utc FROM orph""")
 oracle("orphans_pickup", f"""{with_(TRIPS, ZONES, MASTER, ORPH)}
 SELECT *, {JOB} AS job_name, {CLOCK} AS detected_at_utc FROM orph WHERE orphan_type = 'PICKUP_NOT_IN_MASTER'""")
+oracle("orphans_dropoff", f"""{with_(TRIPS, ZONES, MASTER)}
+SELECT *, DOLocationID AS DOLocationID_int, 'DROPOFF_NOT_IN_MASTER' AS orphan_type, {JOB} AS job_name,
+  {CLOCK} AS detected_at_utc
+FROM trips t WHERE NOT EXISTS (SELECT 1 FROM master m WHERE m.LocationID = t.DOLocationID)""")
 
 STATES = """
 st AS (

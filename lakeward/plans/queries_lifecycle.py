@@ -28,6 +28,13 @@ def orphans_pickup(spark, sf_dir):
     return _orphans(spark, sf_dir).filter(F.col("orphan_type") == gov.PICKUP_ORPHAN)
 
 
+@query("orphans_dropoff")
+def orphans_dropoff(spark, sf_dir):
+    """Dropoff role alone: trips whose dropoff location is not in the master (one anti role)."""
+    return lc.orphans(fx.trips(spark, sf_dir), fx.master_zones(spark, sf_dir), JOB_NAME, now=RUN_CLOCK,
+                      roles=(("DOLocationID", gov.DROPOFF_ORPHAN),))
+
+
 @query("lifecycle_snapshot")
 def lifecycle_snapshot(spark, sf_dir):
     """Entity count per lifecycle state."""

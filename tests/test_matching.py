@@ -107,3 +107,22 @@ def test_steward_queue_order_and_dense_ids(spark):
     df = spark.range(0, 1000).withColumn("k", (F.col("id") * 7919) % 1000)
     ids = sorted((r.k, r.gid) for r in dense_ids(df, ["k"], "gid", partitions=5).collect())
     assert [g for _, g in ids] == list(range(1, 1001))
+
+
+def test_single_hot_block_on_driver_parts_equals_brute_force(spark):
+    """Every part of the smallest driver table in ONE block (the whole table is the hot key)."""
+    from conftest import SF_SMALL
+    from lakeward.sources import fixtures as fx
+
+    e = fx.part_entities(spark, SF_SMALL).withColumn("Borough", F.lit("ONE BLOCK"))
+    z = m.standardize(e)
+    norm = [(r.location_id, r.borough_norm, r.zone_norm) for r in z.collect()]
+    expect = _brute(norm, 0.95, 0.80)
+    want = sorted((a, b, za, zb, d) for a, b, za, zb, d in expect if d != "REJECT" and za != zb)
+    got = sorted(tuple(r) for r in m.match_decisions(z).select("id_a", "id_b", "zone_a", "zone_b",
+                                                               "decision").collect())
+    assert got == want
+    audit = m.match_audit(z).first()
+    assert audit.total_pairs_compared == len(expect) == len(norm) * (len(norm) - 1) // 2
+    assert audit.steward_review_pairs == sum(d == "STEWARD_REVIEW" for *_, d in expect)
+    assert audit.reject_pairs == sum(d == "REJECT" for *_, d in expect)

@@ -18,6 +18,7 @@ from .. import governance as gov
 from ..functions.time import as_timestamp
 from ..sources.files import first_existing
 from ..functions.casts import to_int
+from ..functions.rows import explode_rows
 from .joins import broadcast_if_bounded
 
 DQ_PASS = "dq_pass"
@@ -191,16 +192,14 @@ def scorecard(flagged: DataFrame, rules: list[Rule]) -> DataFrame:
         measures.append(F.count_if(~all_ok).alias(f"_rows_{i}"))
         measures.append(reduce(lambda a, b: a + b, [F.count_if(~F.col(r.name)) for r in rs]).alias(f"_fails_{i}"))
     wide = flagged.agg(*measures)
-    parts = []
-    for i, ((dim, sev), rs) in enumerate(sorted(groups.items())):
-        parts.append(wide.select(
-            F.lit(dim).alias("dimension"), F.lit(sev).alias("severity"),
-            F.lit(len(rs)).cast("long").alias("rule_count"),
-            F.col(f"_fails_{i}").alias("rule_failures"),
-            F.col(f"_rows_{i}").alias("failed_rows"),
-            F.col("_total").alias("total_rows"),
-            F.when(F.col("_total") > 0, 1 - F.col(f"_rows_{i}") / F.col("_total")).alias("pass_rate")))
-    return reduce(DataFrame.unionByName, parts)
+    rows = [[F.lit(dim).alias("dimension"), F.lit(sev).alias("severity"),
+             F.lit(len(rs)).cast("long").alias("rule_count"),
+             F.col(f"_fails_{i}").cast("long").alias("rule_failures"),
+             F.col(f"_rows_{i}").alias("failed_rows"),
+             F.col("_total").alias("total_rows"),
+             F.when(F.col("_total") > 0, 1 - F.col(f"_rows_{i}") / F.col("_total")).alias("pass_rate")]
+            for i, ((dim, sev), rs) in enumerate(sorted(groups.items()))]
+    return explode_rows(wide, rows)
 
 
 def null_profile(df: DataFrame, columns: list[str] | None = None, max_null_share: float = 0.01) -> DataFrame:
@@ -239,8 +238,8 @@ def referential_integrity(trips: DataFrame, master_ids: DataFrame, keys=("PULoca
         j = j.join(hit, F.col(k) == F.col(f"_hit{i}"), "left")
     wide = j.agg(F.count(F.lit(1)).alias("_total"),
                  *[F.count(F.col(f"_hit{i}")).alias(f"_m{i}") for i in range(len(keys))])
-    parts = [wide.select(F.lit(k).alias("key_column"), F.col(f"_m{i}").alias("matched_rows"),
-                         (F.col("_total") - F.col(f"_m{i}")).alias("unmatched_rows"),
-                         F.when(F.col("_total") > 0, F.col(f"_m{i}") / F.col("_total")).alias("match_rate"))
-             for i, k in enumerate(keys)]
-    return reduce(DataFrame.unionByName, parts)
+    rows = [[F.lit(k).alias("key_column"), F.col(f"_m{i}").alias("matched_rows"),
+             (F.col("_total") - F.col(f"_m{i}")).alias("unmatched_rows"),
+             F.when(F.col("_total") > 0, F.col(f"_m{i}") / F.col("_total")).alias("match_rate")]
+            for i, k in enumerate(keys)]
+    return explode_rows(wide, rows)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import governance as gov
+from ..functions.rows import explode_rows
 
 _SIMPLE = {"int": "int", "integer": "int", "bigint": "bigint", "long": "bigint", "double": "double",
            "string": "string", "timestamp": "timestamp", "timestamp_ntz": "timestamp_ntz",
@@ -54,12 +53,12 @@ def conformance(df: DataFrame, declared=gov.TRIP_SCHEMA) -> DataFrame:
         measures.append(F.count_if(c.isNotNull() & c.try_cast(t).isNull()).alias(f"_bad{i}"))
         measures.append(F.count_if(c.isNull()).alias(f"_null{i}"))
     wide = df.agg(*measures)
-    parts = [wide.select(F.lit(n).alias("column_name"), F.lit(_SIMPLE.get(t, t)).alias("declared_type"),
-                         F.lit(_type_name(df.schema[n].dataType)).alias("actual_type"),
-                         F.col(f"_bad{i}").alias("nonconforming_rows"), F.col(f"_null{i}").alias("null_rows"),
-                         F.col("_total").alias("total_rows"))
-             for i, (n, t) in enumerate(present)]
-    return reduce(DataFrame.unionByName, parts)
+    rows = [[F.lit(n).alias("column_name"), F.lit(_SIMPLE.get(t, t)).alias("declared_type"),
+             F.lit(_type_name(df.schema[n].dataType)).alias("actual_type"),
+             F.col(f"_bad{i}").alias("nonconforming_rows"), F.col(f"_null{i}").alias("null_rows"),
+             F.col("_total").alias("total_rows")]
+            for i, (n, t) in enumerate(present)]
+    return explode_rows(wide, rows)
 
 
 def read_evolving(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -31,6 +31,7 @@ from .. import governance as gov
 from ..functions import text as tx
 from ..functions.casts import to_int
 from ..functions.time import stamp
+from ..session import shared_dir
 from ..sources.files import require_columns, resolve_any
 
 BLOCK, NAME, ID = "borough_norm", "zone_norm", "location_id"
@@ -93,22 +94,34 @@ def pairable_rows(z: DataFrame) -> DataFrame:
     return z.filter(F.col(BLOCK).isNotNull() & F.col(ID).isNotNull()).select(BLOCK, NAME, ID)
 
 
-def name_groups(rows: DataFrame) -> DataFrame:
+def id_multiplicity(z: DataFrame) -> DataFrame:
+    """``(block, name, id, _m)``: how many pairable rows share each (block, name, id).
+
+    Every figure and product of the matching plan derives from this table, so it is computed once
+    and checkpointed to the shared checkpoint folder: later branches (group sizes, candidates,
+    pair counts, id expansion) read its files instead of re-reading and re-normalising the
+    entity table, and a lost executor recomputes from the files, not from the sources.
+    """
+    per_id = pairable_rows(z).groupBy(BLOCK, NAME, ID).agg(F.count(F.lit(1)).alias("_m"))
+    shared_dir(z.sparkSession)
+    return per_id.checkpoint(eager=True)
+
+
+def name_groups(per_id: DataFrame) -> DataFrame:
     """Per (block, name): rows ``n`` and ``same_name_pairs`` = pairs of rows with distinct ids.
 
     ``(n^2 - sum over ids of m_id^2) / 2`` where ``m_id`` is the multiplicity of an id in the group.
-    Two hash aggregates with map-side partial aggregation; a hot group is pre-aggregated per task.
+    A hash aggregate with map-side partial aggregation; a hot group is pre-aggregated per task.
     """
-    per_id = rows.groupBy(BLOCK, NAME, ID).agg(F.count(F.lit(1)).alias("_m"))
     return per_id.groupBy(BLOCK, NAME).agg(
         F.sum("_m").alias("n"),
         ((F.sum("_m") * F.sum("_m") - F.sum(F.col("_m") * F.col("_m"))) / 2).cast("long").alias("same_name_pairs"))
 
 
-def block_pair_totals(rows: DataFrame) -> DataFrame:
+def block_pair_totals(per_id: DataFrame) -> DataFrame:
     """Per block: all row pairs with distinct ids, by the same arithmetic (no pair is built)."""
-    per_id = rows.groupBy(BLOCK, ID).agg(F.count(F.lit(1)).alias("_m"))
-    return per_id.groupBy(BLOCK).agg(
+    by_id = per_id.groupBy(BLOCK, ID).agg(F.sum("_m").alias("_m"))
+    return by_id.groupBy(BLOCK).agg(
         ((F.sum("_m") * F.sum("_m") - F.sum(F.col("_m") * F.col("_m"))) / 2).cast("long").alias("pairs"))
 
 
@@ -167,15 +180,15 @@ def fuzzy_candidates(names: DataFrame, medium: float) -> DataFrame:
 # --------------------------------------------------------------------------------- name pairs
 
 def name_pair_scores(z: DataFrame, high: float = gov.HIGH_CONFIDENCE, medium: float = gov.MEDIUM_CONFIDENCE,
-                     actionable_only: bool = True) -> DataFrame:
+                     actionable_only: bool = True, per_id: DataFrame | None = None) -> DataFrame:
     """Scored distinct-name pairs per block with the number of id pairs they stand for.
 
     Columns: borough, zone_u, zone_v, name_similarity, token_u, token_v, token_match,
     match_confidence, decision, pair_count. Same-name groups appear with ``zone_u = zone_v``.
     With ``actionable_only`` only pairs at or above ``medium`` are returned (the rest is REJECT).
     """
-    rows = pairable_rows(z)
-    groups = name_groups(rows)
+    per_id = id_multiplicity(z) if per_id is None else per_id
+    groups = name_groups(per_id)
     same = groups.filter(F.col("same_name_pairs") > 0).select(
         BLOCK, F.col(NAME).alias("zone_u"), F.col(NAME).alias("zone_v"), F.col("same_name_pairs").alias("pair_count"))
     same = _scored(same, "zone_u", "zone_v", high, medium)
@@ -185,7 +198,6 @@ def name_pair_scores(z: DataFrame, high: float = gov.HIGH_CONFIDENCE, medium: fl
     cand = _scored(cand, "zone_u", "zone_v", high, medium).filter(F.col("match_confidence") >= F.lit(medium))
     # id pairs between two different names: n_u * n_v minus pairs of rows sharing one id,
     # counted only for the verified candidates (work bounded by their ids, not by the block)
-    per_id = rows.groupBy(BLOCK, NAME, ID).agg(F.count(F.lit(1)).alias("_m"))
     mu = per_id.select(BLOCK, F.col(NAME).alias("zone_u"), ID, F.col("_m").alias("_mu"))
     mv = per_id.select(BLOCK, F.col(NAME).alias("zone_v"), ID, F.col("_m").alias("_mv"))
     keys = cand.select(BLOCK, "zone_u", "zone_v")
@@ -206,18 +218,22 @@ def name_pair_scores(z: DataFrame, high: float = gov.HIGH_CONFIDENCE, medium: fl
     return out
 
 
-def expand_to_ids(pairs: DataFrame, z: DataFrame) -> DataFrame:
+def expand_to_ids(pairs: DataFrame, z: DataFrame, per_id: DataFrame | None = None) -> DataFrame:
     """Id-level pair rows for the given name pairs, in the reference orientation (a = smaller id).
 
-    Output size equals the product size (one row per pair of entity rows).
+    Output size equals the product size (one row per pair of entity rows): two ids held by
+    ``m_u`` and ``m_v`` rows give ``m_u * m_v`` identical pair rows, as a self-join of the rows does.
     """
-    rows = pairable_rows(z)
-    ru = rows.select(F.col(BLOCK).alias("borough"), F.col(NAME).alias("zone_u"), F.col(ID).alias("_iu"))
-    rv = rows.select(F.col(BLOCK).alias("borough"), F.col(NAME).alias("zone_v"), F.col(ID).alias("_iv"))
+    per_id = id_multiplicity(z) if per_id is None else per_id
+    ru = per_id.select(F.col(BLOCK).alias("borough"), F.col(NAME).alias("zone_u"), F.col(ID).alias("_iu"),
+                       F.col("_m").alias("_mu"))
+    rv = per_id.select(F.col(BLOCK).alias("borough"), F.col(NAME).alias("zone_v"), F.col(ID).alias("_iv"),
+                       F.col("_m").alias("_mv"))
     j = (pairs.join(ru, ["borough", "zone_u"]).join(rv, ["borough", "zone_v"])
               .filter(F.col("_iu") != F.col("_iv")))
     # same-name groups: both sides come from one group; keep each unordered pair once
     j = j.filter((F.col("zone_u") != F.col("zone_v")) | (F.col("_iu") < F.col("_iv")))
+    j = j.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_mu") * F.col("_mv"))))
     u_first = F.col("_iu") < F.col("_iv")
     out = j.select(
         F.least("_iu", "_iv").alias("id_a"), F.greatest("_iu", "_iv").alias("id_b"),
@@ -238,10 +254,11 @@ def match_decisions(z: DataFrame, high: float = gov.HIGH_CONFIDENCE, medium: flo
     form a clique per key, so by default they are left to the key-level products
     (``dup_by_match_key`` / ``golden_master``) and only pairs of different names are listed.
     """
-    pairs = name_pair_scores(z, high, medium, actionable_only=True)
+    per_id = id_multiplicity(z)
+    pairs = name_pair_scores(z, high, medium, actionable_only=True, per_id=per_id)
     if not include_same_name:
         pairs = pairs.filter(F.col("zone_u") != F.col("zone_v"))
-    return expand_to_ids(pairs, z)
+    return expand_to_ids(pairs, z, per_id=per_id)
 
 
 def steward_queue(decisions: DataFrame, now=None) -> DataFrame:
@@ -259,9 +276,9 @@ def match_audit(z: DataFrame, high: float = gov.HIGH_CONFIDENCE, medium: float =
     Every figure is exact; none needs the pair list: totals come from group-size arithmetic,
     actionable bands from the verified candidates weighted by their pair counts.
     """
-    rows = pairable_rows(z)
-    totals = block_pair_totals(rows).agg(F.coalesce(F.sum("pairs"), F.lit(0)).cast("long").alias("total_pairs_compared"))
-    bands = name_pair_scores(z, high, medium, actionable_only=True).agg(
+    per_id = id_multiplicity(z)
+    totals = block_pair_totals(per_id).agg(F.coalesce(F.sum("pairs"), F.lit(0)).cast("long").alias("total_pairs_compared"))
+    bands = name_pair_scores(z, high, medium, actionable_only=True, per_id=per_id).agg(
         F.coalesce(F.sum(F.when(F.col("decision") == gov.AUTO_MERGE, F.col("pair_count"))), F.lit(0))
          .cast("long").alias("auto_merge_pairs"),
         F.coalesce(F.sum(F.when(F.col("decision") == gov.STEWARD_REVIEW, F.col("pair_count"))), F.lit(0))

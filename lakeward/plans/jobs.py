@@ -22,12 +22,9 @@ from ..operators import ingest as ing
 from ..operators import lifecycle as lc
 from ..operators import matching as m
 from ..operators import quality as q
-from ..operators.joins import row_count_at_most
-from ..sources import files
+from ..sources import files, sinks
 from ..sources.snapshots import SnapshotTable
 
-SMALL_REPORT_ROWS = 1_000_000  # single-file outputs only below this many rows
-
 RUN_LEDGER_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("job_name", T.StringType()),
@@ -163,22 +160,23 @@ def matching_job(spark: SparkSession, zones: DataFrame, master_root: str, stewar
     """Standardise, write golden master (snapshot), steward queue, auto-merge pairs, duplicate
     evidence and the audit summary (in its own ``summary/`` folder, beside the evidence)."""
     z = m.standardize(zones)
-    master_version = SnapshotTable(spark, master_root).commit(m.golden_master(z, now=now),
-                                                              parameters={"job": job_name})
+    master_format = sinks.write_product(m.golden_master(z, now=now), "master_zones", master_root,
+                                        parameters={"job": job_name})
     decisions = m.match_decisions(z, high, medium)
     decisions.write.mode("overwrite").parquet(f"{products_root}/decisions")
     dec = spark.read.parquet(f"{products_root}/decisions")  # cut lineage: both products read the written pairs
-    m.steward_queue(dec, now=now).write.mode("overwrite").parquet(steward_path)
-    dec.filter(F.col("decision") == gov.AUTO_MERGE).write.mode("overwrite").parquet(f"{products_root}/auto_merge")
+    sinks.write_product(m.steward_queue(dec, now=now), "steward_queue", steward_path)
+    sinks.write_product(dec.filter(F.col("decision") == gov.AUTO_MERGE), "auto_merge_pairs",
+                        f"{products_root}/auto_merge")
     for name, frame in (("dup_by_location_id", m.dup_by_id(z)), ("dup_by_match_key", m.dup_by_match_key(z))):
-        out = frame.coalesce(1) if row_count_at_most(frame, SMALL_REPORT_ROWS) else frame
-        out.write.mode("overwrite").option("header", True).csv(f"{products_root}/{name}")
+        sinks.write_product(frame, name, f"{products_root}/{name}")
     audit = m.match_audit(z, high, medium).withColumns({
-        "master_out_path": F.lit(master_root), "master_format": F.lit("parquet-snapshot"),
+        "master_out_path": F.lit(master_root), "master_format": F.lit(master_format),
         "steward_queue_path": F.lit(steward_path), "job_name": F.lit(job_name),
         "generated_at_utc": F.current_timestamp() if now is None else F.lit(now).cast("timestamp")})
-    audit.coalesce(1).write.mode("overwrite").json(f"{audit_path.rstrip('/')}/summary")
-    return {"master_version": master_version}
+    sinks.write_product(audit, "match_audit", f"{audit_path.rstrip('/')}/summary")
+    master_version = SnapshotTable(spark, master_root).latest_version() if master_format == "parquet" else None
+    return {"master_version": master_version, "master_format": master_format}
 
 
 # ------------------------------------------------------------------------------------- job 5

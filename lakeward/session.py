@@ -15,6 +15,53 @@ from pyspark.sql import SparkSession
 UTC = "UTC"
 
 
+# Settings for the cluster profile (about 1,000 executors, inputs of ~100 TB). Sessions are built
+# by the cluster's launcher; these are the values the jobs are planned for, applied with
+# ``apply_profile`` (only keys the launcher left unset are set).
+CLUSTER_PROFILE: dict[str, str] = {
+    # AQE re-plans at every stage boundary: coalesces small shuffle partitions, splits skewed
+    # partitions of sort-merge / shuffled-hash joins and of rebalances, turns small sides into
+    # broadcasts from measured sizes
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # initial shuffle width for ~100 TB: ~256 MB per partition after the map-side combine; AQE
+    # coalesces it down for the smaller stages
+    "spark.sql.shuffle.partitions": "20000",
+    # scan splits: fewer, larger tasks for columnar files
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.files.openCostInBytes": "8m",
+    # static broadcast only for small sides; larger ones stay shuffle joins
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": UTC,
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    # lost executors: shuffle files survive on the external shuffle service / decommissioning
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.task.maxFailures": "8",
+}
+
+
+def apply_profile(spark: SparkSession, profile: dict[str, str] = CLUSTER_PROFILE) -> None:
+    """Set the runtime-settable SQL keys of ``profile`` that the session does not set yet."""
+    for k, v in profile.items():
+        if not k.startswith("spark.sql."):
+            continue  # cluster-level keys belong to the launcher
+        if not _explicitly_set(spark, k):
+            spark.conf.set(k, v)
+
+
+def _explicitly_set(spark: SparkSession, key: str) -> bool:
+    return spark.sparkContext.getConf().contains(key)
+
+
 def _listing_tasks(cores: int | str) -> int:
     n = (os.cpu_count() or 8) if str(cores) == "*" else int(cores)
     return 4 * n

@@ -15,6 +15,8 @@ import datetime as dt
 import json
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,5 +135,15 @@ class SnapshotTable:
         reader = self.spark.read
         if schema is not None:
             reader = reader.schema(schema)
-        frames = [reader.parquet(p) for p in e["files"]]
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        files = list(e["files"])
+        if len(files) == 1:
+            return reader.parquet(files[0])
+        try:
+            # one relation over every folder of the version: one listing, one scan, however many
+            # appends the table has had; columns added by later commits are merged (NULL before)
+            return reader.option("mergeSchema", "true").parquet(*files)
+        except (AnalysisException, Py4JJavaError):
+            # folders whose schemas or partition layouts cannot be merged (raised while the
+            # schema is resolved, before anything runs): align them by name instead
+            frames = [reader.parquet(p) for p in files]
+            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -69,3 +69,17 @@ def test_snapshot_versions_time_travel_and_crash(spark, tmp_path):
     assert sorted(r.a for r in t.read().collect()) == [2, 3]
     with pytest.raises(ValueError):
         t.read(timestamp="2024-01-01 00:00:00")
+
+
+def test_snapshot_appends_read_as_one_relation_with_evolving_schema(spark):
+    from lakeward.session import scratch_path
+
+    t = SnapshotTable(spark, scratch_path(spark, "evolve"))
+    t.commit(spark.createDataFrame([(1, "a")], "k int, v string"))
+    t.commit(spark.createDataFrame([(2, "b", 2.5)], "k int, v string, extra double"), mode="append")
+    df = t.read()
+    assert sorted(df.columns) == ["extra", "k", "v"]
+    assert sorted((r.k, r.extra) for r in df.collect()) == [(1, None), (2, 2.5)]
+    # both folders are one scan of one relation, not a union of one relation per commit
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Union" not in plan

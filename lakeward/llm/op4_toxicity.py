@@ -51,10 +51,10 @@ REMEMBERED = 400_000
 IMITATED = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
             "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
 #: Costs (negative log probabilities) of the channel.
-IMITATION, DROPPED, SHORTENED, WORD_END = 1.0, 2.0, 0.5, 1.5
+IMITATION, DROPPED, SEPARATOR, SHORTENED, WORD_END = 1.0, 4.0, 0.2, 0.5, 1.5
 
 OTHER = "~"
-EDGE = re.compile(r"^[^\w@$!|+(€£]+|[^\w@$!|+(€£]+$")
+EDGE = re.compile(r"^[^\w@$€£]+|[^\w@$€£]+$")
 PLAIN = re.compile(r"[^\W\d_]+")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
 SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
@@ -84,7 +84,9 @@ def _options(token: str) -> list[list[tuple[str, float]]]:
         if c.isalpha():
             out += [[(c, 0.0), (c * 2, SHORTENED)]] if n >= 3 else [[(c, 0.0)]] * n
         else:
-            readings = [(x, IMITATION) for x in IMITATED.get(c, "")] + [("", DROPPED / n if not c.isdigit() else DROPPED)]
+            # a sign that imitates nothing separates letters; a long run of one that does is decoration
+            drop = SEPARATOR if c not in IMITATED else DROPPED / n if n >= 3 else DROPPED
+            readings = [(x, IMITATION) for x in IMITATED.get(c, "")] + [("", drop)]
             out += [readings] * n
     return out
 

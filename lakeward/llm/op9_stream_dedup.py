@@ -67,6 +67,8 @@ def keyed_state(spark: SparkSession, fingerprints: DataFrame, path: str, files_p
         # all stores of an executor share one bounded cache and write buffer
         "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
         "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+        # a store takes the disk that its rows need, without blocks reserved ahead for its logs
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     }):
         query = (stream.writeStream.format("noop").outputMode("update").trigger(availableNow=True)
                  .option("checkpointLocation", checkpoint).start())

@@ -13,7 +13,7 @@ import re
 import numpy as np
 
 #: Words remembered by one worker before it starts anew (bounds memory, changes no result).
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 _ENCODERS: dict[tuple[str, bool], "WordEncoder"] = {}
 
@@ -40,6 +40,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library, self.spaces_kept = Tokenizer.from_file(path), spaces_kept
+        folded = self.library.normalizer
+        self.lower = not spaces_kept and folded is not None and folded.normalize_str("Ab") == "ab"
         self.known: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -49,6 +51,10 @@ class WordEncoder:
     def _pieces(self, text: str) -> list[str] | None:
         """Pieces whose ids, joined, are the text's; None if it has to be encoded whole."""
         if not self.spaces_kept:
+            # such tokenizers lower-case (a special token's text excepted); doing it here lets a
+            # word at the start of a sentence be remembered as the same word
+            if self.lower and text.isascii() and "<|" not in text:
+                text = text.lower()
             return text.replace("\n", " ").split(" ")
         if self.UNSURE.search(text):
             return None

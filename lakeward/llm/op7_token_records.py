@@ -8,7 +8,8 @@ Data file: one record after the other, each framed as
     u64 length | u32 masked CRC-32 of the length's 8 bytes | payload | u32 masked CRC-32 of the payload
 
 little-endian, with ``masked(c) = ((c >> 15 | c << 17) + 0xa282ead8) mod 2**32``. Payload: one byte
-(1 if the document has an id), the id as i64, then the token ids as u32. Index file: the u64 offset
+(1 if the document has an id), one byte with the width of a token id, the id as i64, then the token
+ids: two bytes each if all of the record's ids are below 65,536, else four. Index file: the u64 offset
 of every record. Files of an attempt have names of their own; the manifest (written by Spark when
 all tasks have ended) names the files that count, so a repeated or lost task leaves only files that
 nobody reads.
@@ -64,12 +65,18 @@ def read_frame(stream) -> bytes | None:
 
 
 def pack_payload(doc_id: int | None, ids: bytes) -> bytes:
-    return struct.pack("<Bq", doc_id is not None, doc_id or 0) + ids
+    """``ids``: little-endian 32-bit ids."""
+    wide = np.frombuffer(ids, "<u4")
+    narrow = not len(wide) or int(wide.max()) < 1 << 16
+    return struct.pack("<BBq", doc_id is not None, 2 if narrow else 4, doc_id or 0) + (
+        wide.astype("<u2").tobytes() if narrow else ids)
 
 
 def unpack_payload(payload: bytes) -> tuple[int | None, bytes]:
-    has, doc_id = struct.unpack_from("<Bq", payload)
-    return (doc_id if has else None), payload[9:]
+    """The document's id and its token ids (little-endian, 32 bits)."""
+    has, size, doc_id = struct.unpack_from("<BBq", payload)
+    ids = payload[10:]
+    return (doc_id if has else None), (np.frombuffer(ids, "<u2").astype("<u4").tobytes() if size == 2 else ids)
 
 
 def _store(path: str):

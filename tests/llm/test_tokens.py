@@ -62,6 +62,9 @@ def test_damaged_records_are_found():
 
     whole = op7_token_records.frame(op7_token_records.pack_payload(7, struct.pack("<2I", 5, 2)))
     assert op7_token_records.unpack_payload(op7_token_records.read_frame(io.BytesIO(whole))) == (7, struct.pack("<2I", 5, 2))
+    wide = struct.pack("<2I", 70_000, 2)
+    assert op7_token_records.unpack_payload(op7_token_records.pack_payload(None, wide)) == (None, wide)
+    assert op7_token_records.unpack_payload(op7_token_records.pack_payload(3, b"")) == (3, b"")
     for k in range(len(whole)):
         broken = bytearray(whole)
         broken[k] ^= 1

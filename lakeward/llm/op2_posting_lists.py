@@ -38,7 +38,7 @@ NEIGHBOURS = 20
 LIST = 128
 MOST_LISTS = 8192
 #: The centroids are fitted on at most so many numbers (vectors x components), those of smallest hash.
-SAMPLE_VALUES = 4_000_000
+SAMPLE_VALUES = 1_000_000
 COPIES, BORDER = 8, 1.1
 RATIO = 1.15
 #: A query's lists hold at least so many rows per neighbour asked for.
@@ -59,15 +59,15 @@ class Centroids:
         c = np.stack([sample[g].mean(axis=0) for g in groups])
         for _ in range(rounds):
             # a list's share of the sample beyond its due makes it seem farther: keeps lists balanced
-            d = self._distances(sample, c)
-            near = d.argmin(axis=1)
+            near = self._nearest(sample, c, np.zeros(len(c)))
             load = np.bincount(near, minlength=len(c)) * len(c) / len(sample)
-            near = (d * (1 + 0.02 * load)).argmin(axis=1)
+            near = self._nearest(sample, c, load)
             for k in range(len(c)):
                 if (own := near == k).any():
                     c[k] = sample[own].mean(axis=0)
         self.c, self.norm = c, (c**2).sum(axis=1)
-        near = np.argsort(self._distances(c, c), axis=1, kind="stable")[:, 1:DEGREE + 1]
+        near = np.concatenate([np.argsort(self._distances(c[at:at + 512], c), axis=1, kind="stable")[:, 1:DEGREE + 1]
+                               for at in range(0, len(c), 512)])
         random = np.random.default_rng(3).integers(0, len(c), (len(c), 2))
         self.graph = np.concatenate([near, random], axis=1)
         self.entries = np.unique(np.linspace(0, len(c) - 1, min(ENTRIES, len(c))).astype(int))
@@ -76,6 +76,11 @@ class Centroids:
     def _distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
         return np.maximum((x**2).sum(axis=1)[:, None] + (c**2).sum(axis=1) - 2 * x @ c.T, 0)
 
+    @classmethod
+    def _nearest(cls, x: np.ndarray, c: np.ndarray, load: np.ndarray) -> np.ndarray:
+        return np.concatenate([(cls._distances(x[at:at + 2048], c) * (1 + 0.02 * load)).argmin(axis=1)
+                               for at in range(0, len(x), 2048)])
+
     @staticmethod
     def _halves(sample: np.ndarray, g: np.ndarray) -> list[np.ndarray]:
         if len(g) < 2:

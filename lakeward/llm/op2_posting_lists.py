@@ -40,11 +40,11 @@ MOST_LISTS = 8192
 #: The centroids are fitted on at most so many numbers (vectors x components), those of smallest hash.
 SAMPLE_VALUES = 1_000_000
 COPIES, BORDER = 8, 1.1
-RATIO = 1.15
+RATIO = 1.13
 #: A query's lists hold at least so many rows per neighbour asked for.
 LEAST_ROWS = 20
 GROUP = 16
-CELL_ROWS, CELL_QUERIES = 16_384, 1_024
+CELL_ROWS, CELL_QUERIES = 16_384, 16_384
 DEGREE, ENTRIES = 24, 8
 
 
@@ -198,7 +198,7 @@ def search(vectors: DataFrame, is_query: Column, id_column: str = "vec_id", colu
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 b = whole.slice(at, 1024)
-                ids, dist = shared.value.search(lifted(_matrix(b.column("vec"))), 4 * COPIES)
+                ids, dist = shared.value.search(lifted(_matrix(b.column("vec"))), 3 * COPIES)
                 ids, dist = ids[:, :COPIES], dist[:, :COPIES]
                 row, k = np.nonzero(dist <= dist[:, :1] * BORDER + 1e-12)
                 got = b.take(pa.array(row))
@@ -263,8 +263,9 @@ def search(vectors: DataFrame, is_query: Column, id_column: str = "vec_id", colu
             ids = rows["ids"].to_numpy()
             q = np.frombuffer(b"".join(asked["qvec"]), "<f8").reshape(len(asked), -1)
             names = asked["query_id"].to_numpy()
+            single, asked_single = x.astype("float32"), q.astype("float32")
             for at in range(0, len(q), 256):
-                near = q[at:at + 256] @ x.T
+                near = asked_single[at:at + 256] @ single.T
                 for k, probed in enumerate(asked["lists"].iloc[at:at + 256]):
                     probed = np.asarray(probed) - low
                     probed = probed[(probed >= 0) & (probed < len(member))]

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from .common import packed, slices, text_or_empty
 
 #: Labelled rows that the decision list is learnt from, at most (those of smallest hash).
-SAMPLE = 20_000
+SAMPLE = 10_000
 #: Features tried, at most (those in most toxic rows); a bound on the model's size, not on data.
 TRIED = 200_000
 SIGNIFICANCE = 0.01
@@ -196,7 +196,7 @@ def learn(docs: DataFrame, labels: DataFrame, model: CharacterModel, most: int =
                                               "n": pa.array(list(counts.values()), pa.int64())})
 
     in_toxic = rows.filter("toxic = 1").select("text").mapInArrow(count, "f string, n bigint")
-    tried = [r["f"] for r in in_toxic.groupBy("f").agg(F.sum("n").alias("n")).filter("n >= 3")
+    tried = [r["f"] for r in in_toxic.groupBy("f").agg(F.sum("n").alias("n")).filter("n >= 4")
              .orderBy(F.desc("n"), "f").limit(TRIED).collect()]
     number = {f: k for k, f in enumerate(tried)}
 
@@ -219,8 +219,14 @@ def decision_list(features: list[str], rows: list[np.ndarray], toxic: np.ndarray
     chosen: dict[str, float] = {}
     if not len(rows):
         return chosen, 0.0
-    lengths = np.array([len(r) for r in rows])
-    owner, item = np.repeat(np.arange(len(rows)), lengths), np.concatenate([*rows, np.zeros(0, np.int32)])
+    # a feature that is mostly in clean rows never gets listed; without those the rows are short
+    pos, neg = np.zeros(len(features), np.int64), np.zeros(len(features), np.int64)
+    for r, t in zip(rows, toxic, strict=True):
+        (pos if t else neg)[r] += 1
+    telling = pos >= neg
+    rows = [r[telling[r]] for r in rows]
+    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    item = np.concatenate([*rows, np.zeros(0, np.int32)]).astype(np.int64)
     left = np.ones(len(rows), bool)
     needed = math.log(max(1, len(features)) / SIGNIFICANCE)
     while left.any() and len(features):

@@ -43,8 +43,8 @@ COPIES, BORDER = 8, 1.1
 RATIO = 1.13
 #: A query's lists hold at least so many rows per neighbour asked for.
 LEAST_ROWS = 20
-GROUP = 16
-CELL_ROWS, CELL_QUERIES = 16_384, 16_384
+GROUP = 64
+CELL_ROWS, CELL_QUERIES = 65_536, 16_384
 DEGREE, ENTRIES = 24, 8
 
 

@@ -16,7 +16,6 @@ from .. import governance as gov
 from ..functions.time import as_timestamp, duration_minutes, stamp
 from ..sources.files import first_existing
 from ..functions.casts import text_to_int, to_int
-from .joins import broadcast_if_bounded
 
 
 def resolve_trip_times(df: DataFrame,
@@ -82,25 +81,19 @@ def role_lookup(lookup: DataFrame, prefix: str) -> DataFrame:
 
 
 def enrich_trips(validated: DataFrame, zones: DataFrame, now=None,
-                 roles=(("PULocationID", "pu"), ("DOLocationID", "do")),
-                 max_broadcast_rows: int | None = None) -> DataFrame:
+                 roles=(("PULocationID", "pu"), ("DOLocationID", "do"))) -> DataFrame:
     """Validated -> curated: duration, one left lookup join per present location role, stamp.
 
     Left joins keep trips without a zone; duplicate ids in the lookup multiply trips (the lookup
-    is expected to be unique; see ``lookup_fanout``). The lookup is broadcast only after a
-    row-count check; above the bound the join is left to the planner.
+    is expected to be unique; see ``lookup_fanout``). How to join is left to the planner, which
+    knows the measured sizes.
     """
     lookup = standard_zone_lookup(zones)
-    bounded = (broadcast_if_bounded(lookup, max_broadcast_rows) if max_broadcast_rows
-               else broadcast_if_bounded(lookup))
-    is_broadcast = bounded is not lookup
     df = with_duration(validated)
     for key, prefix in roles:
         if key not in df.columns:
             continue
         side = role_lookup(lookup, prefix)
-        if is_broadcast:
-            side = F.broadcast(side)
         df = df.join(side, to_int(df, key) == F.col(f"_{prefix}_key"), "left").drop(f"_{prefix}_key")
     return governance_stamp(df, gov.ZONE_CURATED, "curated_at", now)
 

@@ -12,7 +12,6 @@ from .. import governance as gov
 from ..functions.casts import to_int
 from ..functions.time import stamp
 from ..sources.files import require_columns, resolve_any
-from .joins import broadcast_if_bounded
 
 
 def master_ids(master: DataFrame) -> DataFrame:
@@ -30,7 +29,7 @@ def orphans(trips: DataFrame, master: DataFrame, job_name: str, now=None,
     failing roles are exploded — instead of one anti join and one full fact scan per role.
     """
     require_columns(trips, *[k for k, _ in roles], what="trips")
-    ids = broadcast_if_bounded(master_ids(master))
+    ids = master_ids(master)
     df = trips.withColumns({f"{k}_int": to_int(trips, k) for k, _ in roles})
     for i, (k, _) in enumerate(roles):
         df = df.join(ids.select(F.col("_mid").alias(f"_hit{i}")), F.col(f"{k}_int") == F.col(f"_hit{i}"), "left")

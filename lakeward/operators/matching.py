@@ -24,6 +24,8 @@ Scale design — no operator here enumerates all pairs of a block:
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,6 +109,13 @@ def id_multiplicity(z: DataFrame) -> DataFrame:
     return per_id.checkpoint(eager=True)
 
 
+def _pairs_of(multiplicity):
+    """Pairs of rows with distinct ids, ``(n^2 - sum of m_id^2) / 2``, in exact decimal arithmetic."""
+    m = multiplicity.cast("decimal(18,0)")
+    n = F.sum(m).cast("decimal(19,0)")
+    return ((n * n - F.sum(m * m)) * F.lit(Decimal("0.5"))).cast("long")
+
+
 def name_groups(per_id: DataFrame) -> DataFrame:
     """Per (block, name): rows ``n`` and ``same_name_pairs`` = pairs of rows with distinct ids.
 
@@ -115,14 +124,14 @@ def name_groups(per_id: DataFrame) -> DataFrame:
     """
     return per_id.groupBy(BLOCK, NAME).agg(
         F.sum("_m").alias("n"),
-        ((F.sum("_m") * F.sum("_m") - F.sum(F.col("_m") * F.col("_m"))) / 2).cast("long").alias("same_name_pairs"))
+        _pairs_of(F.col("_m")).alias("same_name_pairs"))
 
 
 def block_pair_totals(per_id: DataFrame) -> DataFrame:
     """Per block: all row pairs with distinct ids, by the same arithmetic (no pair is built)."""
     by_id = per_id.groupBy(BLOCK, ID).agg(F.sum("_m").alias("_m"))
     return by_id.groupBy(BLOCK).agg(
-        ((F.sum("_m") * F.sum("_m") - F.sum(F.col("_m") * F.col("_m"))) / 2).cast("long").alias("pairs"))
+        _pairs_of(F.col("_m")).alias("pairs"))
 
 
 # ------------------------------------------------------------------------- candidate generation
@@ -314,11 +323,13 @@ def golden_master(z: DataFrame, now=None, tie_break: list[str] | None = None) ->
 
 def survivorship_first_non_null(z: DataFrame, attributes=("Zone", "Borough", "service_zone")) -> DataFrame:
     """Attribute-wise survivorship per match key: MIN(id) and, per attribute, the first non-NULL
-    value ordered by id. One hash aggregate."""
+    value in the order of the golden row (rows with a NULL id count too). One aggregate."""
     aggs = [F.min(ID).alias(ID)]
     for a in attributes:
         if a in z.columns:
-            aggs.append(F.min_by(F.col(a), F.when(F.col(a).isNotNull(), F.col(ID))).alias(a))
+            # the order of the golden row: NULL ids first, then the id, ties by the value
+            order = F.struct(F.col(ID).isNotNull().alias("known"), F.col(ID).alias("id"), F.col(a).alias("value"))
+            aggs.append(F.min_by(F.col(a), F.when(F.col(a).isNotNull(), order)).alias(a))
     return z.groupBy("match_key").agg(*aggs)
 
 

@@ -71,7 +71,7 @@ class RunLedger:
         try:
             yield rec
         except Exception as exc:
-            status, error = "FAILED", "".join(traceback.format_exception_only(type(exc), exc)).strip()[:2000]
+            status, error = "FAILED", "".join(traceback.format_exception_only(type(exc), exc)).strip()
             raise
         finally:
             end = _utcnow()

@@ -109,6 +109,8 @@ def shared_dir(spark: SparkSession) -> str:
         if current:
             sc.setCheckpointDir(current)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="lakeward-ckpt-")
         sc.setCheckpointDir(current)
     return current.rstrip("/")

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
@@ -35,14 +36,16 @@ def read_zones_csv(spark: SparkSession, path: str, typed: bool = False, schema:
     an integer, which is what type inference yields on a clean file but without the extra
     inference pass over the data. Unparsable ids become NULL (PERMISSIVE mode).
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if schema is not None:
-        reader = reader.schema(schema)
-    elif typed:
-        reader = reader.schema(ZONE_TYPED_SCHEMA)
-    else:
-        reader = reader.schema(ZONE_CSV_SCHEMA)
-    return reader.csv(path)
+    wanted = schema if schema is not None else ZONE_TYPED_SCHEMA if typed else ZONE_CSV_SCHEMA
+    # the header names the columns: they are bound by name, whatever their order in the file
+    found = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    have = {c.lower(): c for c in found.columns}
+    columns = []
+    for field in wanted.fields:
+        name = have.get(field.name.lower()) or (have.get("zone_name") if field.name == "Zone" else None)
+        value = F.col(f"`{name}`").try_cast(field.dataType) if name else F.lit(None).cast(field.dataType)
+        columns.append(value.alias(field.name))
+    return found.select(*columns)
 
 
 def read_zones_inferred(spark: SparkSession, path: str) -> DataFrame:

@@ -9,10 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators.joins import row_count_at_most
 from .snapshots import SnapshotTable, delta_available
 
-SMALL_FILE_ROWS = 1_000_000  # single-file outputs only below this many rows
 
 # ---------------------------------------------------------------------------------------------
 # FIXED VALUES — which product is written in which format (and partitioned by what), as the lake
@@ -60,12 +58,10 @@ def write_product(df: DataFrame, product: str, path: str, parameters: dict | Non
     if fmt == "parquet":
         w = df.write.mode("overwrite")
         (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
-    elif fmt == "json":  # reports: one small row set, one file
-        out = df.coalesce(1) if row_count_at_most(df, SMALL_FILE_ROWS) else df
-        out.write.mode("overwrite").json(path)
-    elif fmt == "csv":  # evidence: one file while it is small, split beyond the bound
-        out = df.coalesce(1) if row_count_at_most(df, SMALL_FILE_ROWS) else df
-        out.write.mode("overwrite").option("header", True).csv(path)
+    elif fmt == "json":
+        df.write.mode("overwrite").json(path)
+    elif fmt == "csv":  # evidence: as many files as Spark plans
+        df.write.mode("overwrite").option("header", True).csv(path)
     else:
         raise ValueError(f"unknown format {fmt!r} for product {product!r}")
     return fmt

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -76,7 +77,8 @@ class SnapshotTable:
                now: dt.datetime | None = None) -> int:
         entries = self._entries()
         version = (entries[0]["version"] + 1) if entries else 0
-        folder = f"{self.root}/v={version}"
+        # a folder of its own per attempt: what a dead writer left is never in the way of the next one
+        folder = f"{self.root}/v={version}-{uuid.uuid4().hex}"
         obs = Observation(f"commit_{version}")
         if partition_by:
             # cluster rows by the partition value before the write: each task then writes few

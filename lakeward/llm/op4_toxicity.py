@@ -45,7 +45,7 @@ SAMPLE = 10_000
 #: Features tried, at most (those in most toxic rows); a bound on the model's size, not on data.
 TRIED = 200_000
 SIGNIFICANCE = 0.01
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 #: Letters that a digit or sign imitates.
 IMITATED = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",

@@ -13,7 +13,7 @@ import re
 import numpy as np
 
 #: Words remembered by one worker before it starts anew (bounds memory, changes no result).
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 
 _ENCODERS: dict[tuple[str, bool], "WordEncoder"] = {}
 

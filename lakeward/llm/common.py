@@ -68,3 +68,30 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 16
         step = max(1, int(n * most_bytes / size)) if size > most_bytes else n
         for at in range(0, n, step):
             yield batch.slice(at, step)
+
+
+class Remembered:
+    """Results by key for repeated work, in bounded memory.
+
+    Two generations of about ``most`` keys are held; a key that was not asked for while a generation
+    filled up is forgotten and simply worked out again.
+    """
+
+    def __init__(self, most: int):
+        self.now: dict = {}
+        self.before: dict = {}
+        self.most = most
+
+    def get(self, key):
+        got = self.now.get(key)
+        if got is None and (got := self.before.get(key)) is not None:
+            self.now[key] = got
+        return got
+
+    def age(self) -> None:
+        """Begin a new generation if the present one is full."""
+        if len(self.now) > self.most:
+            self.now, self.before = {}, self.now
+
+    def forget(self) -> None:
+        self.now, self.before = {}, {}

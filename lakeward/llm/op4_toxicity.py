@@ -38,14 +38,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, slices, text_or_empty
+from .common import Remembered, packed, slices, text_or_empty
 
 #: Labelled rows that the decision list is learnt from, at most (those of smallest hash).
 SAMPLE = 10_000
 #: Features tried, at most (those in most toxic rows); a bound on the model's size, not on data.
 TRIED = 200_000
 SIGNIFICANCE = 0.01
-REMEMBERED = 250_000
+#: Tokens of a generation that one worker remembers (bounds memory, changes no result).
+REMEMBERED = 50_000
 
 #: Letters that a digit or sign imitates.
 IMITATED = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -140,7 +141,7 @@ def spaced_words(text: str, model: CharacterModel) -> Iterator[str]:
 def _trigrams(docs: DataFrame) -> dict[str, int]:
     """Trigram counts over all words of all documents: at most 28**3 numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 32 << 20):
+        for batch in slices(batches, "text"):
             words: Counter = Counter()
             for text in batch.column("text").to_pylist():
                 words.update(text.lower().split())
@@ -171,12 +172,13 @@ def _sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     return rows.groupBy("text").agg(F.max("toxic").alias("toxic"))
 
 
-def _text_features(text: str, model: CharacterModel, known: dict[str, tuple[str, ...]]) -> set[str]:
+def _text_features(text: str, model: CharacterModel, known: Remembered) -> set[str]:
     text, found = text.lower(), set()
+    known.age()
     for token in set(text.split()):
         got = known.get(token)
         if got is None:
-            got = known[token] = tuple(f for w in words_of_token(token, model) for f in features_of(w))
+            got = known.now[token] = tuple(f for w in words_of_token(token, model) for f in features_of(w))
         found.update(got)
     for w in spaced_words(text, model):
         found.update(features_of(w))
@@ -188,8 +190,9 @@ def learn(docs: DataFrame, labels: DataFrame, model: CharacterModel, most: int =
     rows = _sample(docs, labels, most).select("toxic", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Remembered(REMEMBERED)
         for batch in slices(batches, "text"):
-            counts, known = Counter(), {}
+            counts: Counter = Counter()
             for text in batch.column("text").to_pylist():
                 counts.update(_text_features(text, model, known))
             yield pa.RecordBatch.from_pydict({"f": pa.array(list(counts), pa.string()),
@@ -201,10 +204,8 @@ def learn(docs: DataFrame, labels: DataFrame, model: CharacterModel, most: int =
     number = {f: k for k, f in enumerate(tried)}
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict = {}
+        known = Remembered(REMEMBERED)
         for batch in slices(batches, "text"):
-            if len(known) > REMEMBERED:
-                known = {}
             found = [np.array(sorted(number[f] for f in _text_features(t, model, known) if f in number), "<i4").tobytes()
                      for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({"toxic": batch.column("toxic"), "found": pa.array(found, pa.binary())})
@@ -252,17 +253,15 @@ def fitted(docs: DataFrame, labels: DataFrame):
     """A column function text -> score, learnt from the documents and labels."""
     model = CharacterModel(_trigrams(docs))
     listed, rest = learn(docs, labels, model)
-    known: dict[str, float] = {}
+    known = Remembered(2 * REMEMBERED)
 
     def score(text: str) -> float:
-        nonlocal known
-        if len(known) > REMEMBERED:
-            known = {}
+        known.age()
         text, most = text.lower(), rest
         for token in set(text.split()):
             got = known.get(token)
             if got is None:
-                got = known[token] = max((listed.get(f, rest) for w in words_of_token(token, model)
+                got = known.now[token] = max((listed.get(f, rest) for w in words_of_token(token, model)
                                           for f in features_of(w)), default=rest)
             if got > most:
                 most = got

@@ -96,22 +96,23 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int, folder: str, par
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = encoder(tokenizer, False).encode, TaskContext.get().partitionId()
+        words, part = encoder(tokenizer, False), TaskContext.get().partitionId()
         store, base = _store(folder)
         name = f"part-{part:05d}-{uuid.uuid4().hex}"
         data = index = None
         at = records = ids = 0
-        for batch in slices(batches, "text", 8 << 20):
+        for batch in slices(batches, "text", 4 << 20):
             if data is None:
                 store.create_dir(base)
                 data = store.open_output_stream(f"{base}/{name}.rec", buffer_size=1 << 20)
                 index = store.open_output_stream(f"{base}/{name}.idx", buffer_size=1 << 16)
-            for doc_id, got in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist()),
+            for doc_id, got in zip(batch.column("doc_id").to_pylist(), words.encode(batch.column("text").to_pylist()),
                                    strict=True):
                 record = frame(pack_payload(doc_id, got + end))
                 data.write(record)
                 index.write(struct.pack("<Q", at))
                 at, records, ids = at + len(record), records + 1, ids + len(got) // 4 + 1
+        words.forget()
         if data is not None:
             data.close()
             index.close()

@@ -104,13 +104,14 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPAC
     end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, packer = encoder(tokenizer, True).encode, Packer(TaskContext.get().partitionId(), capacity, slack)
-        for batch in slices(batches, "text", 8 << 20):
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist()),
+        words, packer = encoder(tokenizer, True), Packer(TaskContext.get().partitionId(), capacity, slack)
+        for batch in slices(batches, "text", 4 << 20):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), words.encode(batch.column("text").to_pylist()),
                                    strict=True):
                 packer.add(doc_id, ids + end)
             if (out := packer.taken()) is not None:
                 yield out
+        words.forget()
         packer.end()
         if (out := packer.taken()) is not None:
             yield out

@@ -12,8 +12,12 @@ import re
 
 import numpy as np
 
-#: Words remembered by one worker before it starts anew (bounds memory, changes no result).
-REMEMBERED = 500_000
+from .common import Remembered
+
+#: Words of a generation that one worker remembers (bounds memory, changes no result).
+REMEMBERED = 100_000
+#: Words given to the library as one text.
+JOINED = 500
 
 _ENCODERS: dict[tuple[str, bool], "WordEncoder"] = {}
 
@@ -42,7 +46,11 @@ class WordEncoder:
         self.library, self.spaces_kept = Tokenizer.from_file(path), spaces_kept
         folded = self.library.normalizer
         self.lower = not spaces_kept and folded is not None and folded.normalize_str("Ab") == "ab"
-        self.known: dict[str, bytes] = {}
+        self.known = Remembered(REMEMBERED)
+        # byte-level vocabularies write the blank as this letter: ids whose token begins with it
+        # begin a piece
+        size = self.library.get_vocab_size()
+        self.begins = np.array([(self.library.id_to_token(i) or "").startswith("\u0120") for i in range(size)], bool)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, dtype="<u4").tobytes()
@@ -69,16 +77,35 @@ class WordEncoder:
             return piece
         return piece[1:] if piece[:1] == " " else " " + piece
 
+    def _joined(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that follow a blank: many as one text, cut again where a blank begins a token."""
+        groups = [pieces[k:k + JOINED] for k in range(0, len(pieces), JOINED)]
+        out: list[bytes] = []
+        for group, ids in zip(groups, self._ids([" " + " ".join(g) for g in groups]), strict=True):
+            at = (4 * np.flatnonzero(self.begins[np.frombuffer(ids, "<u4")])).tolist()
+            if len(at) == len(group) and at[0] == 0:
+                out += [ids[a:b] for a, b in zip(at, [*at[1:], len(ids)], strict=True)]
+            else:
+                out += self._ids([" " + p for p in group])
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known = {}
+        self.known.age()
         known, cut = self.known, [self._pieces(t) for t in texts]
         missing = set()
         for pieces in cut:
             if pieces:
                 missing.update(pieces)
-        new = [p for p in missing if p not in known]
-        known.update(zip(new, self._ids([self._text(p) for p in new]), strict=True))
+        new = [p for p in missing if known.get(p) is None]
+        if self.spaces_kept:
+            inner = [p for p in new if p and p[0] not in " \n" and "<|" not in p]
+            known.now.update(zip(inner, self._joined(inner), strict=True))
+            new = [p for p in new if p not in known.now]
+        known.now.update(zip(new, self._ids([self._text(p) for p in new]), strict=True))
         whole = iter(self._ids([t for t, p in zip(texts, cut, strict=True) if p is None]))
-        get = known.__getitem__
+        get = known.now.__getitem__
         return [next(whole) if p is None else b"".join(map(get, p)) for p in cut]
+
+    def forget(self) -> None:
+        """Give the memory of remembered words back (at the end of a task: the worker lives on)."""
+        self.known.forget()

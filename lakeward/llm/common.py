@@ -94,4 +94,5 @@ class Remembered:
             self.now, self.before = {}, self.now
 
     def forget(self) -> None:
-        self.now, self.before = {}, {}
+        """Keep only the keys asked for in both generations."""
+        self.now, self.before = {k: v for k, v in self.now.items() if k in self.before}, {}

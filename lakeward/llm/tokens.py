@@ -15,7 +15,7 @@ import numpy as np
 from .common import Remembered
 
 #: Words of a generation that one worker remembers (bounds memory, changes no result).
-REMEMBERED = 100_000
+REMEMBERED = 300_000
 #: Words given to the library as one text.
 JOINED = 500
 
@@ -36,8 +36,9 @@ class WordEncoder:
     token; False for tokenizers that drop white space.
     """
 
-    #: white space other than one blank or line end between words: the cut is left to the library
-    UNSURE = re.compile(r"[^\S \n]|[ \n]{2}")
+    #: white space other than blank and line end, or two of those in a row: the cut is left to the library
+    OTHER_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+    IN_A_ROW = ("  ", " \n", "\n ", "\n\n")
 
     def __init__(self, path: str, spaces_kept: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -64,7 +65,7 @@ class WordEncoder:
             if self.lower and text.isascii() and "<|" not in text:
                 text = text.lower()
             return text.replace("\n", " ").split(" ")
-        if self.UNSURE.search(text):
+        if any(x in text for x in self.IN_A_ROW) or self.OTHER_SPACE.search(text):
             return None
         # a piece is what follows a blank, or a line end with what follows it; the first piece has
         # neither before it and gets a mark that no other piece can have
@@ -107,5 +108,5 @@ class WordEncoder:
         return [next(whole) if p is None else b"".join(map(get, p)) for p in cut]
 
     def forget(self) -> None:
-        """Give the memory of remembered words back (at the end of a task: the worker lives on)."""
+        """Keep frequent words only (at the end of a task: the worker lives on)."""
         self.known.forget()

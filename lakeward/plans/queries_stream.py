@@ -8,9 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
+from ..operators import quality as q
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..streaming import gate_stream as gs
@@ -41,12 +39,7 @@ def gate_stream_passed(spark, sf_dir):
 
 @query("gate_stream_report")
 def gate_stream_report(spark, sf_dir):
-    """Per-batch gate counts of the stream, summed over its batches (equals the batch report)."""
-    _, sq = _drain(spark, sf_dir)
-    reports = gs.batch_reports(sq)
-    cols = ["total_rows", "passed_rows", "failed_rows", "pickup_before_dropoff_fail_count",
-            "ratecode_range_fail_count"]
-    schema = T.StructType([T.StructField("batch_id", T.LongType())] + [T.StructField(c, T.LongType()) for c in cols])
-    per_batch = spark.createDataFrame([tuple(r.get(c) for c in ["batch_id", *cols]) for r in reports], schema)
-    return per_batch.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in cols],
-                         F.count(F.lit(1)).alias("_batches")).drop("_batches")
+    """Gate counts over everything the stream has committed (equals the batch report)."""
+    out, _ = _drain(spark, sf_dir)
+    return gs.sink_report(spark, out, q.code_rules(fx.trips(spark, sf_dir))).select(
+        "total_rows", "passed_rows", "failed_rows", "pickup_before_dropoff_fail_count", "ratecode_range_fail_count")

@@ -61,8 +61,16 @@ def read_quarantine(spark: SparkSession, out_dir: str) -> DataFrame:
     return df.filter(~F.col(q.DQ_PASS))
 
 
+def sink_report(spark: SparkSession, out_dir: str, rules: list[q.Rule]) -> DataFrame:
+    """The gate report over everything the sink has committed, whatever batches or restarts it took."""
+    return q.gate_report(spark.read.schema(_sink_schema(spark, out_dir)).parquet(out_dir), rules)
+
+
 def batch_reports(query: StreamingQuery) -> list[dict]:
-    """One report per processed micro-batch (batch id + the gate counts), from the progress log."""
+    """For monitoring: reports of the newest micro-batches of this run (batch id + the gate counts).
+
+    Spark keeps a bounded number of them; ``sink_report`` has the whole counts.
+    """
     out = []
     for p in query.recentProgress:
         row = (p.observedMetrics or {}).get(REPORT_NAME)

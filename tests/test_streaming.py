@@ -48,3 +48,16 @@ def test_stream_restart_commits_nothing_twice(spark):
     sq.awaitTermination()
     assert sum(r["total_rows"] for r in gs.batch_reports(sq)) == 5
     assert gs.read_quarantine(spark, out).filter(F.col("dq_pass")).count() == 0
+
+
+def test_sink_report_outlives_the_progress_window_and_restarts(spark):
+    trips, landing = _land(spark, 4)
+    out, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for _ in range(2):
+            gs.gate_landing_stream(spark, landing, trips.schema, out, checkpoint=ckpt,
+                                   max_files_per_trigger=1).awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert gs.sink_report(spark, out, q.code_rules(trips)).first() == q.quality_gate(trips).report.first()

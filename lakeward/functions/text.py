@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..governance import AUTO_MERGE, REJECT, STEWARD_REVIEW
+from ..governance import AUTO_MERGE, CONFIDENCE_WEIGHTS, REJECT, STEWARD_REVIEW
 
 
 def _c(col: Column | str) -> Column:
@@ -13,13 +16,12 @@ def _c(col: Column | str) -> Column:
 
 
 def normalize_text(col: Column | str) -> Column:
-    """Upper-case, every char outside ``[A-Z0-9 ]`` to a blank, collapse blank runs, trim.
+    """The ASCII words of the upper-cased text, joined by one blank; NULL stays NULL.
 
-    Non-ASCII letters become blanks too (the pattern is ASCII). NULL stays NULL.
+    A word is a run of ``A-Z`` and ``0-9``; everything else only separates words.
     """
-    upper = F.upper(_c(col).cast("string"))
-    no_punct = F.regexp_replace(upper, r"[^A-Z0-9 ]", " ")
-    return F.trim(F.regexp_replace(no_punct, r"\s+", " "))
+    words = F.regexp_extract_all(F.upper(_c(col).cast("string")), F.lit("[A-Z0-9]+"), F.lit(0))
+    return F.array_join(words, " ")
 
 
 def upper_trim(col: Column | str) -> Column:
@@ -28,39 +30,43 @@ def upper_trim(col: Column | str) -> Column:
 
 
 def first_token(col: Column | str) -> Column:
-    """First blank-separated token (``''`` for an empty text, NULL for NULL)."""
-    return F.split(_c(col), " ").getItem(0)
+    """What stands before the first blank (``''`` for an empty text, NULL for NULL)."""
+    return F.substring_index(_c(col), " ", 1)
+
+
+def similarity_of_distance(distance: Column, longest: Column) -> Column:
+    """``1 - distance / longest`` to 4 places; two empty names (``longest`` 0) count as 0.0."""
+    ratio = F.round(1 - distance / F.nullif(longest, F.lit(0)), 4)
+    return F.when(longest.isNotNull(), F.when(longest > 0, ratio).otherwise(F.lit(0.0)))
 
 
 def lev_similarity(a: Column | str, b: Column | str) -> Column:
-    """``1 - levenshtein(a, b) / max(len a, len b)`` rounded to 4 places; 0.0 when both are empty.
+    """Similarity of two names by edit distance.
 
     ``greatest`` skips NULLs, so one NULL side and one empty side also gives 0.0; otherwise a
     NULL side gives NULL.
     """
     a, b = _c(a), _c(b)
-    max_len = F.greatest(F.length(a), F.length(b))
-    return F.when(max_len == 0, F.lit(0.0)).otherwise(F.round(1 - (F.levenshtein(a, b) / max_len), 4))
+    return similarity_of_distance(F.levenshtein(a, b), F.greatest(F.length(a), F.length(b)))
 
 
 def token_match(token_a: Column | str, token_b: Column | str) -> Column:
-    """1.0 when the first tokens are equal, else 0.0 (NULL compares as not equal)."""
-    return F.when(_c(token_a) == _c(token_b), F.lit(1.0)).otherwise(F.lit(0.0))
+    """1.0 when both tokens are known and equal, else 0.0."""
+    return F.coalesce((_c(token_a) == _c(token_b)).cast("double"), F.lit(0.0))
 
 
-def match_confidence(similarity: Column | str, token_eq: Column | str) -> Column:
-    """``round(0.90 * similarity + 0.10 * token_match, 4)`` in that evaluation order."""
-    return F.round(_c(similarity) * F.lit(0.90) + _c(token_eq) * F.lit(0.10), 4)
+def match_confidence(*evidence: Column | str) -> Column:
+    """Evidence (name similarity, token match) under the declared weights, to 4 places."""
+    weighted = [_c(value) * F.lit(weight) for value, weight in zip(evidence, CONFIDENCE_WEIGHTS, strict=True)]
+    return F.round(reduce(operator.add, weighted), 4)
 
 
 def decision(confidence: Column | str, high: float, medium: float) -> Column:
-    """Inclusive bands: >= high AUTO_MERGE, >= medium STEWARD_REVIEW, else (and NULL) REJECT."""
-    conf = _c(confidence)
-    return (
-        F.when(conf >= F.lit(high), F.lit(AUTO_MERGE))
-        .when(conf >= F.lit(medium), F.lit(STEWARD_REVIEW))
-        .otherwise(F.lit(REJECT))
-    )
+    """The highest band whose floor the confidence reaches; below every floor (and NULL) REJECT."""
+    bands = F.array(*[F.struct(F.lit(float(floor)).alias("floor"), F.lit(label).alias("label"))
+                      for floor, label in ((high, AUTO_MERGE), (medium, STEWARD_REVIEW))])
+    reached = F.filter(bands, lambda band: _c(confidence) >= band["floor"])
+    return F.coalesce(F.get(reached, F.lit(0))["label"], F.lit(REJECT))
 
 
 def concat_key(block: Column | str, name: Column | str) -> Column:

@@ -19,6 +19,9 @@ DEFAULT_MIN_PASS_RATE = 0.95
 HIGH_CONFIDENCE = 0.95
 MEDIUM_CONFIDENCE = 0.80
 
+# Match confidence: weight of the name similarity, weight of the first-token match.
+CONFIDENCE_WEIGHTS = (0.90, 0.10)
+
 # Heuristic scorer of the declared match rules: exact key -> 1.0, otherwise 0.85.
 HEURISTIC_EXACT_SCORE = 1.0
 HEURISTIC_OTHER_SCORE = 0.85
@@ -38,11 +41,26 @@ DECLARED_RULES = [
      "passenger_count IS NULL OR (passenger_count >= 0 AND passenger_count <= 8)", "reject"),
 ]
 
-# Code-level rule set of the gate job: measures that must be >= 0 (or NULL), passenger and
-# rate-code ranges (inclusive), and the timestamp name candidates in the gate's order.
-NON_NEGATIVE_MEASURES = ["trip_distance", "fare_amount", "total_amount", "tip_amount", "tolls_amount", "extra"]
-PASSENGER_RANGE = (0, 8)
-RATECODE_RANGE = (1, 6)
+# Code-level rule set of the gate job: (rule, kind, columns, bounds, dimension, severity).
+# "known": the column is not NULL; "ordered": first <= second as timestamps; "within": NULL or
+# inside the inclusive bounds (None: open). "pickup" and "dropoff" stand for the timestamp
+# column found among the gate's candidates below.
+GATE_RULES = [
+    ("vendor_not_null", "known", ("VendorID",), None, "completeness", "high"),
+    ("pickup_not_null", "known", ("pickup",), None, "completeness", "high"),
+    ("dropoff_not_null", "known", ("dropoff",), None, "completeness", "high"),
+    ("pickup_before_dropoff", "ordered", ("pickup", "dropoff"), None, "validity", "high"),
+    ("pu_location_not_null", "known", ("PULocationID",), None, "completeness", "high"),
+    ("do_location_not_null", "known", ("DOLocationID",), None, "completeness", "high"),
+    ("trip_distance_non_negative", "within", ("trip_distance",), (0, None), "validity", "medium"),
+    ("fare_amount_non_negative", "within", ("fare_amount",), (0, None), "validity", "medium"),
+    ("total_amount_non_negative", "within", ("total_amount",), (0, None), "validity", "medium"),
+    ("tip_amount_non_negative", "within", ("tip_amount",), (0, None), "validity", "medium"),
+    ("tolls_amount_non_negative", "within", ("tolls_amount",), (0, None), "validity", "medium"),
+    ("extra_non_negative", "within", ("extra",), (0, None), "validity", "medium"),
+    ("passenger_count_range", "within", ("passenger_count",), (0, 8), "validity", "low"),
+    ("ratecode_range", "within", ("RatecodeID",), (1, 6), "validity", "low"),
+]
 
 # Pickup/dropoff name candidates: the ingest job and the gate job probe them in different orders.
 INGEST_PICKUP_CANDIDATES = ["tpep_pickup_datetime", "lpep_pickup_datetime", "pickup_datetime"]

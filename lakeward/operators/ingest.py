@@ -14,15 +14,15 @@ from pyspark.sql import functions as F
 
 from .. import governance as gov
 from ..functions.time import as_timestamp, duration_minutes, stamp
-from ..sources.files import first_existing
+from ..sources.files import preferred_column
 from ..functions.casts import text_to_int, to_int
 
 
 def resolve_trip_times(df: DataFrame,
                        pickup_candidates=gov.INGEST_PICKUP_CANDIDATES,
                        dropoff_candidates=gov.INGEST_DROPOFF_CANDIDATES) -> tuple[str, str]:
-    pickup = first_existing(pickup_candidates, df.columns)
-    dropoff = first_existing(dropoff_candidates, df.columns)
+    pickup = preferred_column(df, pickup_candidates)
+    dropoff = preferred_column(df, dropoff_candidates)
     if not pickup or not dropoff:
         raise ValueError(f"pickup/dropoff columns not found; columns={df.columns}")
     return pickup, dropoff

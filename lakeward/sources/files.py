@@ -74,13 +74,10 @@ def read_optional(spark: SparkSession, path: str, reader=None) -> DataFrame | No
         return None
 
 
-def first_existing(candidates: Iterable[str], columns: Iterable[str]) -> str | None:
-    """First candidate name present in ``columns`` (exact, case-sensitive, candidate order wins)."""
-    present = set(columns)
-    for name in candidates:
-        if name in present:
-            return name
-    return None
+def preferred_column(df: DataFrame, accepted: Iterable[str]) -> str | None:
+    """Of the accepted names that ``df`` has (exact, case-sensitive) the most preferred: the earliest."""
+    rank = {name: place for place, name in enumerate(accepted)}
+    return min(rank.keys() & set(df.columns), key=rank.__getitem__, default=None)
 
 
 def require_columns(df: DataFrame, *names: str, what: str = "input") -> None:
@@ -92,7 +89,7 @@ def require_columns(df: DataFrame, *names: str, what: str = "input") -> None:
 
 def resolve_any(df: DataFrame, *candidates: str, what: str = "input") -> str:
     """First present of several accepted names for one column, or raise."""
-    name = first_existing(candidates, df.columns)
+    name = preferred_column(df, candidates)
     if name is None:
         raise ValueError(f"{what} has none of {list(candidates)}; found {df.columns}")
     return name

@@ -38,9 +38,9 @@ def test_ingest_name_resolution_and_missing(spark):
                                "lpep_pickup_datetime string, lpep_dropoff_datetime string, pickup_datetime string")
     assert ing.resolve_trip_times(df) == ("lpep_pickup_datetime", "lpep_dropoff_datetime")
     from lakeward import governance as gov
-    from lakeward.sources.files import first_existing
+    from lakeward.sources.files import preferred_column
     # the gate probes plain names before lpep names
-    assert first_existing(gov.GATE_PICKUP_CANDIDATES, df.columns) == "pickup_datetime"
+    assert preferred_column(df, gov.GATE_PICKUP_CANDIDATES) == "pickup_datetime"
     with pytest.raises(ValueError):
         ing.resolve_trip_times(spark.createDataFrame([(1,)], "x int"))
 

@@ -18,8 +18,9 @@ Scale design — no operator here enumerates all pairs of a block:
   every surviving candidate is verified with the exact score. Nothing that can qualify is lost.
 * Pair counts per decision come from arithmetic over group sizes plus the verified candidates;
   the reject band is the remainder, never materialised.
-* Id-level pair rows are produced only for the actionable bands (auto-merge between different
-  names, steward review), whose size is the size of the product itself.
+* Products hold one row per pair of match keys, named by their golden ids, with the number of
+  row pairs it stands for; rows of one key are listed as a star (member id -> golden id). No
+  product holds a row per pair of entity rows.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from ..sources.files import require_columns, resolve_any
 
 BLOCK, NAME, ID = "borough_norm", "zone_norm", "location_id"
 PAIR_COLUMNS = ["id_a", "id_b", "zone_a", "zone_b", "borough", "name_similarity", "token_a", "token_b",
-                "token_match", "match_confidence", "decision"]
+                "token_match", "match_confidence", "decision", "pair_count"]
 
 
 # ----------------------------------------------------------------------------------- standardise
@@ -227,67 +228,67 @@ def name_pair_scores(z: DataFrame, high: float = gov.HIGH_CONFIDENCE, medium: fl
     return out
 
 
-def expand_to_ids(pairs: DataFrame, z: DataFrame, per_id: DataFrame | None = None) -> DataFrame:
-    """Id-level pair rows for the given name pairs, in the reference orientation (a = smaller id).
-
-    Output size equals the product size (one row per pair of entity rows): two ids held by
-    ``m_u`` and ``m_v`` rows give ``m_u * m_v`` identical pair rows, as a self-join of the rows does.
-    """
-    per_id = id_multiplicity(z) if per_id is None else per_id
-    ru = per_id.select(F.col(BLOCK).alias("borough"), F.col(NAME).alias("zone_u"), F.col(ID).alias("_iu"),
-                       F.col("_m").alias("_mu"))
-    rv = per_id.select(F.col(BLOCK).alias("borough"), F.col(NAME).alias("zone_v"), F.col(ID).alias("_iv"),
-                       F.col("_m").alias("_mv"))
-    j = (pairs.join(ru, ["borough", "zone_u"]).join(rv, ["borough", "zone_v"])
-              .filter(F.col("_iu") != F.col("_iv")))
-    # same-name groups: both sides come from one group; keep each unordered pair once
-    j = j.filter((F.col("zone_u") != F.col("zone_v")) | (F.col("_iu") < F.col("_iv")))
-    j = j.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_mu") * F.col("_mv"))))
-    u_first = F.col("_iu") < F.col("_iv")
-    out = j.select(
-        F.least("_iu", "_iv").alias("id_a"), F.greatest("_iu", "_iv").alias("id_b"),
-        F.when(u_first, F.col("zone_u")).otherwise(F.col("zone_v")).alias("zone_a"),
-        F.when(u_first, F.col("zone_v")).otherwise(F.col("zone_u")).alias("zone_b"),
-        "borough", "name_similarity",
-        F.when(u_first, F.col("token_u")).otherwise(F.col("token_v")).alias("token_a"),
-        F.when(u_first, F.col("token_v")).otherwise(F.col("token_u")).alias("token_b"),
-        "token_match", "match_confidence", "decision")
-    return out
+def golden_ids(per_id: DataFrame) -> DataFrame:
+    """Per (block, name) the id of its golden row among the rows that can pair: the smallest."""
+    return per_id.groupBy(BLOCK, NAME).agg(F.min(ID).alias("golden_id"))
 
 
 def match_decisions(z: DataFrame, high: float = gov.HIGH_CONFIDENCE, medium: float = gov.MEDIUM_CONFIDENCE,
-                    include_same_name: bool = False) -> DataFrame:
-    """Id-level AUTO_MERGE / STEWARD_REVIEW pairs.
+                    per_id: DataFrame | None = None, scores: DataFrame | None = None) -> DataFrame:
+    """AUTO_MERGE / STEWARD_REVIEW pairs of different match keys, one row per pair of keys.
 
-    Pairs of rows with the same name are exact duplicates of one match key; their id-level pairs
-    form a clique per key, so by default they are left to the key-level products
-    (``dup_by_match_key`` / ``golden_master``) and only pairs of different names are listed.
+    ``id_a`` and ``id_b`` are the golden ids of the two keys, ``id_a`` the smaller one (equal ids:
+    the smaller name first); ``pair_count`` is the number of entity-row pairs the row stands for.
+    Rows of one key are in ``auto_merge_members``.
+    """
+    per_id = id_multiplicity(z) if per_id is None else per_id
+    scores = name_pair_scores(z, high, medium, per_id=per_id) if scores is None else scores
+    ids = golden_ids(per_id)
+    pairs = scores.filter(F.col("zone_u") != F.col("zone_v"))
+    for side in ("u", "v"):
+        pairs = pairs.join(ids.select(F.col(BLOCK).alias("borough"), F.col(NAME).alias(f"zone_{side}"),
+                                      F.col("golden_id").alias(f"_id_{side}")), ["borough", f"zone_{side}"])
+    ends = [F.struct(F.col(f"_id_{side}").alias("id"), F.col(f"zone_{side}").alias("zone"),
+                     F.col(f"token_{side}").alias("token")) for side in ("u", "v")]
+    pairs = pairs.withColumns({"_a": F.least(*ends), "_b": F.greatest(*ends)})
+    named = {f"{field}_{side}": F.col(f"_{side}.{field}") for field in ("id", "zone", "token") for side in ("a", "b")}
+    return pairs.withColumns(named).select(*PAIR_COLUMNS)
+
+
+def auto_merge_members(z: DataFrame, high: float = gov.HIGH_CONFIDENCE,
+                       per_id: DataFrame | None = None) -> DataFrame:
+    """Rows of one match key that merge without review, as a star: every further id -> golden id.
+
+    A key of n ids gives n - 1 rows. Empty names score 0.1 at most and NULL names have no score,
+    so neither merges at a threshold above that.
     """
-    per_id = id_multiplicity(z)
-    pairs = name_pair_scores(z, high, medium, actionable_only=True, per_id=per_id)
-    if not include_same_name:
-        pairs = pairs.filter(F.col("zone_u") != F.col("zone_v"))
-    return expand_to_ids(pairs, z, per_id=per_id)
+    per_id = id_multiplicity(z) if per_id is None else per_id
+    keys = _scored(golden_ids(per_id), NAME, NAME, high, high).filter(F.col("decision") == gov.AUTO_MERGE)
+    members = per_id.join(keys.select(BLOCK, NAME, "golden_id"), [BLOCK, NAME])
+    return (members.filter(F.col(ID) > F.col("golden_id"))
+                   .select(ID, "golden_id", BLOCK, NAME, tx.concat_key(F.col(BLOCK), F.col(NAME)).alias("match_key")))
 
 
 def steward_queue(decisions: DataFrame, now=None) -> DataFrame:
-    """The steward product: STEWARD_REVIEW pairs, status PENDING, highest confidence first."""
+    """The steward product: STEWARD_REVIEW pairs of keys, status PENDING, highest confidence first."""
     return (decisions.filter(F.col("decision") == gov.STEWARD_REVIEW)
                      .select("id_a", "id_b", "zone_a", "zone_b", "borough", "name_similarity", "match_confidence",
                              "decision", F.lit(gov.PENDING).alias("review_status"),
-                             stamp(now).alias("submitted_at_utc"))
+                             stamp(now).alias("submitted_at_utc"), "pair_count")
                      .orderBy(F.desc("match_confidence"), "id_a", "id_b"))
 
 
-def match_audit(z: DataFrame, high: float = gov.HIGH_CONFIDENCE, medium: float = gov.MEDIUM_CONFIDENCE) -> DataFrame:
+def match_audit(z: DataFrame, high: float = gov.HIGH_CONFIDENCE, medium: float = gov.MEDIUM_CONFIDENCE,
+                per_id: DataFrame | None = None, scores: DataFrame | None = None) -> DataFrame:
     """Run audit: rows, all pairs compared, pairs per decision band (reject = the remainder).
 
     Every figure is exact; none needs the pair list: totals come from group-size arithmetic,
     actionable bands from the verified candidates weighted by their pair counts.
     """
-    per_id = id_multiplicity(z)
+    per_id = id_multiplicity(z) if per_id is None else per_id
+    scores = name_pair_scores(z, high, medium, per_id=per_id) if scores is None else scores
     totals = block_pair_totals(per_id).agg(F.coalesce(F.sum("pairs"), F.lit(0)).cast("long").alias("total_pairs_compared"))
-    bands = name_pair_scores(z, high, medium, actionable_only=True, per_id=per_id).agg(
+    bands = scores.agg(
         F.coalesce(F.sum(F.when(F.col("decision") == gov.AUTO_MERGE, F.col("pair_count"))), F.lit(0))
          .cast("long").alias("auto_merge_pairs"),
         F.coalesce(F.sum(F.when(F.col("decision") == gov.STEWARD_REVIEW, F.col("pair_count"))), F.lit(0))
@@ -340,17 +341,3 @@ def heuristic_scores(pairs: DataFrame, high: float = gov.HIGH_CONFIDENCE, medium
         F.lit(gov.HEURISTIC_OTHER_SCORE))
     return pairs.withColumn("heuristic_score", score).withColumn(
         "heuristic_decision", tx.decision(F.col("heuristic_score"), high, medium))
-
-
-def master_table_shape(golden: DataFrame, ids: DataFrame | None = None, version_tag: str = "v1",
-                       classification: str = "internal") -> DataFrame:
-    """Golden rows in the relational master shape (governance columns as literals)."""
-    g = golden if ids is None else ids
-    return g.select(
-        *([F.col("golden_id")] if "golden_id" in g.columns else []),
-        F.col(ID), F.col("Borough").alias("borough"), F.col("Zone").alias("zone_name"), "service_zone",
-        "match_key", F.lit(1).cast("decimal(5,4)").alias("match_confidence"), "survivorship_rule", "mdm_state",
-        F.lit(gov.MASTER_SOURCE_SYSTEM).alias("source_system"), "created_at_utc", "updated_at_utc",
-        F.lit(gov.MASTER_OWNER).alias("data_owner"), F.lit(gov.MASTER_STEWARD).alias("data_steward"),
-        F.lit(classification).alias("classification"), F.lit(version_tag).alias("version_tag"))
-

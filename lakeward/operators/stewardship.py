@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import governance as gov
+from ..functions.text import concat_key
 from ..functions.time import stamp
 from .keys import dense_ids
-from .matching import BLOCK, ID, NAME
+from .matching import ID
 
 
 def master_table(golden: DataFrame, classification: str = "internal", version_tag: str = "v1") -> DataFrame:
@@ -22,14 +23,17 @@ def master_table(golden: DataFrame, classification: str = "internal", version_ta
         F.lit(classification).alias("classification"), F.lit(version_tag).alias("version_tag"))
 
 
-def queue_table(decisions: DataFrame, z: DataFrame, now=None, assignee: str = gov.MASTER_STEWARD) -> DataFrame:
-    """STEWARD_REVIEW pairs as queue entries about the later record (``id_b``), status OPEN,
-    ``queue_id`` = 1..n by (id_a, id_b)."""
-    rec = z.select(F.col(ID).alias("id_b"), F.col(NAME).alias("zone_b"), F.col(BLOCK).alias("borough"),
-                   F.col("Borough").alias("_borough_raw"), F.col("Zone").alias("_zone_raw"), "service_zone",
-                   "match_key")
-    pairs = decisions.filter(F.col("decision") == gov.STEWARD_REVIEW).join(rec, ["id_b", "zone_b", "borough"])
-    pairs = dense_ids(pairs, ["id_a", "id_b"], "queue_id")
+def queue_table(decisions: DataFrame, golden: DataFrame, now=None, assignee: str = gov.MASTER_STEWARD) -> DataFrame:
+    """STEWARD_REVIEW pairs of keys as queue entries about the later key's golden record, status
+    OPEN, ``queue_id`` = 1..n by (id_a, id_b, names, block), a total order.
+
+    ``golden`` has one row per match key, so entries do not multiply when an id was loaded twice.
+    """
+    record = golden.select("match_key", F.col("Borough").alias("_borough_raw"), F.col("Zone").alias("_zone_raw"),
+                           "service_zone")
+    review = decisions.filter(F.col("decision") == gov.STEWARD_REVIEW).withColumn(
+        "match_key", concat_key("borough", "zone_b"))
+    pairs = dense_ids(review.join(record, "match_key"), ["id_a", "id_b", "zone_a", "zone_b", "borough"], "queue_id")
     ts = stamp(now)
     return pairs.select(
         "queue_id", F.col("id_b").alias("location_id"), F.col("_borough_raw").alias("borough"),
@@ -54,12 +58,12 @@ def apply_decisions(queue: DataFrame, decisions: DataFrame, now=None) -> DataFra
 
 def master_after_approvals(master: DataFrame, queue: DataFrame, now=None,
                            from_state: str = "ACTIVE", to_state: str = "DEPRECATED") -> DataFrame:
-    """Master rows whose record was APPROVED as a duplicate move ACTIVE -> DEPRECATED (soft
-    delete: the row stays). Approved ids are distinct-ed first, so the join cannot fan out."""
-    approved = (queue.filter(F.col("status") == "APPROVED").select(F.col("location_id").alias("_aid"))
-                     .distinct().withColumn("_approved", F.lit(True)))
-    j = master.join(approved, master[ID] == F.col("_aid"), "left")
+    """Master rows whose match key was APPROVED as a duplicate move ACTIVE -> DEPRECATED (soft
+    delete: the row stays). Approved keys are made distinct first, so the join cannot fan out."""
+    approved = (queue.filter(F.col("status") == "APPROVED").select("match_key").distinct()
+                     .withColumn("_approved", F.lit(True)))
+    j = master.join(approved, "match_key", "left")
     hit = F.coalesce(F.col("_approved"), F.lit(False)) & (F.col("mdm_state") == F.lit(from_state))
-    return (j.withColumn("mdm_state", F.when(hit, F.lit(to_state)).otherwise(F.col("mdm_state")))
-             .withColumn("updated_at_utc", F.when(hit, stamp(now)).otherwise(F.col("updated_at_utc")))
-             .drop("_aid", "_approved"))
+    return (j.withColumns({"mdm_state": F.when(hit, F.lit(to_state)).otherwise(F.col("mdm_state")),
+                           "updated_at_utc": F.when(hit, stamp(now)).otherwise(F.col("updated_at_utc"))})
+             .select(*master.columns))

@@ -22,6 +22,7 @@ from ..operators import ingest as ing
 from ..operators import lifecycle as lc
 from ..operators import matching as m
 from ..operators import quality as q
+from ..operators import stewardship as sw
 from ..sources import files, sinks
 from ..sources.snapshots import SnapshotTable
 
@@ -119,37 +120,42 @@ def quality_gate_job(spark: SparkSession, source: DataFrame, curated_root: str,
                      min_pass_rate: float | None = None, rules: list[q.Rule] | None = None,
                      partition_by: list[str] | None = None, now=None) -> GateOutputs:
     """One pass over the input: flag, observe every report count, and write passed and failed rows
-    in a single write partitioned by ``dq_pass``. The passed side is committed as the next curated
-    version, the failed side is the quarantine folder (flags kept), the report is a one-row JSON
-    built from the observation. With ``min_pass_rate`` the job fails *after* the report is written.
+    in a single write partitioned by ``dq_pass`` into a run folder of its own. The failed side becomes
+    the next quarantine version (flags kept), the report is a one-row JSON built from the
+    observation. With ``min_pass_rate`` the job stops here on a lower rate, before the passed side
+    is published as the next curated version. A side without rows is a version without rows.
     """
     rules = q.code_rules(source) if rules is None else rules
     flagged = q.flag_frame(source, rules)
+    sides = T.StructType([f for f in flagged.schema.fields if f.name != q.DQ_PASS])
     obs = Observation("quality_gate")
     if partition_by:
         # high-cardinality output partitions (days): cluster first so a task writes few files
         flagged = flagged.hint("rebalance", q.DQ_PASS, *partition_by)
     observed = flagged.observe(obs, *q.report_measures(rules))
-    run_dir = f"{quarantine_root.rstrip('/')}/run={uuid.uuid4().hex[:12]}"
+    run_dir = f"{curated_root.rstrip('/')}-gate-runs/run={uuid.uuid4().hex}"
     observed.write.mode("error").partitionBy(q.DQ_PASS, *(partition_by or [])).parquet(run_dir)
     counts = {k: int(v) for k, v in obs.get.items()}
-    passed_dir, failed_dir = f"{run_dir}/{q.DQ_PASS}=true", f"{run_dir}/{q.DQ_PASS}=false"
-    version = SnapshotTable(spark, curated_root).register(
-        [passed_dir], {"numOutputRows": counts["passed_rows"]}, parameters={"job": job_name},
-        partition_by=partition_by)
-    report = dict(counts, input_path=input_path, curated_path=curated_root, quarantine_path=failed_dir,
+
+    def publish(root: str, side: str, rows: int) -> int:
+        folders = [f"{run_dir}/{q.DQ_PASS}={side}"] if rows else []
+        return SnapshotTable(spark, root).register(folders, sides, {"numOutputRows": rows},
+                                                   parameters={"job": job_name}, partition_by=partition_by)
+
+    publish(quarantine_root, "false", counts["failed_rows"])
+    report = dict(counts, input_path=input_path, curated_path=curated_root, quarantine_path=quarantine_root,
                   job_name=job_name)
     stamp = now or _utcnow().isoformat(sep=" ")
     (spark.createDataFrame([report]).withColumn("generated_at_utc", F.lit(str(stamp)).cast("timestamp"))
           .coalesce(1).write.mode("overwrite").json(report_path))
     if min_pass_rate is not None:
         q.enforce_pass_rate(counts, min_pass_rate)
-    return GateOutputs(version, failed_dir, report)
+    return GateOutputs(publish(curated_root, "true", counts["passed_rows"]), quarantine_root, report)
 
 
-def read_quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    """Quarantined rows as written by the gate (``dq_pass`` restored as boolean false)."""
-    return spark.read.parquet(folder).withColumn(q.DQ_PASS, F.lit(False))
+def read_quarantine(spark: SparkSession, quarantine_root: str) -> DataFrame:
+    """Rows quarantined by the last gate run (``dq_pass`` restored as boolean false)."""
+    return SnapshotTable(spark, quarantine_root).read().withColumn(q.DQ_PASS, F.lit(False))
 
 
 # ------------------------------------------------------------------------------------- job 4
@@ -157,20 +163,23 @@ def read_quarantine(spark: SparkSession, folder: str) -> DataFrame:
 def matching_job(spark: SparkSession, zones: DataFrame, master_root: str, steward_path: str, products_root: str,
                  audit_path: str, high: float = gov.HIGH_CONFIDENCE, medium: float = gov.MEDIUM_CONFIDENCE,
                  job_name: str = "mdm_matching", now=None) -> dict:
-    """Standardise, write golden master (snapshot), steward queue, auto-merge pairs, duplicate
-    evidence and the audit summary (in its own ``summary/`` folder, beside the evidence)."""
+    """Standardise, write golden master (snapshot), steward queue, auto-merge pairs of keys and members
+    of keys, duplicate evidence and the audit summary (in its own ``summary/`` folder, beside the evidence)."""
     z = m.standardize(zones)
     master_format = sinks.write_product(m.golden_master(z, now=now), "master_zones", master_root,
                                         parameters={"job": job_name})
-    decisions = m.match_decisions(z, high, medium)
-    decisions.write.mode("overwrite").parquet(f"{products_root}/decisions")
-    dec = spark.read.parquet(f"{products_root}/decisions")  # cut lineage: both products read the written pairs
-    sinks.write_product(m.steward_queue(dec, now=now), "steward_queue", steward_path)
-    sinks.write_product(dec.filter(F.col("decision") == gov.AUTO_MERGE), "auto_merge_pairs",
+    per_id = m.id_multiplicity(z)
+    m.name_pair_scores(z, high, medium, per_id=per_id).write.mode("overwrite").parquet(f"{products_root}/name_pairs")
+    scores = spark.read.parquet(f"{products_root}/name_pairs")  # scored once; every product reads these rows
+    decisions = m.match_decisions(z, high, medium, per_id=per_id, scores=scores)
+    sinks.write_product(m.steward_queue(decisions, now=now), "steward_queue", steward_path)
+    sinks.write_product(decisions.filter(F.col("decision") == gov.AUTO_MERGE), "auto_merge_pairs",
                         f"{products_root}/auto_merge")
+    sinks.write_product(m.auto_merge_members(z, high, per_id=per_id), "auto_merge_members",
+                        f"{products_root}/auto_merge_members")
     for name, frame in (("dup_by_location_id", m.dup_by_id(z)), ("dup_by_match_key", m.dup_by_match_key(z))):
         sinks.write_product(frame, name, f"{products_root}/{name}")
-    audit = m.match_audit(z, high, medium).withColumns({
+    audit = m.match_audit(z, high, medium, per_id=per_id, scores=scores).withColumns({
         "master_out_path": F.lit(master_root), "master_format": F.lit(master_format),
         "steward_queue_path": F.lit(steward_path), "job_name": F.lit(job_name),
         "generated_at_utc": F.current_timestamp() if now is None else F.lit(now).cast("timestamp")})
@@ -179,13 +188,19 @@ def matching_job(spark: SparkSession, zones: DataFrame, master_root: str, stewar
     return {"master_version": master_version, "master_format": master_format}
 
 
+def steward_job(spark: SparkSession, master_root: str, queue: DataFrame, now=None) -> int:
+    """The master after a steward's approvals, committed as its next version."""
+    master = SnapshotTable(spark, master_root)
+    return master.commit(sw.master_after_approvals(master.read(), queue, now=now), operation="STEWARD")
+
+
 # ------------------------------------------------------------------------------------- job 5
 
 def table_history(spark: SparkSession, tables: dict[str, str], job_name: str, now=None) -> DataFrame:
     """History of several snapshot tables in one frame (table name, path, job, capture time)."""
     frames = []
     for name, root in tables.items():
-        h = SnapshotTable(spark, root).history().drop("files")
+        h = SnapshotTable(spark, root).history().drop("files", "schema_json")
         frames.append(h.withColumns({"table_name": F.lit(name), "table_path": F.lit(root),
                                      "job_name": F.lit(job_name),
                                      "captured_at_utc": F.current_timestamp() if now is None
@@ -222,10 +237,13 @@ def lifecycle_job(spark: SparkSession, master_root: str, curated_root: str, orph
 def archive_expired(spark: SparkSession, master_root: str, archive_root: str, as_of: str) -> dict:
     """Move expired master rows: append them to the (append-only) archive, then commit the
     remaining rows as the next master version. Nothing is deleted from earlier versions."""
-    master = SnapshotTable(spark, master_root).read()
-    expired, kept = lc.split_expired(master, as_of)
-    av = SnapshotTable(spark, archive_root).commit(expired, mode="append", operation="ARCHIVE",
-                                                   parameters={"as_of": as_of})
-    mv = SnapshotTable(spark, master_root).commit(kept.drop("retention_until", "is_expired"),
-                                                  operation="RETENTION", parameters={"as_of": as_of})
+    master, archive = SnapshotTable(spark, master_root), SnapshotTable(spark, archive_root)
+    expired, kept = lc.split_expired(master.read(), as_of)
+    # the archive row names the master version it came from: a re-run after a crash between the two
+    # commits finds it and does not archive the same rows again
+    source = {"as_of": as_of, "master_version": master.latest_version()}
+    av = archive.committed_with("ARCHIVE", source)
+    if av is None:
+        av = archive.commit(expired, mode="append", operation="ARCHIVE", parameters=source)
+    mv = master.commit(kept.drop("retention_until", "is_expired"), operation="RETENTION", parameters=source)
     return {"archive_version": av, "master_version": mv}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .oracles import ORACLES, oracle  # noqa: F401
 
-from .oracles import MASTER, TRIPS, ZONES, with_
+from .oracles import GATE, MASTER, TRIPS, ZONES, with_
 
 CLOCK = "TIMESTAMP '2025-01-01 00:00:00'"
 
@@ -105,10 +105,24 @@ scored AS (SELECT *, CASE WHEN match_confidence >= 0.95::DOUBLE THEN 'AUTO_MERGE
                           WHEN match_confidence >= 0.8::DOUBLE THEN 'STEWARD_REVIEW' ELSE 'REJECT' END AS decision
            FROM s3)"""
 
+# All pairs of rows brought together per pair of match keys, under the smallest id of each key.
+KEYED = """
+key_ids AS (SELECT borough_norm, zone_norm, MIN(location_id) AS golden_id FROM zk
+            WHERE location_id IS NOT NULL GROUP BY ALL),
+counted AS (SELECT LEAST(zone_a, zone_b) AS zu, GREATEST(zone_a, zone_b) AS zv, borough, name_similarity,
+              token_match, match_confidence, decision, COUNT(*) AS pair_count
+            FROM scored WHERE decision <> 'REJECT' AND zone_a <> zone_b GROUP BY ALL),
+ended AS (SELECT c.*, u.golden_id AS gu, v.golden_id AS gv, u.golden_id <= v.golden_id AS straight
+          FROM counted c JOIN key_ids u ON u.borough_norm = borough AND u.zone_norm = zu
+                         JOIN key_ids v ON v.borough_norm = borough AND v.zone_norm = zv),
+keyed AS (SELECT LEAST(gu, gv) AS id_a, GREATEST(gu, gv) AS id_b,
+            CASE WHEN straight THEN zu ELSE zv END AS zone_a, CASE WHEN straight THEN zv ELSE zu END AS zone_b,
+            borough, name_similarity, token_match, match_confidence, decision, pair_count FROM ended)"""
+
 PARTS_M = with_(PARTS, std("parts"), PAIRS)
 SUPS_M = with_(SUPPLIERS, std("sups"), PAIRS)
-_PAIR_COLS = ("id_a, id_b, zone_a, zone_b, borough, name_similarity, token_a, token_b, token_match, "
-              "match_confidence, decision")
+_PAIR_COLS = ("id_a, id_b, zone_a, zone_b, borough, name_similarity, SPLIT_PART(zone_a, ' ', 1) AS token_a, "
+              "SPLIT_PART(zone_b, ' ', 1) AS token_b, token_match, match_confidence, decision, pair_count")
 
 oracle("normalized_names", f"{with_(PARTS, std('parts'))}\nSELECT * FROM zk")
 oracle("normalized_names_declared", f"""{with_(PARTS)},
@@ -126,14 +140,16 @@ SELECT borough, LEAST(zone_a, zone_b) AS zone_u, GREATEST(zone_a, zone_b) AS zon
   token_match, match_confidence, decision, COUNT(*) AS pair_count
 FROM scored WHERE match_confidence >= 0.8::DOUBLE
 GROUP BY ALL""")
-oracle("match_decisions", f"""{PARTS_M}
-SELECT {_PAIR_COLS} FROM scored WHERE decision <> 'REJECT' AND zone_a <> zone_b""")
-oracle("match_decisions_suppliers", f"""{SUPS_M}
-SELECT {_PAIR_COLS} FROM scored WHERE decision <> 'REJECT' AND zone_a <> zone_b""")
-oracle("steward_queue", f"""{PARTS_M}
+oracle("match_decisions", f"{PARTS_M}, {KEYED}\nSELECT {_PAIR_COLS} FROM keyed")
+oracle("match_decisions_suppliers", f"{SUPS_M}, {KEYED}\nSELECT {_PAIR_COLS} FROM keyed")
+oracle("auto_merge_members", f"""{PARTS_M}
+SELECT id_b AS location_id, MIN(id_a) AS golden_id, borough AS borough_norm, zone_b AS zone_norm,
+  CONCAT_WS('::', borough, zone_b) AS match_key
+FROM scored WHERE decision = 'AUTO_MERGE' AND zone_a = zone_b GROUP BY id_b, borough, zone_b""")
+oracle("steward_queue", f"""{PARTS_M}, {KEYED}
 SELECT id_a, id_b, zone_a, zone_b, borough, name_similarity, match_confidence, decision,
-  'PENDING' AS review_status, {CLOCK} AS submitted_at_utc
-FROM scored WHERE decision = 'STEWARD_REVIEW' AND zone_a <> zone_b""")
+  'PENDING' AS review_status, {CLOCK} AS submitted_at_utc, pair_count
+FROM keyed WHERE decision = 'STEWARD_REVIEW'""")
 
 
 def _audit(base: str) -> str:
@@ -295,6 +311,12 @@ SELECT COUNT(*) AS total_rows, COUNT(*) FILTER (WHERE dq_pass) AS passed_rows,
   COUNT(*) FILTER (WHERE NOT pickup_before_dropoff) AS pickup_before_dropoff_fail_count,
   COUNT(*) FILTER (WHERE NOT ratecode_range) AS ratecode_range_fail_count
 FROM flagged""")
+oracle("gate_stop", f"""{GATE}, rep AS (
+  SELECT COUNT(*) AS total_rows, COUNT(*) FILTER (WHERE dq_pass) AS passed_rows,
+    COUNT(*) FILTER (WHERE NOT dq_pass) AS failed_rows FROM flagged)
+SELECT *, total_rows > 0 AND passed_rows / total_rows < 0.95::DOUBLE AS stopped,
+  CASE WHEN total_rows > 0 AND passed_rows / total_rows < 0.95::DOUBLE THEN 0 ELSE 1 END::BIGINT AS curated_versions
+FROM rep""")
 oracle("catalog_tables", ORACLES["golden_master"])
 oracle("archive_expired", ORACLES["retention_expired"])
 
@@ -314,32 +336,31 @@ SELECT ROW_NUMBER() OVER (ORDER BY match_key) AS golden_id, location_id, Borough
 FROM gold""")
 QUEUE = f"""
 queue AS (
-  SELECT ROW_NUMBER() OVER (ORDER BY s.id_a, s.id_b) AS queue_id, s.id_b AS location_id, r.Borough AS borough,
+  SELECT ROW_NUMBER() OVER (ORDER BY s.id_a, s.id_b, s.zone_a, s.zone_b, s.borough) AS queue_id,
+    s.id_b AS location_id, r.Borough AS borough,
     r.Zone AS zone_name, r.service_zone, r.match_key, CAST(s.match_confidence AS DECIMAL(5,4)) AS match_confidence,
     s.decision, 'possible duplicate of ' || CAST(s.id_a AS VARCHAR) || ' (' || s.zone_a || ')' AS review_reason,
     'OPEN' AS status, 'data_steward_masterdata' AS assigned_to, {CLOCK} AS submitted_at_utc,
     {CLOCK} AS updated_at_utc
-  FROM scored s JOIN zk r ON r.location_id = s.id_b AND r.zone_norm = s.zone_b AND r.borough_norm = s.borough
-  WHERE s.decision = 'STEWARD_REVIEW' AND s.zone_a <> s.zone_b
+  FROM keyed s JOIN gold r ON r.zone_norm = s.zone_b AND r.borough_norm = s.borough
+  WHERE s.decision = 'STEWARD_REVIEW'
 ),
+verdicts AS (SELECT queue_id, (['OPEN', 'IN_REVIEW', 'APPROVED', 'REJECTED'])[queue_id % 4 + 1] AS verdict FROM queue),
 applied AS (
-  SELECT * REPLACE (
-    CASE WHEN match_confidence >= 0.9 THEN 'APPROVED' WHEN match_confidence < 0.82 THEN 'REJECTED'
-         ELSE 'IN_REVIEW' END AS status,
-    CASE WHEN (CASE WHEN match_confidence >= 0.9 THEN 'APPROVED' WHEN match_confidence < 0.82 THEN 'REJECTED'
-         ELSE 'IN_REVIEW' END) <> status THEN TIMESTAMP '2025-01-02 00:00:00' ELSE updated_at_utc END
-      AS updated_at_utc)
-  FROM queue
+  SELECT q.* REPLACE (verdict AS status,
+    CASE WHEN verdict <> status THEN TIMESTAMP '2025-01-02 00:00:00' ELSE updated_at_utc END AS updated_at_utc)
+  FROM queue q JOIN verdicts USING (queue_id)
 )"""
-oracle("steward_queue_table", f"{PARTS_M}, {QUEUE}\nSELECT * FROM queue")
-oracle("steward_apply", f"{PARTS_M}, {QUEUE}\nSELECT * FROM applied")
-oracle("steward_master_after", f"""{PARTS_M}, {QUEUE}, {GOLD}
+REVIEW = f"{PARTS_M}, {KEYED}, {GOLD}, {QUEUE}"
+oracle("steward_queue_table", f"{REVIEW}\nSELECT * FROM queue")
+oracle("steward_apply", f"{REVIEW}\nSELECT * FROM applied")
+oracle("steward_master_after", f"""{REVIEW}
 SELECT g.location_id, g.match_key,
-  CASE WHEN a.location_id IS NOT NULL AND g.mdm_state = 'ACTIVE' THEN 'DEPRECATED' ELSE g.mdm_state END AS mdm_state,
-  CASE WHEN a.location_id IS NOT NULL AND g.mdm_state = 'ACTIVE' THEN TIMESTAMP '2025-01-02 00:00:00'
+  CASE WHEN a.match_key IS NOT NULL AND g.mdm_state = 'ACTIVE' THEN 'DEPRECATED' ELSE g.mdm_state END AS mdm_state,
+  CASE WHEN a.match_key IS NOT NULL AND g.mdm_state = 'ACTIVE' THEN TIMESTAMP '2025-01-02 00:00:00'
        ELSE g.updated_at_utc END AS updated_at_utc
-FROM gold g LEFT JOIN (SELECT DISTINCT location_id FROM applied WHERE status = 'APPROVED') a
-  ON g.location_id = a.location_id""")
+FROM gold g LEFT JOIN (SELECT DISTINCT match_key FROM applied WHERE status = 'APPROVED') a
+  ON g.match_key = a.match_key""")
 oracle("match_jaro_winkler", f"""{PARTS_M}
 SELECT borough, LEAST(zone_a, zone_b) AS zone_u, GREATEST(zone_a, zone_b) AS zone_v, COUNT(*) AS pair_count,
   {r4('JARO_WINKLER_SIMILARITY(LEAST(zone_a, zone_b), GREATEST(zone_a, zone_b))')} AS jaro_winkler

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import governance as gov
 from ..operators import matching as m
+from ..operators import stewardship as sw
+from ..session import scratch_path
 from ..sources import fixtures as fx
+from ..sources.snapshots import SnapshotTable
+from . import jobs
 from .catalog import RUN_CLOCK, query
 
 
@@ -51,16 +56,22 @@ def match_name_pairs(spark, sf_dir):
 
 @query("match_decisions")
 def match_decisions(spark, sf_dir):
-    """Id-level AUTO_MERGE / STEWARD_REVIEW pairs between different names (parts by brand)."""
+    """AUTO_MERGE / STEWARD_REVIEW pairs of match keys, by golden ids (parts by brand)."""
     return m.match_decisions(_parts(spark, sf_dir))
 
 
 @query("match_decisions_suppliers")
 def match_decisions_suppliers(spark, sf_dir):
-    """Id-level actionable pairs of suppliers blocked by nation."""
+    """Actionable pairs of match keys of suppliers blocked by nation."""
     return m.match_decisions(_suppliers(spark, sf_dir))
 
 
+@query("auto_merge_members")
+def auto_merge_members(spark, sf_dir):
+    """Every further id of a match key -> the key's golden id (parts by brand)."""
+    return m.auto_merge_members(_parts(spark, sf_dir))
+
+
 @query("steward_queue")
 def steward_queue(spark, sf_dir):
     """Steward review queue (PENDING), highest confidence first."""
@@ -99,54 +110,50 @@ def match_heuristic(spark, sf_dir):
                                             "heuristic_score", "heuristic_decision")
 
 
-def _queue(spark, sf_dir):
-    from ..operators import stewardship as sw
+def _golden(spark, sf_dir):
+    return m.golden_master(_parts(spark, sf_dir), now=RUN_CLOCK)
+
 
-    z = _parts(spark, sf_dir)
-    return sw.queue_table(m.match_decisions(z), z, now=RUN_CLOCK)
+def _queue(spark, sf_dir):
+    return sw.queue_table(m.match_decisions(_parts(spark, sf_dir)), _golden(spark, sf_dir), now=RUN_CLOCK)
 
 
 def _steward_decisions(queue):
-    """Steward verdicts derived from the confidence band of each queue entry."""
-    status = (F.when(F.col("match_confidence") >= F.lit(0.9), F.lit("APPROVED"))
-               .when(F.col("match_confidence") < F.lit(0.82), F.lit("REJECTED"))
-               .otherwise(F.lit("IN_REVIEW")))
-    return queue.select("queue_id", status.alias("status"))
+    """A steward's verdicts on all entries: every status in turn, so each one occurs."""
+    statuses = F.array(*[F.lit(status) for status in gov.STEWARD_STATUSES])
+    return queue.select("queue_id", F.get(statuses, (F.col("queue_id") % 4).cast("int")).alias("status"))
+
+
+def _applied(spark, sf_dir):
+    queue = _queue(spark, sf_dir)
+    return sw.apply_decisions(queue, _steward_decisions(queue), now="2025-01-02 00:00:00")
 
 
 @query("master_table_shape")
 def master_table_shape(spark, sf_dir):
     """Golden master in the relational master-table shape with dense golden ids."""
-    from ..operators import stewardship as sw
-
-    return sw.master_table(m.golden_master(_parts(spark, sf_dir), now=RUN_CLOCK))
+    return sw.master_table(_golden(spark, sf_dir))
 
 
 @query("steward_queue_table")
 def steward_queue_table(spark, sf_dir):
-    """Steward review queue in the relational shape (one OPEN entry per review pair)."""
+    """Steward review queue in the relational shape (one OPEN entry per pair of keys to review)."""
     return _queue(spark, sf_dir)
 
 
 @query("steward_apply")
 def steward_apply(spark, sf_dir):
-    """Queue after applying steward verdicts (APPROVED / REJECTED / IN_REVIEW)."""
-    from ..operators import stewardship as sw
-
-    q = _queue(spark, sf_dir)
-    return sw.apply_decisions(q, _steward_decisions(q), now="2025-01-02 00:00:00")
+    """Queue after applying steward verdicts (OPEN / IN_REVIEW / APPROVED / REJECTED)."""
+    return _applied(spark, sf_dir)
 
 
 @query("steward_master_after")
 def steward_master_after(spark, sf_dir):
-    """Master after approvals: approved duplicates move ACTIVE -> DEPRECATED (rows kept)."""
-    from ..operators import stewardship as sw
-
-    q = _queue(spark, sf_dir)
-    applied = sw.apply_decisions(q, _steward_decisions(q), now="2025-01-02 00:00:00")
-    golden = m.golden_master(_parts(spark, sf_dir), now=RUN_CLOCK)
-    return sw.master_after_approvals(golden, applied, now="2025-01-02 00:00:00").select(
-        "location_id", "match_key", "mdm_state", "updated_at_utc")
+    """Master after approvals, as its next version: approved duplicates move ACTIVE -> DEPRECATED."""
+    root = scratch_path(spark, "steward")
+    SnapshotTable(spark, root).commit(_golden(spark, sf_dir))
+    jobs.steward_job(spark, root, _applied(spark, sf_dir), now="2025-01-02 00:00:00")
+    return SnapshotTable(spark, root).read().select("location_id", "match_key", "mdm_state", "updated_at_utc")
 
 
 @query("match_jaro_winkler")

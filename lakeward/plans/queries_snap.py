@@ -11,8 +11,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from .. import governance as gov
 from ..operators import ingest as ing
 from ..operators import matching as m
+from ..operators import quality as q
 from ..sources import fixtures as fx
 from ..sources.snapshots import SnapshotTable
 from ..session import scratch_path
@@ -122,6 +124,21 @@ def gate_report_json(spark, sf_dir):
                       "ratecode_range_fail_count", "job_name")
 
 
+@query("gate_stop")
+def gate_stop(spark, sf_dir):
+    """A gate run under the declared minimum pass rate: stopped or not, and what was published."""
+    root = scratch_path(spark, "gate-stop")
+    try:
+        jobs.quality_gate_job(spark, fx.trips(spark, sf_dir), f"{root}/curated", f"{root}/quarantine",
+                              f"{root}/report", now=RUN_CLOCK, min_pass_rate=gov.DEFAULT_MIN_PASS_RATE)
+        stopped = False
+    except q.QualityGateFailed:
+        stopped = True
+    published = SnapshotTable(spark, f"{root}/curated").history().count()
+    counts = spark.read.json(f"{root}/report").select("total_rows", "passed_rows", "failed_rows")
+    return counts.withColumns({"stopped": F.lit(stopped), "curated_versions": F.lit(published).cast("long")})
+
+
 @query("catalog_tables")
 def catalog_tables(spark, sf_dir):
     """Golden master committed as a snapshot, registered in the catalog and queried by name."""

@@ -26,6 +26,7 @@ PRODUCT_FORMATS: dict[str, tuple[str, list[str]]] = {
     "master_zones": ("table", []),
     "steward_queue": ("parquet", []),
     "auto_merge_pairs": ("parquet", []),
+    "auto_merge_members": ("parquet", []),
     "dup_by_location_id": ("csv", []),
     "dup_by_match_key": ("csv", []),
     "match_audit": ("json", []),

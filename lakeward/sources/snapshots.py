@@ -17,7 +17,7 @@ import uuid
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +31,7 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("user_metadata", T.StringType()),
     T.StructField("files", T.ArrayType(T.StringType())),
     T.StructField("partition_by", T.ArrayType(T.StringType())),
+    T.StructField("schema_json", T.StringType()),
 ])
 
 
@@ -43,6 +44,16 @@ def delta_available(spark: SparkSession) -> bool:
         return False
 
 
+def _merged(stored: str | None, added: T.StructType) -> str | None:
+    """Stored columns, then the new ones an append brings; None (infer) where types disagree."""
+    if stored is None:
+        return None
+    columns = {f.name: f for f in T.StructType.fromJson(json.loads(stored)).fields}
+    if any(f.name in columns and columns[f.name].dataType != f.dataType for f in added.fields):
+        return None
+    return T.StructType([*columns.values(), *(f for f in added.fields if f.name not in columns)]).json()
+
+
 class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -63,20 +74,41 @@ class SnapshotTable:
             led = self.spark.createDataFrame([], LEDGER_SCHEMA)
         return led.orderBy(F.desc("version"))
 
-    def _entries(self) -> list[dict]:
-        # the ledger holds one small row per commit; reading it on the driver is metadata access
-        return [r.asDict() for r in self.history().collect()]
+    def _newest(self, such_that=None) -> dict | None:
+        """The newest ledger row (of those a condition selects): one row, not the ledger."""
+        rows = self.history() if such_that is None else self.history().filter(such_that)
+        row = rows.first()
+        return row.asDict() if row else None
 
     def latest_version(self) -> int | None:
-        e = self._entries()
-        return e[0]["version"] if e else None
+        newest = self._newest()
+        return newest["version"] if newest else None
+
+    def committed_with(self, operation: str, parameters: dict) -> int | None:
+        """Newest version committed by ``operation`` with these parameters, if any (for re-runs)."""
+        same = F.col("operation") == operation
+        for key, value in parameters.items():
+            same &= F.col("operation_parameters")[key] == str(value)
+        row = self._newest(same)
+        return row["version"] if row else None
+
+    def _append_row(self, newest: dict | None, folders: list[str], schema: T.StructType, mode: str, operation: str,
+                    parameters: dict, metrics: dict, user_metadata: str | None, partition_by: list[str] | None,
+                    now: dt.datetime | None) -> int:
+        version = newest["version"] + 1 if newest else 0
+        kept = list(newest["files"]) if newest and mode == "append" else []
+        stored = _merged(newest["schema_json"], schema) if kept else schema.json()
+        row = (version, now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), operation, parameters,
+               {k: str(v) for k, v in metrics.items()}, user_metadata, kept + folders, list(partition_by or []), stored)
+        self.spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.ledger_path)
+        return version
 
     # ------------------------------------------------------------------ write
     def commit(self, df: DataFrame, mode: str = "overwrite", partition_by: list[str] | None = None,
                operation: str | None = None, parameters: dict | None = None, user_metadata: str | None = None,
                now: dt.datetime | None = None) -> int:
-        entries = self._entries()
-        version = (entries[0]["version"] + 1) if entries else 0
+        newest = self._newest()
+        version = newest["version"] + 1 if newest else 0
         # a folder of its own per attempt: what a dead writer left is never in the way of the next one
         folder = f"{self.root}/v={version}-{uuid.uuid4().hex}"
         obs = Observation(f"commit_{version}")
@@ -89,62 +121,56 @@ class SnapshotTable:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(folder)
-        metrics = {k: str(v) for k, v in obs.get.items()}
-        prev_files = list(entries[0]["files"]) if entries and mode == "append" else []
         params = {"mode": mode.capitalize(), "partitionBy": json.dumps(partition_by or [])}
         params.update({k: str(v) for k, v in (parameters or {}).items()})
-        row = (version, now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-               operation or ("WRITE" if mode == "overwrite" else "APPEND"), params, metrics, user_metadata,
-               prev_files + [folder], list(partition_by or []))
-        self.spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.ledger_path)
-        return version
+        return self._append_row(newest, [folder], df.schema, mode,
+                                operation or ("WRITE" if mode == "overwrite" else "APPEND"), params, obs.get,
+                                user_metadata, partition_by, now)
 
-    def register(self, folders: list[str], metrics: dict, mode: str = "overwrite", operation: str = "WRITE",
+    def register(self, folders: list[str], schema: T.StructType, metrics: dict, mode: str = "overwrite", operation: str = "WRITE",
                  parameters: dict | None = None, partition_by: list[str] | None = None,
                  now: dt.datetime | None = None) -> int:
-        """Commit data folders written by someone else (e.g. one side of a partitioned write)."""
-        entries = self._entries()
-        version = (entries[0]["version"] + 1) if entries else 0
-        prev = list(entries[0]["files"]) if entries and mode == "append" else []
+        """Commit data folders written by someone else (e.g. one side of a partitioned write); no
+        folder at all is a version without rows."""
         params = {"mode": mode.capitalize()}
         params.update({k: str(v) for k, v in (parameters or {}).items()})
-        row = (version, now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), operation, params,
-               {k: str(v) for k, v in metrics.items()}, None, prev + list(folders), list(partition_by or []))
-        self.spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.ledger_path)
-        return version
+        return self._append_row(self._newest(), list(folders), schema, mode, operation, params, metrics, None,
+                                partition_by, now)
 
     # ------------------------------------------------------------------ read
     def _entry(self, version: int | None = None, timestamp: str | dt.datetime | None = None) -> dict:
-        entries = self._entries()
-        if not entries:
+        if not self._ledger_exists():
             raise FileNotFoundError(f"no committed version under {self.root}")
+        wanted = None
         if version is not None:
-            hit = [e for e in entries if e["version"] == version]
-            if not hit:
-                raise ValueError(f"version {version} not found")
-            return hit[0]
-        if timestamp is not None:
+            wanted = F.col("version") == version
+        elif timestamp is not None:
             ts = dt.datetime.fromisoformat(str(timestamp)) if not isinstance(timestamp, dt.datetime) else timestamp
-            hit = [e for e in entries if e["committed_at_utc"] <= ts]
-            if not hit:
-                raise ValueError(f"no version committed at or before {timestamp}")
-            return hit[0]
-        return entries[0]
+            wanted = F.col("committed_at_utc") <= F.lit(ts)
+        found = self._newest(wanted)
+        if found is None:
+            raise ValueError(f"no version {version if version is not None else f'at or before {timestamp}'}")
+        return found
 
     def read(self, version: int | None = None, timestamp=None, schema: T.StructType | None = None) -> DataFrame:
         """Current version, or the one given by number or by time (latest commit at or before it)."""
         e = self._entry(version, timestamp)
         reader = self.spark.read
+        if schema is None and e["schema_json"]:
+            # as committed: no inference, and a text partition value such as '007' stays text
+            schema = T.StructType.fromJson(json.loads(e["schema_json"]))
+        files = list(e["files"])
+        if not files:
+            return self.spark.createDataFrame([], schema)
         if schema is not None:
             reader = reader.schema(schema)
-        files = list(e["files"])
         if len(files) == 1:
             return reader.parquet(files[0])
         try:
             # one relation over every folder of the version: one listing, one scan, however many
             # appends the table has had; columns added by later commits are merged (NULL before)
             return reader.option("mergeSchema", "true").parquet(*files)
-        except (AnalysisException, Py4JJavaError):
+        except (AnalysisException, SparkRuntimeException, Py4JJavaError):
             # folders whose schemas or partition layouts cannot be merged (raised while the
             # schema is resolved, before anything runs): align them by name instead
             frames = [reader.parquet(p) for p in files]

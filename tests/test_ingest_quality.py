@@ -138,3 +138,28 @@ def test_schema_diff_and_evolution(spark, tmp_path):
     spark.createDataFrame([(2, "n")], "a int, b string").write.parquet(str(tmp_path / "p2"))
     ev = sch.read_evolving(spark, [str(tmp_path / "p1"), str(tmp_path / "p2")])
     assert sorted(ev.columns) == ["a", "b"] and ev.filter("b is null").count() == 1
+
+
+def test_gate_sides_without_rows_and_stop_before_publishing(spark, tmp_path):
+    from lakeward.plans import jobs
+    from lakeward.sources.snapshots import SnapshotTable
+
+    good = (1, "2024-01-01 00:00:00", "2024-01-01 00:00:00", "5", 1, 1, 1, 1, 1.0)
+    bad = (None, *good[1:])
+    for name, rows in (("all", [good, good]), ("none", [bad]), ("empty", [])):
+        out = jobs.quality_gate_job(spark, _trips(spark, rows), str(tmp_path / name / "cur"),
+                                    str(tmp_path / name / "quar"), str(tmp_path / name / "rep"))
+        kept = SnapshotTable(spark, str(tmp_path / name / "cur")).read()
+        held = jobs.read_quarantine(spark, out.quarantine_path)
+        assert (kept.count(), held.count()) == (rows.count(good), rows.count(bad))
+        assert "vendor_not_null" in kept.columns and kept.columns == held.columns[:-1]
+    with pytest.raises(q.QualityGateFailed):
+        jobs.quality_gate_job(spark, _trips(spark, [bad]), str(tmp_path / "all" / "cur"),
+                              str(tmp_path / "all" / "quar"), str(tmp_path / "all" / "rep"), min_pass_rate=0.95)
+    assert SnapshotTable(spark, str(tmp_path / "all" / "cur")).latest_version() == 0  # nothing published
+    assert jobs.read_quarantine(spark, str(tmp_path / "all" / "quar")).count() == 1
+
+
+def test_text_measure_fails_its_row(spark):
+    df = spark.createDataFrame([("x",), ("-1",), ("2",), (None,)], "fare_amount string")
+    assert q.quality_gate(df).report.first().fare_amount_non_negative_fail_count == 2

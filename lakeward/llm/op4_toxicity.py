@@ -2,11 +2,12 @@
 
 1. A character trigram model (letters a-z, one symbol for any other letter, the word boundary) is
    counted over the words of every document.
-2. A token that looks disguised (letters with digits or signs among them, a letter three times or
-   more in a row, or single characters spaced out) becomes a lattice: each character may stand for
-   itself, for a letter it imitates, or for nothing; long repetitions for one or two letters; in
-   spaced runs a word may end anywhere. Viterbi decoding under the character model restores the
-   most likely letters.
+2. A token that looks disguised (digits or signs that imitate letters, also at its edges or without
+   any letter, a letter three times or more in a row, or single characters spaced out by any white
+   space up to a punctuation mark) becomes a lattice: each character may stand for itself, for a
+   letter it imitates, or for nothing; long repetitions for one or two letters; in spaced runs a
+   word may end anywhere; what is written like a number may also be one. Viterbi decoding under the
+   character model restores the most likely letters.
 3. Features of a document are its restored words and their beginnings of 4, 5 and 6 letters. From a
    bounded, documented sample of labelled rows a decision list is learnt: again and again the
    feature that explains the rows not yet covered best, as long as its gain is significant for the
@@ -53,12 +54,18 @@ IMITATED = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g
             "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
 #: Costs (negative log probabilities) of the channel.
 IMITATION, DROPPED, SEPARATOR, SHORTENED, WORD_END = 1.0, 4.0, 0.2, 0.5, 1.5
+#: The same for signs that are mere punctuation: where they usually stand, elsewhere at an edge; a number's digit.
+PUNCTUATION, ODD_PUNCTUATION, DIGIT = 2.5, 3.0, math.log(10)
 
 OTHER = "~"
 EDGE = re.compile(r"^[^\w@$€£]+|[^\w@$€£]+$")
+#: The same without the signs that imitate letters.
+OUTER = re.compile(r"^[^\w@$€£!|+(]+|[^\w@$€£!|+(]+$")
 PLAIN = re.compile(r"[^\W\d_]+")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
-SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
+#: Single characters between white space; punctuation may stand before the first and after the last.
+SPACED = re.compile(r"(?<![^\W_])(?<![^\W_]['’])\S(?:\s+\S){2,}(?![^\W_])")
+NUMBER = re.compile(r"\(?[+$€£]?\d+(?:[^\w@$€£!|+(]+\d+)*[$€£+]?!*")
 
 
 def symbol(c: str) -> str:
@@ -79,21 +86,24 @@ class CharacterModel:
 
 def _options(token: str) -> list[list[tuple[str, float]]]:
     """The lattice: per position the strings it may stand for, with their costs."""
-    out = []
+    out: list[list[tuple[str, float]]] = []
+    inner = [k for k, c in enumerate(token) if c.isalnum() or c in "_@$€£"] or [len(token)]
     for c, same in groupby(token):
-        n = sum(1 for _ in same)
+        n, before, after = sum(1 for _ in same), len(out) < inner[0], len(out) > inner[-1]
         if c.isalpha():
             out += [[(c, 0.0), (c * 2, SHORTENED)]] if n >= 3 else [[(c, 0.0)]] * n
         else:
             # a sign that imitates nothing separates letters; a long run of one that does is decoration
             drop = SEPARATOR if c not in IMITATED else DROPPED / n if n >= 3 else DROPPED
+            if c in IMITATED and (before or after):  # a run of them at an edge is punctuation as a whole
+                drop = (PUNCTUATION if c == "!" and after or c == "(" and before else ODD_PUNCTUATION) / n
             readings = [(x, IMITATION) for x in IMITATED.get(c, "")] + [("", drop)]
             out += [readings] * n
     return out
 
 
-def restore(token: str, model: CharacterModel, spaced: bool = False) -> list[str]:
-    """The words that a token most likely stands for (one, unless it is a spaced run)."""
+def decoded(token: str, model: CharacterModel, spaced: bool = False) -> tuple[float, str]:
+    """The most likely reading of a token and its cost."""
     states: dict[str, tuple[float, str]] = {"  ": (0.0, "")}
     for options in _options(token):
         nxt: dict[str, tuple[float, str]] = {}
@@ -113,20 +123,40 @@ def restore(token: str, model: CharacterModel, spaced: bool = False) -> list[str
                     offer(" " + " ", k + model.cost(s, " ") + WORD_END, text + reading + " ")
         states = nxt
     ends = ((cost + (0 if s[1] == " " else model.cost(s, " ")), text) for s, (cost, text) in states.items())
-    return min(ends)[1].split()
+    return min(ends)
+
+
+def restore(token: str, model: CharacterModel, spaced: bool = False) -> list[str]:
+    """The words that a token most likely stands for (one, unless it is a spaced run)."""
+    return decoded(token, model, spaced)[1].split()
 
 
 def words_of_token(token: str, model: CharacterModel) -> list[str]:
     """A lower-cased token without surrounding punctuation, restored if it looks disguised."""
-    token = EDGE.sub("", token)
+    token = OUTER.sub("", token)
     if not token or (PLAIN.fullmatch(token) and not REPEATED.search(token)):
         return [token] if token else []
     if not any(c.isalpha() for c in token):
-        return []
-    plain = PLAIN.findall(token)
-    disguised = REPEATED.search(token) or any(c in IMITATED for c in token) or \
+        if not any(c in IMITATED for c in token):
+            return []
+        cost, text = decoded(token, model)
+        return [] if NUMBER.fullmatch(token) and DIGIT * sum(map(str.isdigit, token)) <= cost else text.split()
+    core = EDGE.sub("", token)
+    plain = PLAIN.findall(core)
+    disguised = REPEATED.search(core) or any(c in IMITATED for c in core) or \
         (len(plain) > 2 and all(len(p) == 1 for p in plain))
-    return restore(token, model) if disguised else plain
+    if disguised:
+        return restore(token, model)
+    if core != token:  # signs at the edges belong to the first and the last word
+        at = token.index(core)
+        signs, more = token[:at], token[at + len(core):]
+        if len(plain) == 1:
+            return restore(signs + plain[0] + more, model)
+        if signs:
+            plain[:1] = restore(signs + plain[0], model)
+        if more:
+            plain[-1:] = restore(plain[-1] + more, model)
+    return plain
 
 
 def features_of(word: str) -> list[str]:
@@ -135,7 +165,7 @@ def features_of(word: str) -> list[str]:
 
 def spaced_words(text: str, model: CharacterModel) -> Iterator[str]:
     for run in SPACED.findall(text):
-        yield from restore(run.replace(" ", ""), model, spaced=True)
+        yield from restore("".join(run.split()), model, spaced=True)
 
 
 def _trigrams(docs: DataFrame) -> dict[str, int]:

@@ -38,6 +38,34 @@ def test_spaced_runs(model):
     assert op4.words_of_token("12345", model) == [] and op4.words_of_token("---", model) == []
 
 
+@pytest.mark.parametrize("token,word", [
+    ("!d!ot", "idiot"), ("!d!ot!", "idiot"), ("(um", "um"), ("$(um", "scum"), ("+he", "the"), ("(house", "house"),
+    ("house!", "house"), ("house!!", "house"), ("m0r0n!", "moron"), ("(m0r0n)", "moron"), ("|d|ot", "idiot"),
+    ("\"(scum!\"", "scum")])
+def test_signs_at_the_edges_may_be_letters(model, token, word):
+    assert op4.words_of_token(token, model) == [word]
+
+
+def test_words_joined_by_signs_stay_apart(model):
+    assert op4.words_of_token("hill-scum!", model) == ["hill", "scum"]
+    assert op4.words_of_token("(scum/hill", model) == ["scum", "hill"]
+
+
+def test_signs_and_digits_alone_are_read(model):
+    counts = op4.Counter(model.counts)
+    counts.update({"  a": 40, " as": 40, "ass": 40, "ss ": 40})
+    more = op4.CharacterModel(counts)
+    assert op4.words_of_token("@$$", more) == ["ass"] and op4.words_of_token("4$$!", more) == ["ass"]
+    for number in ("12345", "$12.50", "10:30", "(555)", "+49", "2024-01-15", "100!", "---", "!!!", "|"):
+        assert op4.words_of_token(number, more) == [], number
+
+
+@pytest.mark.parametrize("text", ["s c u m.", "(s c u m)", "s  c  u  m", "s\tc\tu\tm", "s\nc\r\nu m", "you s c u m, go",
+                                  "_s c u m_", "'s c u m'", "$ c u m!", "go:s c u m's", "s\u00a0c u m"])
+def test_spaced_runs_end_at_punctuation(model, text):
+    assert "scum" in list(op4.spaced_words(text, model))
+
+
 def labelled(spark, make_docs, n=1500, seed=1):
     r = random.Random(seed)
     plain = "the house stands on hill and people walk home slowly after work every day in town with many friends".split()

@@ -1,8 +1,8 @@
 """License scan by a positional index of rare words (DataFrame functions only).
 
-A template is a sequence of words with mandatory key phrases at fixed offsets. The template words
-that are rarest in the corpus (highest inverse document frequency) are its postings: (word, offset).
-Where a file has a posting's word at position p, the template may start at p - offset; the starts
+A template is a sequence of words with mandatory key phrases at fixed offsets. The words of its key
+phrases that are rarest in the corpus (highest inverse document frequency) are its postings: (word,
+offset). The template's other words need not be in a text, so none of them is a posting. Where a file has a posting's word at position p, the template may start at p - offset; the starts
 that all of a template's postings agree on are kept, and the key phrases are verified there word
 by word. Everything happens in the file's own row: no shuffle, no exploded words. Only the
 document frequencies of the templates' own words (a bounded list) reach the driver.
@@ -52,7 +52,7 @@ TEMPLATES: list[tuple[str, str, list[str]]] = [
      ["free and unencumbered software", "public domain"]),
 ]
 
-#: Postings per template: its so many rarest words.
+#: Postings per template: the so many rarest words of its key phrases.
 POSTINGS = 2
 
 
@@ -84,19 +84,24 @@ def document_frequencies(docs: DataFrame, vocabulary: list[str]) -> dict[str, in
 
 
 def postings_of(templates: list[dict], frequencies: dict[str, int], most: int = POSTINGS) -> list[list[tuple[str, int]]]:
-    """Per template its rarest words with their offsets; ties to the longer word, then the earlier."""
+    """Per template the rarest words that a text must have (those of its key phrases; without any, all
+    words) with their offsets; ties to the longer word, then the earlier."""
     out = []
     for t in templates:
-        idf = {w: -math.log(1 + frequencies.get(w, 0)) for w in t["words"]}
-        rare = sorted(set(t["words"]), key=lambda w: (-idf[w], -len(w), t["words"].index(w)))[:most]
-        out.append([(w, t["words"].index(w)) for w in rare])
+        offsets: dict[str, int] = {}
+        for at, key in sorted(t.get("keys") or [(0, t["words"])]):
+            for k, w in enumerate(key):
+                offsets.setdefault(w, at + k)
+        idf = {w: -math.log(1 + frequencies.get(w, 0)) for w in offsets}
+        rare = sorted(offsets, key=lambda w: (-idf[w], -len(w), offsets[w]))[:most]
+        out.append([(w, offsets[w]) for w in rare])
     return out
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     templates = _templates()
-    vocabulary = sorted({w for t in templates for w in t["words"]})
+    vocabulary = sorted({w for t in templates for _, key in t["keys"] for w in key})
     postings = postings_of(templates, document_frequencies(docs, vocabulary))
     rare = sorted({w for p in postings for w, _ in p})
 

@@ -68,6 +68,23 @@ def test_rarest_words_become_postings():
     assert op5_license.postings_of(t, {"the": 100, "rare": 1, "words": 5}) == [[("rare", 1), ("words", 2)]]
 
 
+def test_only_key_phrases_decide(make_docs):
+    """Words outside the key phrases may be missing from a text and rare or absent in the corpus."""
+    other = "one two three four five six the mozilla public license"
+    bsd = ("redistribution and use in source and binary forms x y z are permitted "
+           "redistribution and use in source and binary forms with or without changes are permitted")
+    texts = [other, other + " mozilla public license", bsd, "permission to use copy modify a b distribute this software x y z",
+             "t i s free and unencumbered software a b c public domain"]
+    common = "mozilla public license redistribution source binary forms permitted permission distribute software domain"
+    for extra in ([], [common] * 5):
+        items = [(k, t, "s") for k, t in enumerate(texts + extra)]
+        got = op5_license.scan(make_docs(items))
+        names = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+        want = sorted(((i, *scan(t)) for i, t, _ in items), key=repr)
+        assert "mpl-2.0" in want[0][6]
+        assert rows(got, *names) == want
+
+
 def test_sql_twins(spark):
     import duckdb
 

@@ -161,6 +161,16 @@ def _as_binary(rows: DataFrame, schema: str, others: list[str]) -> DataFrame:
     return rows.select(*others, "vec").mapInArrow(run, schema)
 
 
+def _may_be_best(near: np.ndarray, lengths: np.ndarray, asked: float, d: int, most: int) -> np.ndarray:
+    """Which candidates can be among the ``most`` best in double precision (ties too), from their
+    single-precision products, their lengths and the query's."""
+    # components and products are rounded to 24 bits and d of them are summed; tiny ones may underflow
+    error = (d + 4) * 2.0**-23 * lengths * asked + d * 2.0**-148 * (1 + lengths + asked)
+    low, high = near - error, near + error
+    # an overflown product tells nothing
+    odd = ~np.isfinite(near) | ~np.isfinite(error)
+    low[odd], high[odd] = -np.inf, np.inf
+    return high >= np.partition(low, len(low) - most)[len(low) - most]
 
 
 def search(vectors: DataFrame, is_query: Column, id_column: str = "vec_id", column: str = "embedding",
@@ -263,16 +273,19 @@ def search(vectors: DataFrame, is_query: Column, id_column: str = "vec_id", colu
             ids = rows["ids"].to_numpy()
             q = np.frombuffer(b"".join(asked["qvec"]), "<f8").reshape(len(asked), -1)
             names = asked["query_id"].to_numpy()
-            single, asked_single = x.astype("float32"), q.astype("float32")
+            with np.errstate(over="ignore"):
+                single, asked_single = x.astype("float32"), q.astype("float32")
+            length, asked_length = np.sqrt((x**2).sum(axis=1)), np.sqrt((q**2).sum(axis=1))
             for at in range(0, len(q), 256):
-                near = asked_single[at:at + 256] @ single.T
+                with np.errstate(over="ignore", invalid="ignore"):
+                    near = asked_single[at:at + 256] @ single.T
                 for k, probed in enumerate(asked["lists"].iloc[at:at + 256]):
                     probed = np.asarray(probed) - low
                     probed = probed[(probed >= 0) & (probed < len(member))]
                     found = np.flatnonzero(member[probed].any(axis=0))
-                    if len(found) > 2 * neighbours:
-                        # rounding of the matrix product is far below the gap this margin leaves
-                        found = found[np.argpartition(-near[k, found], 2 * neighbours - 1)[:2 * neighbours]]
+                    if len(found) > neighbours + 1:
+                        found = found[_may_be_best(near[k, found], length[found], asked_length[at + k], x.shape[1],
+                                                   neighbours + 1)]
                     exact = (x[found] * q[at + k]).sum(axis=1)
                     each = [ids[owner[f]] for f in found]
                     vec_id = np.concatenate([*each, np.zeros(0, np.int64)]).astype(np.int64)

@@ -91,3 +91,15 @@ def test_graph_search_finds_near_centroids():
     true = np.argsort(op2.Centroids._distances(x[:200], c.c), axis=1)[:, :8]
     assert np.mean([len(set(a[:8]) & set(b)) / 8 for a, b in zip(ids, true)]) > 0.9
     assert (np.diff(dist, axis=1) >= 0).all()
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e25])
+def test_near_equal_vectors_are_told_apart(spark, scale):
+    """Vectors that single precision cannot tell apart, and products that it cannot hold."""
+    r = np.random.default_rng(7)
+    x = (np.array([3.0, -1.0, 2.0, 0.5]) + 1e-10 * r.normal(size=(200, 4))) * scale
+    ids = np.arange(200)
+    df = spark.createDataFrame([(int(i), [float(c) for c in v]) for i, v in zip(ids, x)],
+                               "vec_id bigint, embedding array<double>")
+    got, want = answers(op2.search(df, F.col("id") % 20 == 0)), brute(ids, x)
+    assert {q: [v for _, v, _ in found] for q, found in got.items()} == {q: [v for v, _ in w] for q, w in want.items()}

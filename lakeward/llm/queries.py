@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (op1_wrappers, op2_posting_lists, op3_mix, op4_toxicity, op5_license, op7_token_records, op8_packing,
-               op9_stream_dedup, op10_url_filter)
+               op9_stream_dedup, op10_url_filter, op11_whitening, op12_sharding, op13_prefix_trie)
 from . import op6_ngram_join as ngram_join
 
 WORD_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -70,7 +70,23 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_url_filter.judge(_table(spark, sf_dir, "pages"), rules)
 
 
+def op11_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whitened components of every embedding."""
+    return op11_whitening.components(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return op12_sharding.sharded(_table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie of all rebuilt conversations."""
+    return op13_prefix_trie.contract_nodes(_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_wrapper_text, op2_posting_search, op3_systematic_mix, op4_toxicity_scores, op5_license_scan,
-        op6_ngram_join, op7_token_records_digest, op8_harmonic_packing, op9_stream_dedup_rows, op10_url_verdicts)}
+        op6_ngram_join, op7_token_records_digest, op8_harmonic_packing, op9_stream_dedup_rows, op10_url_verdicts,
+        op11_feast_whitening, op12_byte_shards, op13_prefix_trie_nodes)}

@@ -20,7 +20,7 @@ ids that end in a node are hashed in order, as text made in pieces beforehand, b
 the state of the hash only.
 
 Defined edge cases: null role or text is empty; rows with a null conv_id belong to no conversation
-and are left out; turns of equal number are ordered by a digest of role and text (null numbers come
+and are left out; turns of equal number are ordered by a hash of role and text (null numbers come
 first), repeated rows are turns of their own; a conversation without turns is a member of the root
 only; an empty table has no node; extra columns are ignored.
 """
@@ -71,8 +71,10 @@ def numbered(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = conversations.filter("conv_id is not null").select(
         F.col("conv_id").alias("conv"), "turn",
         F.sha2(F.concat(F.octet_length(role).cast("string"), F.lit(":"), role, text), 256).alias("digest"),
-        F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("words"), F.monotonically_increasing_id().alias("place"))
-    by = [F.col("conv"), F.col("turn").asc_nulls_first(), F.col("digest"), F.col("place")]
+        F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("words"),
+        # the order of equal turn numbers: ranges are found in a pass of their own, which only needs these
+        F.xxhash64(role, text).alias("tie"), F.monotonically_increasing_id().alias("place"))
+    by = [F.col("conv"), F.col("turn").asc_nulls_first(), F.col("tie"), F.col("place")]
     number = F.monotonically_increasing_id()
     turns = rows.repartitionByRange(width(conversations.sparkSession), *by).sortWithinPartitions(*by) \
         .select("conv", "digest", "words", F.shiftright(number, 33).alias("part"),
@@ -146,8 +148,11 @@ def _nodes(blocks: DataFrame) -> DataFrame:
     groups = written(blocks.groupBy("k", "before", F.element_at("keys", -1).alias("after")).agg(
         F.count(F.lit(1)).alias("n"), F.min("conv").alias("conv"), F.first("keys").alias("keys"),
         F.first("words").alias("words")), "trie-blocks-distinct")
-    alone = groups.groupBy("before").agg((F.count(F.lit(1)) == 1).alias("alone"))
-    groups = groups.join(alone, "before")
+    # first blocks follow the root, which all conversations share: they are taken as diverging unseen
+    later = groups.filter("k > 0")
+    alone = later.groupBy("before").agg((F.count(F.lit(1)) == 1).alias("alone"))
+    later = later.join(alone, "before")
+    groups = later.unionByName(groups.filter("k = 0").withColumn("alone", F.lit(False)))
 
     def cut(rows: DataFrame) -> DataFrame:
         return rows.select("k", "before", "keys", "words", "n", "conv", F.posexplode("keys").alias("j", "key")).select(

@@ -112,6 +112,7 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
                 "set_id": pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()),
                 "n": pa.array([len(s) for s in sets], pa.int32()),
                 "sig": pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary())})
+        _known.clear()  # the worker lives on
 
     text = text_or_empty()
     return docs.select("doc_id", F.md5(text).alias("text_key"), text.alias("text")).mapInArrow(
@@ -258,6 +259,7 @@ def _sets(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
         for batch in slices(batches, "text"):
             yield pa.RecordBatch.from_pydict({"text_key": batch.column("text_key"), "shingles": pa.array(
                 [shingles(t, words).tobytes() for t in batch.column("text").to_pylist()], pa.binary())})
+        _known.clear()
 
     return texts.select("text_key", "text").mapInArrow(run, "text_key string, shingles binary")
 

@@ -3,7 +3,9 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from lakeward.llm import op13_prefix_trie as trie
@@ -19,8 +21,8 @@ def in_order(data):
     for conv, turn, role, text in data:
         if conv is not None:
             role, text = role or "", text or ""
-            digest = hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
-            convs.setdefault(conv, []).append((turn is not None, turn or 0, digest, role, text))
+            tie = np.uint64(xxhash.xxh64_intdigest(text.encode(), xxhash.xxh64_intdigest(role.encode(), 42))).astype("int64")
+            convs.setdefault(conv, []).append((turn is not None, turn or 0, tie, role, text))
     return {c: [t[3:] for t in sorted(turns)] for c, turns in convs.items()}
 
 

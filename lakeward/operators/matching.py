@@ -10,12 +10,9 @@ Scale design — no operator here enumerates all pairs of a block:
 * Rows are first collapsed to distinct ``(block, name)`` groups. Pairs of rows with the *same*
   name are exact duplicates (similarity 1.0, or 0.0 / NULL for empty / NULL names); they are
   scored once per group and counted arithmetically.
-* Pairs of *different* names that can reach the medium threshold are generated by an exact
-  pigeonhole filter: if ``lev(a, b) <= t`` and the longer name ``b`` is cut into ``t + 1``
-  segments, one segment occurs unchanged in ``a`` within ``t`` positions of its place in ``b``.
-  Segments and position-bounded substrings are equi-joined on ``(block, length, segment#,
-  text)`` — a join key far finer than the block, so a hot block spreads over many tasks — and
-  every surviving candidate is verified with the exact score. Nothing that can qualify is lost.
+* Pairs of *different* names that can reach the medium threshold come from the exact filters of
+  ``candidates.py``: names are equi-joined on their rarest pieces, a key far finer than the block,
+  so a hot block spreads over many tasks, and every pair that passes the filter is scored exactly.
 * Pair counts per decision come from arithmetic over group sizes plus the verified candidates;
   the reject band is the remainder, never materialised.
 * Products hold one row per pair of match keys, named by their golden ids, with the number of
@@ -33,13 +30,18 @@ from pyspark.sql import functions as F
 from .. import governance as gov
 from ..functions import text as tx
 from ..functions.casts import to_int
+from ..functions.similarity_udf import jaro_winkler_similarity
 from ..functions.time import stamp
 from ..session import shared_dir
 from ..sources.files import require_columns, resolve_any
+from .candidates import ROUNDING, edit_candidates, jaro_winkler_candidates
 
 BLOCK, NAME, ID = "borough_norm", "zone_norm", "location_id"
 PAIR_COLUMNS = ["id_a", "id_b", "zone_a", "zone_b", "borough", "name_similarity", "token_a", "token_b",
                 "token_match", "match_confidence", "decision", "pair_count"]
+LEVENSHTEIN, JARO_WINKLER, HEURISTIC = "levenshtein", "jaro_winkler", "heuristic"
+#: Name similarities that the pair plan can use.
+SCORERS = {LEVENSHTEIN: tx.lev_similarity, JARO_WINKLER: jaro_winkler_similarity}
 
 
 # ----------------------------------------------------------------------------------- standardise
@@ -80,10 +82,9 @@ def dup_by_id(z: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------------------------- scoring
 
-def _scored(df: DataFrame, a: str, b: str, high: float, medium: float) -> DataFrame:
+def _scored(df: DataFrame, a: str, b: str, high: float, medium: float, scorer: str = LEVENSHTEIN) -> DataFrame:
     # staged so that each expression is computed once (similarity feeds confidence feeds decision)
-    sim = tx.lev_similarity(F.col(a), F.col(b))
-    df = df.withColumn("name_similarity", sim)
+    df = df.withColumn("name_similarity", SCORERS[scorer](F.col(a), F.col(b)))
     df = df.withColumns({"token_a": tx.first_token(F.col(a)), "token_b": tx.first_token(F.col(b))})
     df = df.withColumn("token_match", tx.token_match("token_a", "token_b"))
     df = df.withColumn("match_confidence", tx.match_confidence("name_similarity", "token_match"))
@@ -137,62 +138,31 @@ def block_pair_totals(per_id: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------------- candidate generation
 
-def min_similarity_for(medium: float) -> float:
-    """Lowest name similarity that can still reach ``medium`` confidence (token bonus granted),
-    lowered by a margin that covers both 4-place roundings."""
-    return (medium - 0.10) / 0.90 - 0.001
-
-
-def _tau(length: Column, slack: float) -> Column:
-    """Largest edit distance a pair whose longer name has ``length`` may have."""
-    return F.floor(length * F.lit(slack) + F.lit(1e-9)).cast("int")
-
-
-def fuzzy_candidates(names: DataFrame, medium: float) -> DataFrame:
+def fuzzy_candidates(names: DataFrame, medium: float, scorer: str = LEVENSHTEIN) -> DataFrame:
     """Distinct pairs (block, name_x, name_y), ``x != y``, that *may* reach ``medium``; exact filter.
 
     ``names`` has distinct non-NULL ``(borough_norm, zone_norm)``. Returns columns
-    ``borough_norm, zone_u, zone_v`` with ``zone_u < zone_v``.
+    ``borough_norm, zone_u, zone_v`` with ``zone_u < zone_v``. Bounds of ``medium``: above 0.1009 for
+    edit distance, above 0.7309 for Jaro-Winkler (below, names without anything in common qualify).
     """
-    s_min = min_similarity_for(medium)
-    if s_min <= 0:
-        raise ValueError("medium threshold too low for the pigeonhole filter; every pair qualifies")
-    slack = 1.0 - s_min
-    # the longest partner a name of length l can have: l / s_min
-    base = names.filter(F.length(NAME) > 0).select(BLOCK, NAME, F.length(NAME).alias("_len"))
-
-    # index side: the name as the longer member, cut into tau+1 segments
-    idx = base.withColumn("_k", _tau(F.col("_len"), slack) + 1)
-    idx = idx.withColumn("_seg", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
-    start = F.floor(F.col("_seg") * F.col("_len") / F.col("_k")).cast("int")
-    end = F.floor((F.col("_seg") + 1) * F.col("_len") / F.col("_k")).cast("int")
-    idx = idx.select(BLOCK, F.col(NAME).alias("_x"), F.col("_len").alias("_lx"), "_seg",
-                     F.col(NAME).substr(start + 1, end - start).alias("_piece"))
-
-    # probe side: the name as the shorter (or equal) member, every partner length it can have
-    pr = base.withColumn("_lx", F.explode(F.sequence(
-        F.col("_len"), F.floor(F.col("_len") / F.lit(s_min)).cast("int"))))
-    pr = pr.withColumn("_t", _tau(F.col("_lx"), slack)).filter(F.col("_lx") - F.col("_t") <= F.col("_len"))
-    pr = pr.withColumn("_k", F.col("_t") + 1).withColumn("_seg", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
-    p_start = F.floor(F.col("_seg") * F.col("_lx") / F.col("_k")).cast("int")
-    p_len = (F.floor((F.col("_seg") + 1) * F.col("_lx") / F.col("_k")).cast("int") - p_start)
-    pr = pr.withColumns({"_ps": p_start, "_pl": p_len})
-    lo = F.greatest(F.lit(0), F.col("_ps") - F.col("_t"))
-    hi = F.least(F.col("_len") - F.col("_pl"), F.col("_ps") + F.col("_t"))
-    pr = pr.filter(lo <= hi).withColumn("_q", F.explode(F.sequence(lo, hi)))
-    pr = pr.select(BLOCK, F.col(NAME).alias("_y"), "_lx", "_seg",
-                   F.col(NAME).substr(F.col("_q") + 1, F.col("_pl")).alias("_piece"))
-
-    cand = idx.join(pr, [BLOCK, "_lx", "_seg", "_piece"]).filter(F.col("_x") != F.col("_y"))
-    return cand.select(BLOCK, F.least("_x", "_y").alias("zone_u"), F.greatest("_x", "_y").alias("zone_v")).distinct()
+    weight, bonus = gov.CONFIDENCE_WEIGHTS
+    if scorer == LEVENSHTEIN:
+        found = edit_candidates(names, BLOCK, NAME, medium, weight, bonus)
+    else:
+        found = jaro_winkler_candidates(names, BLOCK, NAME, (medium - bonus) / weight - ROUNDING, medium / weight - ROUNDING)
+    return found.select(F.col("block").alias(BLOCK), F.least("x", "y").alias("zone_u"), F.greatest("x", "y").alias("zone_v"))
 
 
 # --------------------------------------------------------------------------------- name pairs
 
 def name_pair_scores(z: DataFrame, high: float = gov.HIGH_CONFIDENCE, medium: float = gov.MEDIUM_CONFIDENCE,
-                     actionable_only: bool = True, per_id: DataFrame | None = None) -> DataFrame:
+                     actionable_only: bool = True, per_id: DataFrame | None = None,
+                     scorer: str = LEVENSHTEIN) -> DataFrame:
     """Scored distinct-name pairs per block with the number of id pairs they stand for.
 
+    ``scorer``: the name similarity (``SCORERS``); each has a candidate filter of its own, so a pair
+    that only one of them accepts is found by that one.
+
     Columns: borough, zone_u, zone_v, name_similarity, token_u, token_v, token_match,
     match_confidence, decision, pair_count. Same-name groups appear with ``zone_u = zone_v``.
     With ``actionable_only`` only pairs at or above ``medium`` are returned (the rest is REJECT).
@@ -201,11 +171,11 @@ def name_pair_scores(z: DataFrame, high: float = gov.HIGH_CONFIDENCE, medium: fl
     groups = name_groups(per_id)
     same = groups.filter(F.col("same_name_pairs") > 0).select(
         BLOCK, F.col(NAME).alias("zone_u"), F.col(NAME).alias("zone_v"), F.col("same_name_pairs").alias("pair_count"))
-    same = _scored(same, "zone_u", "zone_v", high, medium)
+    same = _scored(same, "zone_u", "zone_v", high, medium, scorer)
 
     names = groups.filter(F.col(NAME).isNotNull()).select(BLOCK, NAME, "n")
-    cand = fuzzy_candidates(names.select(BLOCK, NAME), medium)
-    cand = _scored(cand, "zone_u", "zone_v", high, medium).filter(F.col("match_confidence") >= F.lit(medium))
+    cand = fuzzy_candidates(names.select(BLOCK, NAME), medium, scorer)
+    cand = _scored(cand, "zone_u", "zone_v", high, medium, scorer).filter(F.col("match_confidence") >= F.lit(medium))
     # id pairs between two different names: n_u * n_v minus pairs of rows sharing one id,
     # counted only for the verified candidates (work bounded by their ids, not by the block)
     mu = per_id.select(BLOCK, F.col(NAME).alias("zone_u"), ID, F.col("_m").alias("_mu"))
@@ -301,20 +271,58 @@ def match_audit(z: DataFrame, high: float = gov.HIGH_CONFIDENCE, medium: float =
         F.lit(float(high)).alias("high_conf_threshold"), F.lit(float(medium)).alias("med_conf_threshold"))
 
 
+def audit_by_block(z: DataFrame, scorer: str, high: float = gov.HIGH_CONFIDENCE, medium: float = gov.MEDIUM_CONFIDENCE,
+                   per_id: DataFrame | None = None) -> DataFrame:
+    """Per block: all row pairs and how many fall in each decision band under ``scorer``.
+
+    The heuristic scorer gives every pair one of two constants, so its bands are arithmetic over
+    group sizes; the others count their verified pairs, and the rest of a block is the reject band.
+    """
+    per_id = id_multiplicity(z) if per_id is None else per_id
+    if scorer == HEURISTIC:
+        equal = name_groups(per_id).groupBy(F.col(BLOCK).alias("borough")).agg(F.sum("same_name_pairs").alias("equal"))
+        totals = block_pair_totals(per_id).select(F.col(BLOCK).alias("borough"), "pairs").join(equal, "borough")
+        parts = [(gov.HEURISTIC_EXACT_SCORE, F.col("equal")), (gov.HEURISTIC_OTHER_SCORE, F.col("pairs") - F.col("equal"))]
+        bands = {band: sum((F.when(tx.decision(F.lit(score), high, medium) == band, n).otherwise(0) for score, n in parts),
+                           F.lit(0).cast("long")) for band in (gov.AUTO_MERGE, gov.STEWARD_REVIEW)}
+    else:
+        scores = name_pair_scores(z, high, medium, per_id=per_id, scorer=scorer)
+        found = scores.groupBy("borough").agg(*[
+            F.sum(F.when(F.col("decision") == band, F.col("pair_count"))).alias(band)
+            for band in (gov.AUTO_MERGE, gov.STEWARD_REVIEW)])
+        totals = block_pair_totals(per_id).select(F.col(BLOCK).alias("borough"), "pairs").join(found, "borough", "left")
+        bands = {band: F.coalesce(F.col(band), F.lit(0)).cast("long") for band in (gov.AUTO_MERGE, gov.STEWARD_REVIEW)}
+    merge, review = bands[gov.AUTO_MERGE], bands[gov.STEWARD_REVIEW]
+    return totals.filter("pairs > 0").select(
+        F.lit(scorer).alias("scorer"), "borough", F.col("pairs").alias("total_pairs_compared"),
+        merge.alias("auto_merge_pairs"), review.alias("steward_review_pairs"),
+        (F.col("pairs") - merge - review).alias("reject_pairs"))
+
+
 # ------------------------------------------------------------------------------ golden master
 
+def _id_order() -> Column:
+    """The id as a long that sorts NULL ids first (ids are ints, so no id has this value)."""
+    return F.coalesce(F.col(ID).cast("bigint"), F.lit(-(1 << 63)))
+
+
 def golden_master(z: DataFrame, now=None, tie_break: list[str] | None = None) -> DataFrame:
     """One whole row per match key: the row with the smallest id (NULL ids first), ties broken
     on the remaining columns so the choice is deterministic.
 
-    Written as a ``min_by`` hash aggregate rather than a ranking window: the aggregate combines
-    map-side, so a key holding a large share of rows is reduced per task before the shuffle.
+    Two phases instead of a ranking window. The smallest id per key is a hash aggregate on a
+    fixed-width buffer, combined map-side, so a key holding a large share of rows is one row per
+    task at the shuffle. Its rows are then joined back on (key, id), a key as fine as the ids, and
+    only they are compared on the tie-break columns.
     """
     tie_break = tie_break if tie_break is not None else [c for c in z.columns if c not in (ID, "match_key")]
-    payload = F.struct(*[F.col(c) for c in z.columns])
-    order = F.struct(F.col(ID).isNotNull().alias("_nn"), F.col(ID).alias("_id"),
-                     *[F.struct(F.col(c).isNotNull(), F.col(c)).alias(f"_t{i}") for i, c in enumerate(tie_break)])
-    best = z.groupBy("match_key").agg(F.min_by(payload, order).alias("_row"))
+    rows = z.select("match_key", _id_order().alias("_order"), F.struct(*[F.col(c) for c in z.columns]).alias("_row"))
+    smallest = z.groupBy("match_key").agg(F.min(_id_order()).alias("_order"))
+    # ``match_key`` comes from concat_ws and is never NULL
+    tied = rows.join(smallest, ["match_key", "_order"])
+    order = F.struct(*[F.struct(F.col(f"_row.{c}").isNotNull(), F.col(f"_row.{c}")).alias(f"_t{i}")
+                       for i, c in enumerate(tie_break)]) if tie_break else F.lit(0)
+    best = tied.groupBy("match_key").agg(F.min_by("_row", order).alias("_row"))
     ts = stamp(now)
     return best.select("_row.*").withColumns({
         "mdm_state": F.lit(gov.MASTER_DEFAULT_STATE),
@@ -324,14 +332,23 @@ def golden_master(z: DataFrame, now=None, tie_break: list[str] | None = None) ->
 
 def survivorship_first_non_null(z: DataFrame, attributes=("Zone", "Borough", "service_zone")) -> DataFrame:
     """Attribute-wise survivorship per match key: MIN(id) and, per attribute, the first non-NULL
-    value in the order of the golden row (rows with a NULL id count too). One aggregate."""
-    aggs = [F.min(ID).alias(ID)]
-    for a in attributes:
-        if a in z.columns:
-            # the order of the golden row: NULL ids first, then the id, ties by the value
-            order = F.struct(F.col(ID).isNotNull().alias("known"), F.col(ID).alias("id"), F.col(a).alias("value"))
-            aggs.append(F.min_by(F.col(a), F.when(F.col(a).isNotNull(), order)).alias(a))
-    return z.groupBy("match_key").agg(*aggs)
+    value in the order of the golden row (rows with a NULL id count too; equal ids: the smallest value).
+
+    As for the golden row, a hash aggregate finds the ids (the smallest, and per attribute the first
+    that has a value), and only the rows of these ids are read for the values.
+    """
+    attributes = [a for a in attributes if a in z.columns]
+    firsts = z.groupBy("match_key").agg(
+        F.min(ID).alias(ID), *[F.min(F.when(F.col(a).isNotNull(), _id_order())).alias(f"_o{i}")
+                               for i, a in enumerate(attributes)])
+    if not attributes:
+        return firsts
+    orders = [f"_o{i}" for i in range(len(attributes))]
+    wanted = firsts.withColumn("_order", F.explode_outer(F.array_distinct(F.array_compact(F.array(*orders)))))
+    values = z.select("match_key", _id_order().alias("_order"), *[F.col(a).alias(f"_v{i}") for i, a in enumerate(attributes)])
+    return wanted.join(values, ["match_key", "_order"], "left").groupBy("match_key").agg(
+        F.min(ID).alias(ID), *[F.min(F.when(F.col("_order") == F.col(f"_o{i}"), F.col(f"_v{i}"))).alias(a)
+                               for i, a in enumerate(attributes)])
 
 
 def heuristic_scores(pairs: DataFrame, high: float = gov.HIGH_CONFIDENCE, medium: float = gov.MEDIUM_CONFIDENCE,

@@ -8,6 +8,7 @@ in a single partitioned write with the counts taken by an ``Observation`` (see p
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -31,6 +32,8 @@ class Rule:
     condition: Column
     dimension: str = "validity"
     severity: str = "medium"
+    #: Columns (name, type) that the condition is to see typed: see ``flag_frame``.
+    typed: tuple[tuple[str, str], ...] = ()
 
     @property
     def fail_col(self) -> str:
@@ -75,37 +78,57 @@ def code_rules(df: DataFrame, table=None,
     return rules
 
 
-def declared_rules(specs: list[gov.RuleSpec] | None = None, columns: list[str] | None = None) -> list[Rule]:
+def declared_rules(specs: list[gov.RuleSpec] | None = None, columns: list[str] | None = None,
+                   df: DataFrame | None = None, declared=gov.TRIP_SCHEMA) -> list[Rule]:
     """Rules from the declared catalogue; the SQL text is parsed by Spark (``F.expr``).
 
-    With ``columns`` given, a rule referring to an absent column is skipped (same policy as the
-    code rules); the reference is a simple identifier scan of the expression text.
+    With ``columns`` given (or ``df``), a rule referring to an absent column is skipped (same policy
+    as the code rules); the reference is a simple identifier scan of the expression text. Columns
+    that ``df`` holds as text though the declared schema gives them a type are converted for the
+    rule, and a row whose text does not convert fails every rule that refers to the column.
     """
     specs = gov.declared_rules() if specs is None else specs
+    columns = df.columns if columns is None and df is not None else columns
+    texts = {name for name, kind in df.dtypes if kind == "string"} if df is not None else set()
     out = []
     for s in specs:
-        if columns is not None and not _mentions_only(s.expression_sql, columns):
+        names = _identifiers(s.expression_sql)
+        if columns is not None and not names <= set(columns):
             continue
-        out.append(Rule(s.id, F.expr(s.expression_sql), s.dimension, s.severity))
+        typed = tuple((n, t) for n, t in declared if n in names & texts and t != "string")
+        out.append(Rule(s.id, F.expr(s.expression_sql), s.dimension, s.severity, typed))
     return out
 
 
-def _mentions_only(sql: str, columns: list[str]) -> bool:
-    import re
-
+def _identifiers(sql: str) -> set[str]:
     keywords = {"IS", "NOT", "NULL", "AND", "OR", "TRUE", "FALSE", "BETWEEN", "IN"}
-    idents = {t for t in re.findall(r"[A-Za-z_][A-Za-z0-9_]*", sql) if t.upper() not in keywords}
-    return idents <= set(columns)
+    return {t for t in re.findall(r"[A-Za-z_][A-Za-z0-9_]*", sql) if t.upper() not in keywords}
 
 
 def flag_frame(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Input columns + one non-NULL boolean per rule + ``dq_pass`` (their conjunction; true with no rules)."""
+    """Input columns + one non-NULL boolean per rule + ``dq_pass`` (their conjunction; true with no rules).
+
+    Rules with ``typed`` columns are evaluated on a shadow projection in which these columns are
+    converted (``try_cast``) under their own names; the input columns themselves stay as they came.
+    """
     clash = [r.name for r in rules if r.name in df.columns] + ([DQ_PASS] if DQ_PASS in df.columns else [])
     if clash:
         raise ValueError(f"rule/flag names collide with input columns: {clash}")
-    flags = [F.coalesce(r.condition, F.lit(False)).alias(r.name) for r in rules]
+    plain = [F.coalesce(r.condition, F.lit(False)).alias(r.name) for r in rules if not r.typed]
+    flagged = df.select("*", *plain)
+    shadowed = dict(pair for r in rules for pair in r.typed)
+    if shadowed:
+        raw = F.struct(*[F.col(f"`{c}`") for c in flagged.columns]).alias("_raw")
+        shadow = flagged.select(raw, *[(F.col(f"`{c}`").try_cast(shadowed[c]) if c in shadowed else F.col(f"`{c}`")).alias(c)
+                                       for c in df.columns])
+
+        def holds(rule: Rule) -> Column:
+            converted = [F.col("_raw")[c].isNull() | F.col(f"`{c}`").isNotNull() for c, _ in rule.typed]
+            return reduce(lambda a, b: a & b, converted, F.coalesce(rule.condition, F.lit(False)))
+
+        flagged = shadow.select("_raw.*", *[holds(r).alias(r.name) for r in rules if r.typed])
     conj = reduce(lambda a, b: a & b, [F.col(r.name) for r in rules], F.lit(True))
-    return df.select("*", *flags).withColumn(DQ_PASS, conj)
+    return flagged.select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(r.name) for r in rules]).withColumn(DQ_PASS, conj)
 
 
 def split(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -61,12 +61,44 @@ def conformance(df: DataFrame, declared=gov.TRIP_SCHEMA) -> DataFrame:
     return explode_rows(wide, rows)
 
 
+def typed_ingest(raw: DataFrame, declared=gov.TRIP_SCHEMA) -> DataFrame:
+    """Permissive ingestion of untyped columns: declared columns converted under their own names,
+    other columns as they are, and beside them the evidence of what did not convert.
+
+    ``raw_values`` maps a column to its original text where that text does not convert to the
+    declared type (the typed column is NULL there), so nothing that came in is lost;
+    ``nonconforming`` is the number of such columns in the row. Declared columns that ``raw``
+    lacks are left out; a missing (NULL) value is not a bad one.
+    """
+    kinds = {n: t for n, t in declared if n in raw.columns}
+    clash = {"raw_values", "nonconforming"} & set(raw.columns)
+    if clash:
+        raise ValueError(f"evidence columns collide with input columns: {sorted(clash)}")
+    source = {c: F.col(f"`{c}`") for c in raw.columns}
+    typed = {c: source[c].try_cast(t) for c, t in kinds.items()}
+    bad = F.array_compact(F.array(*[
+        F.when(source[c].isNotNull() & typed[c].isNull(), F.struct(F.lit(c), source[c].cast("string"))) for c in kinds]))
+    return raw.select(*[typed.get(c, source[c]).alias(c) for c in raw.columns], F.map_from_entries(bad).alias("raw_values")) \
+        .withColumn("nonconforming", F.size("raw_values"))
+
+
+def conformance_of_ingest(ingested: DataFrame, declared=gov.TRIP_SCHEMA) -> DataFrame:
+    """Per declared column of ``typed_ingest``'s result: values that did not convert, missing values
+    and one of the bad texts (the smallest). One aggregate over the typed rows."""
+    present = [(n, t) for n, t in declared if n in ingested.columns]
+    measures = [F.count(F.lit(1)).alias("_total")]
+    for i, (n, _) in enumerate(present):
+        bad = F.col("raw_values")[n]
+        measures += [F.count(bad).alias(f"_bad{i}"), F.min(bad).alias(f"_text{i}"),
+                     F.count_if(F.col(f"`{n}`").isNull() & bad.isNull()).alias(f"_null{i}")]
+    rows = [[F.lit(n).alias("column_name"), F.lit(_SIMPLE.get(t, t)).alias("declared_type"),
+             F.col(f"_bad{i}").alias("nonconforming_rows"), F.col(f"_null{i}").alias("null_rows"),
+             F.col(f"_text{i}").alias("example"), F.col("_total").alias("total_rows")]
+            for i, (n, t) in enumerate(present)]
+    return explode_rows(ingested.agg(*measures), rows)
+
+
 def read_evolving(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Read parquet folders written with different (compatible) schemas; columns missing in a
     file come back as NULL (parquet schema merging)."""
     return spark.read.option("mergeSchema", True).parquet(*paths)
-
-
-def align_to(df: DataFrame, target: DataFrame) -> DataFrame:
-    """Union-compatible view of ``df`` with ``target``'s columns (absent ones NULL)."""
-    return target.limit(0).unionByName(df, allowMissingColumns=True)

@@ -8,6 +8,7 @@ snapshot tables (``SnapshotTable``) or plain parquet/JSON/CSV folders; counts co
 from __future__ import annotations
 
 import datetime as dt
+import secrets
 import traceback
 import uuid
 from contextlib import contextmanager
@@ -23,11 +24,13 @@ from ..operators import lifecycle as lc
 from ..operators import matching as m
 from ..operators import quality as q
 from ..operators import stewardship as sw
+from ..operators.keys import dense_ids
 from ..sources import files, sinks
-from ..sources.snapshots import SnapshotTable
+from ..sources.snapshots import PLUMBING, SnapshotTable
 
+# FIXED VALUES: columns of the run ledger and of the history ledger, as the audit tables declare them.
 RUN_LEDGER_SCHEMA = T.StructType([
-    T.StructField("run_id", T.StringType()),
+    T.StructField("run_id", T.LongType()),
     T.StructField("job_name", T.StringType()),
     T.StructField("job_run_id", T.StringType()),
     T.StructField("environment", T.StringType()),
@@ -42,6 +45,12 @@ RUN_LEDGER_SCHEMA = T.StructType([
     T.StructField("rejects_count", T.LongType()),
     T.StructField("created_at_utc", T.TimestampType()),
 ])
+HISTORY_COLUMNS = ["snapshot_id", "table_name", "table_path", "version", "operation", "operation_parameters",
+                   "operation_metrics", "user_metadata", "committed_at_utc", "captured_at_utc"]
+
+RUNNING, SUCCEEDED, FAILED = "RUNNING", "SUCCEEDED", "FAILED"
+#: Bits of a run id below the time: ids of the same millisecond differ by chance.
+RANDOM_BITS = 22
 
 
 def _utcnow() -> dt.datetime:
@@ -57,32 +66,59 @@ class RunRecord:
     records_in: int | None = None
     records_out: int | None = None
     rejects_count: int | None = None
+    run_id: int | None = None
     extra: dict = field(default_factory=dict)
 
 
+def new_run_id(now: dt.datetime | None = None) -> int:
+    """A 64-bit id that needs no central counter: milliseconds since 1970, then 22 random bits.
+
+    Ids grow with time; two runs that start in the same millisecond clash once in 4 million times.
+    """
+    at = (now or _utcnow()) - dt.datetime(1970, 1, 1)
+    return (at // dt.timedelta(milliseconds=1)) << RANDOM_BITS | secrets.randbits(RANDOM_BITS)
+
+
 class RunLedger:
-    """Append-only table of job runs (status SUCCEEDED / FAILED with counts)."""
+    """Append-only table of job runs with counts.
+
+    A run appends a RUNNING row when it starts and a row with its final status (SUCCEEDED / FAILED)
+    when it ends; the row written last is the run's state, so a driver that dies leaves RUNNING.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
     @contextmanager
     def run(self, rec: RunRecord):
-        start, status, error = _utcnow(), "SUCCEEDED", None
+        start, error = _utcnow(), None
+        run_id = rec.run_id = new_run_id(start)
+
+        def append(status: str, end: dt.datetime | None) -> None:
+            row = (run_id, rec.job_name, rec.extra.get("job_run_id"), rec.environment, rec.input_path, rec.output_path,
+                   start, end, status, error, rec.records_in, rec.records_out, rec.rejects_count, end or start)
+            self.spark.createDataFrame([row], RUN_LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+        append(RUNNING, None)
         try:
             yield rec
-        except Exception as exc:
-            status, error = "FAILED", "".join(traceback.format_exception_only(type(exc), exc)).strip()
+        except BaseException as exc:
+            error = "".join(traceback.format_exception_only(type(exc), exc)).strip()
+            append(FAILED, _utcnow())
             raise
-        finally:
-            end = _utcnow()
-            row = (uuid.uuid4().hex, rec.job_name, rec.extra.get("job_run_id"), rec.environment, rec.input_path,
-                   rec.output_path, start, end, status, error, rec.records_in, rec.records_out, rec.rejects_count, end)
-            self.spark.createDataFrame([row], RUN_LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        append(SUCCEEDED, _utcnow())
 
-    def read(self) -> DataFrame:
+    def rows(self) -> DataFrame:
+        """Every row ever written."""
         return self.spark.read.schema(RUN_LEDGER_SCHEMA).parquet(self.path)
 
+    def read(self) -> DataFrame:
+        """One row per run: its state."""
+        # a run has two rows at most; the one that has ended counts
+        latest = F.struct(F.col("end_time_utc").isNotNull(), "created_at_utc")
+        row = F.struct(*[F.col(c) for c in RUN_LEDGER_SCHEMA.names])
+        return self.rows().groupBy("run_id").agg(F.max_by(row, latest).alias("row")).select("row.*")
+
 
 # ----------------------------------------------------------------------------------- job 1 / 2
 
@@ -200,7 +236,7 @@ def table_history(spark: SparkSession, tables: dict[str, str], job_name: str, no
     """History of several snapshot tables in one frame (table name, path, job, capture time)."""
     frames = []
     for name, root in tables.items():
-        h = SnapshotTable(spark, root).history().drop("files", "schema_json")
+        h = SnapshotTable(spark, root).history().drop(*PLUMBING)
         frames.append(h.withColumns({"table_name": F.lit(name), "table_path": F.lit(root),
                                      "job_name": F.lit(job_name),
                                      "captured_at_utc": F.current_timestamp() if now is None
@@ -211,18 +247,43 @@ def table_history(spark: SparkSession, tables: dict[str, str], job_name: str, no
     return out
 
 
+def append_history(spark: SparkSession, tables: dict[str, str], history_root: str, job_name: str, now=None) -> int:
+    """Append the versions of ``tables`` that the history does not have yet; how many there were.
+
+    The newest version captured per table is the high-water mark, so a run adds only what was
+    committed since the last one and a re-run adds nothing. ``snapshot_id`` counts up over all runs.
+    """
+    history = SnapshotTable(spark, history_root)
+    known = history.latest_version() is not None
+    captured = history.read() if known else None
+    seen = table_history(spark, tables, job_name, now)
+    last = 0
+    if known:
+        marks = captured.groupBy("table_name").agg(F.max("version").alias("_mark"))
+        seen = seen.join(marks, "table_name", "left").filter(F.col("version") > F.coalesce("_mark", F.lit(-1))).drop("_mark")
+        last = captured.agg(F.max("snapshot_id")).first()[0] or 0
+    unseen = dense_ids(seen, ["committed_at_utc", "table_name", "version"], "snapshot_id") \
+        .withColumn("snapshot_id", F.col("snapshot_id") + F.lit(last))
+    count = unseen.count()  # of the checkpointed rows
+    if count or not known:
+        history.commit(unseen.select(*HISTORY_COLUMNS, "partition_by", "job_name"), mode="append", operation="CAPTURE")
+    return count
+
+
 def lifecycle_job(spark: SparkSession, master_root: str, curated_root: str, orphans_root: str,
                   lifecycle_root: str, history_root: str, summary_root: str, job_name: str = "mdm_lifecycle",
                   now=None) -> dict:
-    master = SnapshotTable(spark, master_root).read()
-    trips = SnapshotTable(spark, curated_root).read()
+    master = sinks.read_table(spark, master_root)
+    trips = sinks.read_table(spark, curated_root)
     orph = lc.orphans(trips, master, job_name, now=now)
     obs = Observation("orphans")
     SnapshotTable(spark, orphans_root).commit(orph.observe(obs, F.count(F.lit(1)).alias("n")))
     n_orphans = int(obs.get["n"])
     SnapshotTable(spark, lifecycle_root).commit(lc.lifecycle_snapshot(master, job_name, now=now))
-    hist = table_history(spark, {"master_zones": master_root, "curated_trips": curated_root}, job_name, now)
-    SnapshotTable(spark, history_root).commit(hist)
+    # of the tables that keep their versions in a ledger
+    tables = {name: root for name, root in (("master_zones", master_root), ("curated_trips", curated_root))
+              if sinks.table_format(spark, root) in (None, "parquet")}
+    append_history(spark, tables, history_root, job_name, now)
     summary = spark.createDataFrame(
         [(job_name, master_root, curated_root, orphans_root, lifecycle_root, history_root, n_orphans)],
         "job_name string, master_zones_path string, curated_trips_path string, orphans_out_path string, "

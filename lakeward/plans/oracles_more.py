@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .oracles import ORACLES, oracle  # noqa: F401
 
-from .oracles import GATE, MASTER, TRIPS, ZONES, with_
+from .oracles import DECLARED, GATE, MASTER, TRIPS, ZONES, flagged_cte, report_select, with_
 
 CLOCK = "TIMESTAMP '2025-01-01 00:00:00'"
 
@@ -42,6 +42,8 @@ LEFT JOIN lookup pu ON v.PULocationID = TRY_CAST(pu.location_id AS INTEGER)
 LEFT JOIN lookup dz ON v.DOLocationID = TRY_CAST(dz.location_id AS INTEGER)""")
 oracle("zone_lookup_csv", f"""{with_(PARTS)}
 SELECT CAST(LocationID AS VARCHAR) AS LocationID, Borough, Zone, service_zone FROM parts""")
+oracle("zone_lookup_inferred", f"""{with_(PARTS)}
+SELECT LocationID, Borough, Zone, service_zone, CASE WHEN LocationID % 2 <> 0 THEN 'b' END AS export FROM parts""")
 oracle("zone_lookup_typed", f"{with_(PARTS)}\nSELECT * FROM parts")
 
 _DECL_TYPES = [("VendorID", "int", "INTEGER"), ("tpep_pickup_datetime", "timestamp", "TIMESTAMP"),
@@ -58,6 +60,34 @@ _conf = "\nUNION ALL ".join(
     for n, t, d in _DECL_TYPES)
 oracle("schema_conformance", f"{with_(TRIPS)}\n{_conf}")
 
+# the untyped export: rows (by the typed view's columns) whose text is spoilt, and the text
+_SPOILT = {"VendorID": ("RatecodeID = 6", "vendor six"), "tpep_pickup_datetime": ("PULocationID = 3", "1996-13-45 00:00:00"),
+           "passenger_count": ("passenger_count = 9", "nine"), "trip_distance": ("trip_distance = 13", "13 miles"),
+           "fare_amount": ("DOLocationID = 11", "x"), "total_amount": ("RatecodeID = 2 AND passenger_count = 1", "n/a")}
+_BAD = {n: f"COALESCE({w}, FALSE)" for n, (w, _) in _SPOILT.items()}
+_TYPED = f"""
+typed AS (SELECT {", ".join(f"CASE WHEN {_BAD[n]} THEN NULL ELSE {n} END AS {n}" if n in _BAD else n for n, _, _ in _DECL_TYPES)},
+  {", ".join(f"{b} AS bad_{n}" for n, b in _BAD.items())} FROM trips)"""
+_texts = ", ".join(f"CASE WHEN bad_{n} THEN '{n}={text}' END" for n, (_, text) in _SPOILT.items())
+oracle("text_ingest", f"""{with_(TRIPS, _TYPED)}, found AS (SELECT *, list_sort(list_filter([{_texts}], lambda x: x IS NOT NULL)) AS t FROM typed)
+SELECT {", ".join(n for n, _, _ in _DECL_TYPES)}, array_to_string(t, ';') AS raw_values, CAST(len(t) AS INTEGER) AS nonconforming FROM found""")
+oracle("text_conformance", with_(TRIPS, _TYPED) + "\nUNION ALL ".join(
+    f"\nSELECT '{n}' AS column_name, '{t}' AS declared_type, " + (
+        f"COUNT(*) FILTER (WHERE bad_{n}) AS nonconforming_rows, COUNT(*) FILTER (WHERE {n} IS NULL AND NOT bad_{n}) AS null_rows, "
+        f"CASE WHEN COUNT(*) FILTER (WHERE bad_{n}) > 0 THEN '{_SPOILT[n][1]}' END AS example"
+        if n in _SPOILT else
+        f"CAST(0 AS BIGINT) AS nonconforming_rows, COUNT(*) FILTER (WHERE {n} IS NULL) AS null_rows, CAST(NULL AS VARCHAR) AS example")
+    + ", COUNT(*) AS total_rows FROM typed" for n, t, _ in _DECL_TYPES))
+
+
+def _on_text(predicate: str) -> str:
+    bad = [f"NOT bad_{n}" for n in _SPOILT if n in predicate]
+    return " AND ".join([f"COALESCE({predicate}, FALSE)", *bad])
+
+
+_DECL_TEXT = [(n, _on_text(p)) for n, p in DECLARED]
+oracle("dq_declared_rules_text", f"{with_(TRIPS, _TYPED, flagged_cte(_DECL_TEXT, 'typed'))}\n{report_select(_DECL_TEXT)}")
+
 # ------------------------------------------------------------------------------------ matching
 
 SUPPLIERS = """
@@ -162,6 +192,25 @@ SELECT (SELECT COUNT(*) FROM zk) AS total_zone_rows, COUNT(*) AS total_pairs_com
 FROM scored"""
 
 
+# the same pairs under the other name similarity
+_JW = r4("JARO_WINKLER_SIMILARITY(zone_a, zone_b)")
+PARTS_JW = PARTS_M.replace(SIM, f"CASE WHEN LENGTH(zone_a) = 0 OR LENGTH(zone_b) = 0 THEN 0.0::DOUBLE ELSE {_JW} END")
+oracle("match_name_pairs_jaro_winkler", ORACLES["match_name_pairs"].replace(PARTS_M.strip(), PARTS_JW.strip()))
+
+
+def _by_block(scorer: str, band: str, base: str) -> str:
+    return f"""SELECT '{scorer}' AS scorer, borough, COUNT(*) AS total_pairs_compared,
+  COUNT(*) FILTER (WHERE {band} = 'AUTO_MERGE') AS auto_merge_pairs,
+  COUNT(*) FILTER (WHERE {band} = 'STEWARD_REVIEW') AS steward_review_pairs,
+  COUNT(*) FILTER (WHERE {band} = 'REJECT') AS reject_pairs
+FROM ({base}) GROUP BY borough"""
+
+
+oracle("match_by_scorer", "\nUNION ALL\n".join([
+    _by_block("levenshtein", "decision", f"{PARTS_M} SELECT * FROM scored"),
+    _by_block("jaro_winkler", "decision", f"{PARTS_JW} SELECT * FROM scored"),
+    _by_block("heuristic", "CASE WHEN zone_a = zone_b THEN 'AUTO_MERGE' ELSE 'STEWARD_REVIEW' END",
+              f"{PARTS_M} SELECT * FROM scored")]))
 oracle("match_audit", _audit(PARTS_M))
 oracle("match_audit_suppliers", _audit(SUPS_M))
 oracle("golden_master", f"""{with_(PARTS, std('parts'))},
@@ -318,6 +367,20 @@ SELECT *, total_rows > 0 AND passed_rows / total_rows < 0.95::DOUBLE AS stopped,
   CASE WHEN total_rows > 0 AND passed_rows / total_rows < 0.95::DOUBLE THEN 0 ELSE 1 END::BIGINT AS curated_versions
 FROM rep""")
 oracle("catalog_tables", ORACLES["golden_master"])
+oracle("dup_evidence_csv", ORACLES["dup_by_match_key"])
+oracle("schema_evolution", """
+SELECT CAST(p_partkey AS BIGINT) + CASE WHEN p_partkey % 3 = 1 THEN 3000000000 ELSE 0 END AS LocationID,
+  p_brand AS Borough, p_name AS Zone, p_type AS service_zone, CASE WHEN p_partkey % 3 = 1 THEN p_size END AS p_size,
+  CASE WHEN p_partkey % 3 = 2 THEN TRUE END AS reviewed
+FROM part""")
+oracle("history_appended", f"""{with_(PARTS, NEWSNAP, TRIPS, VALIDATED)},
+h(snapshot_id, table_name, version, operation, committed_at_utc, num_output_rows, mode) AS (
+  SELECT 1::BIGINT, 'master_zones', 0::BIGINT, 'WRITE', TIMESTAMP '2025-01-01 00:00:00', (SELECT COUNT(*) FROM parts), 'Overwrite'
+  UNION ALL SELECT 2, 'master_zones', 1, 'WRITE', TIMESTAMP '2025-01-01 01:00:00', (SELECT COUNT(*) FROM newsnap), 'Overwrite'
+  UNION ALL SELECT 3, 'curated_trips', 0, 'WRITE', TIMESTAMP '2025-01-01 00:00:00', (SELECT COUNT(*) FROM validated), 'Overwrite'
+  UNION ALL SELECT 4, 'master_zones', 2, 'APPEND', TIMESTAMP '2025-01-01 02:00:00',
+    (SELECT COUNT(*) FROM newsnap WHERE LocationID < 0), 'Append')
+SELECT *, {JOB} AS job_name, {CLOCK} AS captured_at_utc FROM h""")
 oracle("archive_expired", ORACLES["retention_expired"])
 
 # ---------------------------------------------------------------------------------- stewardship

@@ -62,6 +62,13 @@ def dq_declared_rules(spark, sf_dir):
     return g.report
 
 
+@query("dq_declared_rules_text")
+def dq_declared_rules_text(spark, sf_dir):
+    """The declared rules over the untyped export: text that does not convert fails its rules."""
+    t = fx.trips_as_text(spark, sf_dir)
+    return q.quality_gate(t, q.declared_rules(df=t)).report
+
+
 @query("null_profile")
 def null_profile(spark, sf_dir):
     """NULL share per trip column with the 1 % block-load threshold."""

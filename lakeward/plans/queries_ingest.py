@@ -41,12 +41,28 @@ def enriched_trips(spark, sf_dir):
     return ing.enrich_trips(_validated(spark, sf_dir), lookup, now=RUN_CLOCK)
 
 
+def _mixed_lookup(spark, sf_dir):
+    """A folder of lookup CSVs from two exports: another column order, one column renamed, one more."""
+    path = scratch_path(spark, "lookup_csv")
+    parts = fx.part_entities(spark, sf_dir)
+    files.write_zones_csv(parts.filter("LocationID % 2 = 0"), path)
+    other = parts.filter("LocationID % 2 <> 0").select(
+        F.col("Zone").alias("zone_name"), "service_zone", F.lit("b").alias("export"), "LocationID", "Borough")
+    other.write.mode("append").option("header", True).csv(path)
+    return path
+
+
 @query("zone_lookup_csv")
 def zone_lookup_csv(spark, sf_dir):
-    """Entity lookup written as header CSV and read back header-only (all columns text)."""
-    path = scratch_path(spark, "lookup_csv")
-    files.write_zones_csv(fx.part_entities(spark, sf_dir), path)
-    return files.read_zones_csv(spark, path)
+    """Entity lookup written as header CSVs of two column orders and read back by name (all text)."""
+    return files.read_zones_csv(spark, _mixed_lookup(spark, sf_dir))
+
+
+@query("zone_lookup_inferred")
+def zone_lookup_inferred(spark, sf_dir):
+    """The same folder with types inferred from the values; the columns of all headers."""
+    found = files.read_zones_inferred(spark, _mixed_lookup(spark, sf_dir))
+    return found.select("LocationID", "Borough", F.coalesce("Zone", "zone_name").alias("Zone"), "service_zone", "export")
 
 
 @query("zone_lookup_typed")
@@ -61,3 +77,19 @@ def zone_lookup_typed(spark, sf_dir):
 def schema_conformance(spark, sf_dir):
     """Per declared trip column: non-conforming and NULL values over the whole table."""
     return sch.conformance(fx.trips(spark, sf_dir))
+
+
+@query("text_ingest")
+def text_ingest(spark, sf_dir):
+    """The untyped export ingested: typed columns, and the raw text of what did not convert."""
+    found = sch.typed_ingest(fx.trips_as_text(spark, sf_dir))
+    # a map has no order: its texts in the order of their columns
+    evidence = F.array_join(F.transform(F.array_sort(F.map_entries("raw_values")),
+                                        lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    return found.withColumn("raw_values", evidence)
+
+
+@query("text_conformance")
+def text_conformance(spark, sf_dir):
+    """Per declared column of the untyped export: texts that do not convert, missing values, an example."""
+    return sch.conformance_of_ingest(sch.typed_ingest(fx.trips_as_text(spark, sf_dir)))

@@ -164,3 +164,18 @@ def match_jaro_winkler(spark, sf_dir):
     pairs = m.name_pair_scores(_parts(spark, sf_dir))
     return pairs.select("borough", "zone_u", "zone_v", "pair_count",
                         jaro_winkler_similarity("zone_u", "zone_v").alias("jaro_winkler"))
+
+
+@query("match_name_pairs_jaro_winkler")
+def match_name_pairs_jaro_winkler(spark, sf_dir):
+    """Actionable name pairs under the Jaro-Winkler scorer, found by its own candidate filter."""
+    return m.name_pair_scores(_parts(spark, sf_dir), scorer=m.JARO_WINKLER)
+
+
+@query("match_by_scorer")
+def match_by_scorer(spark, sf_dir):
+    """Pairs per decision band and block under each of the three scorers."""
+    z = _parts(spark, sf_dir)
+    per_id = m.id_multiplicity(z)
+    audits = [m.audit_by_block(z, scorer, per_id=per_id) for scorer in (m.LEVENSHTEIN, m.JARO_WINKLER, m.HEURISTIC)]
+    return audits[0].unionByName(audits[1]).unionByName(audits[2])

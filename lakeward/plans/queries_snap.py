@@ -16,6 +16,7 @@ from ..operators import ingest as ing
 from ..operators import matching as m
 from ..operators import quality as q
 from ..sources import fixtures as fx
+from ..sources import sinks
 from ..sources.snapshots import SnapshotTable
 from ..session import scratch_path
 from . import jobs
@@ -141,13 +142,63 @@ def gate_stop(spark, sf_dir):
 
 @query("catalog_tables")
 def catalog_tables(spark, sf_dir):
-    """Golden master committed as a snapshot, registered in the catalog and queried by name."""
-    t = SnapshotTable(spark, scratch_path(spark, "golden"))
-    t.commit(m.golden_master(m.standardize(fx.part_entities(spark, sf_dir)), now=RUN_CLOCK))
+    """Golden master committed in two steps (overwrite, append) and queried by its catalog name."""
     name = f"lakeward_master_{uuid.uuid4().hex[:10]}"
-    folder = t._entry()["files"][0]
-    spark.catalog.createTable(name, path=folder, source="parquet")
-    return spark.sql(f"SELECT * FROM {name}")
+    t = SnapshotTable(spark, scratch_path(spark, "golden"), view=name)
+    golden = m.golden_master(m.standardize(fx.part_entities(spark, sf_dir)), now=RUN_CLOCK)
+    t.commit(golden)
+    t.commit(golden.filter("location_id % 2 = 0"))
+    t.commit(golden.filter("location_id % 2 <> 0"), mode="append")
+    try:
+        return spark.sql(f"SELECT * FROM {name}")  # resolved here; the entry is not needed afterwards
+    finally:
+        t.drop_view()
+
+
+@query("schema_evolution")
+def schema_evolution(spark, sf_dir):
+    """A master over three commits: ids as int, then as bigint with a size, then as int with a flag."""
+    parts = fx.part_entities_sized(spark, sf_dir)
+    t = SnapshotTable(spark, scratch_path(spark, "evolving"))
+    t.commit(parts.filter("LocationID % 3 = 0").drop("p_size"), now=T0)
+    far = (F.col("LocationID").cast("bigint") + 3_000_000_000).alias("LocationID")
+    t.commit(parts.filter("LocationID % 3 = 1").select(far, "Borough", "Zone", "service_zone", "p_size"), mode="append")
+    t.commit(parts.filter("LocationID % 3 = 2").drop("p_size").withColumn("reviewed", F.lit(True)), mode="append")
+    return t.read()
+
+
+@query("history_appended")
+def history_appended(spark, sf_dir):
+    """Table versions captured by three audit runs, each adding what is new; a fourth adds nothing."""
+    root = scratch_path(spark, "audit-history")
+    master = SnapshotTable(spark, scratch_path(spark, "master"))
+    parts = fx.part_entities(spark, sf_dir)
+    changed = fx.changed_snapshot(fx.part_entities_sized(spark, sf_dir)).drop("p_size")
+    tables = {"master_zones": master.root}
+
+    def capture():
+        return jobs.append_history(spark, tables, root, JOB_NAME, RUN_CLOCK)
+
+    master.commit(parts, now=T0)
+    capture()
+    master.commit(changed, now=T0 + dt.timedelta(hours=1))
+    capture()
+    master.commit(changed.filter(F.col("LocationID") < 0), mode="append", now=T0 + dt.timedelta(hours=2))
+    tables["curated_trips"] = _validated_snapshot(spark, sf_dir).root
+    capture()
+    capture()
+    return SnapshotTable(spark, root).read().select(
+        "snapshot_id", "table_name", "version", "operation", "committed_at_utc",
+        F.col("operation_metrics")["numOutputRows"].cast("long").alias("num_output_rows"),
+        F.col("operation_parameters")["mode"].alias("mode"), "job_name", "captured_at_utc")
+
+
+@query("dup_evidence_csv")
+def dup_evidence_csv(spark, sf_dir):
+    """Duplicate evidence (match keys held by more than one row) written as header CSV and read back."""
+    path = scratch_path(spark, "dup-evidence")
+    sinks.write_product(m.dup_by_match_key(m.standardize(fx.part_entities(spark, sf_dir))), "dup_by_match_key", path)
+    return spark.read.option("header", True).schema("match_key string, count bigint").csv(path)
 
 
 @query("archive_expired")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +24,10 @@ ZONE_TYPED_SCHEMA = T.StructType([
     T.StructField("Zone", T.StringType()),
     T.StructField("service_zone", T.StringType()),
 ])
+#: Headers read at the same time.
+HEADERS_AT_ONCE = 16
+#: Types that inference tries, narrowest first.
+INFERRED_TYPES = ("int", "bigint", "double", "timestamp", "boolean")
 
 
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
@@ -29,28 +35,64 @@ def read_trips(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def csv_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of a CSV folder by their header: column names -> files.
+
+    Spark lists the files and its CSV reader takes each header from the file's first line, several
+    files at a time. What comes to the driver is a name list per file, as the listing itself does.
+    """
+    names = sorted(spark.read.text(path).inputFiles())
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        headers = pool.map(lambda name: tuple(spark.read.option("header", True).csv(name).columns), names)
+    found: dict[tuple[str, ...], list[str]] = {}
+    for name, header in zip(names, headers, strict=True):
+        if header:  # a file without any line has no columns and no rows
+            found.setdefault(header, []).append(name)
+    return found
+
+
 def read_zones_csv(spark: SparkSession, path: str, typed: bool = False, schema: T.StructType | None = None) -> DataFrame:
-    """Zone lookup CSV with a header.
+    """Zone lookup CSV (a file or a folder of files) with headers.
 
     ``typed=False`` gives every column as text (header-only read); ``typed=True`` reads the id as
     an integer, which is what type inference yields on a clean file but without the extra
     inference pass over the data. Unparsable ids become NULL (PERMISSIVE mode).
+
+    A header names the columns of its own file, whatever their order or number: files are read
+    together per distinct header and united by name (any case; ``zone_name`` stands for ``Zone``).
+    Columns that a file lacks are NULL, others are left out; no file at all gives no rows.
     """
     wanted = schema if schema is not None else ZONE_TYPED_SCHEMA if typed else ZONE_CSV_SCHEMA
-    # the header names the columns: they are bound by name, whatever their order in the file
-    found = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
-    have = {c.lower(): c for c in found.columns}
-    columns = []
-    for field in wanted.fields:
-        name = have.get(field.name.lower()) or (have.get("zone_name") if field.name == "Zone" else None)
-        value = F.col(f"`{name}`").try_cast(field.dataType) if name else F.lit(None).cast(field.dataType)
-        columns.append(value.alias(field.name))
-    return found.select(*columns)
+    frames = []
+    for header, names in csv_headers(spark, path).items():
+        as_text = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))])
+        found = spark.read.option("header", True).option("mode", "PERMISSIVE").schema(as_text).csv(names)
+        # of columns that differ in case only, the first counts
+        have = {c.lower(): i for i, c in reversed(list(enumerate(header)))}
+        columns = []
+        for field in wanted.fields:
+            place = have.get(field.name.lower(), have.get("zone_name") if field.name == "Zone" else None)
+            value = F.lit(None).cast(field.dataType) if place is None else F.col(f"_c{place}").try_cast(field.dataType)
+            columns.append(value.alias(field.name))
+        frames.append(found.select(*columns))
+    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], wanted)
 
 
 def read_zones_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """Header + type inference, for lookups whose columns are not known in advance."""
-    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    """Zone lookup whose column types are inferred from all its values, for lookups whose columns
+    are not known in advance: header order and types may differ between files."""
+    names = {}
+    for header in csv_headers(spark, path):
+        for name in header:
+            names.setdefault(name.lower(), name)
+    text = read_zones_csv(spark, path, schema=T.StructType([T.StructField(n, T.StringType()) for n in names.values()]))
+    if not names:
+        return text
+    # one pass: a column has the first type that all its values convert to
+    fits = text.agg(*[F.struct(*[F.count_if(F.col(f"`{n}`").isNotNull() & F.col(f"`{n}`").try_cast(kind).isNull()).alias(kind)
+                                 for kind in INFERRED_TYPES]).alias(f"c{i}") for i, n in enumerate(text.columns)]).first()
+    kinds = [next((kind for kind in INFERRED_TYPES if not fits[f"c{i}"][kind]), "string") for i in range(len(text.columns))]
+    return text.select(*[F.col(f"`{n}`").try_cast(kind).alias(n) for n, kind in zip(text.columns, kinds, strict=True)])
 
 
 def write_zones_csv(df: DataFrame, path: str) -> str:

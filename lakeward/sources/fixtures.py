@@ -27,6 +27,15 @@ CDC_DELETE_MAX_SIZE = 2
 CDC_UPDATE_MAX_SIZE = 6
 CDC_INSERT_MIN_SIZE = 49
 CHANGE_FIELD_MIN_LEN = 9
+# column of the text export -> (rows whose value is spoilt, what stands there instead)
+TEXT_SPOILT = {
+    "VendorID": ("RatecodeID = 6", "vendor six"),
+    "tpep_pickup_datetime": ("PULocationID = 3", "1996-13-45 00:00:00"),
+    "passenger_count": ("passenger_count = 9", "nine"),
+    "trip_distance": ("trip_distance = 13", "13 miles"),
+    "fare_amount": ("DOLocationID = 11", "x"),
+    "total_amount": ("RatecodeID = 2 and passenger_count = 1", "n/a"),
+}
 # ---------------------------------------------------------------------------------------------
 
 
@@ -72,6 +81,15 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def trips_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trip view as an export without types delivers it: every column text, some values spoilt."""
+    t = trips(spark, sf_dir)
+    text = {c: F.col(c).cast("string") for c in t.columns}
+    for column, (when, value) in TEXT_SPOILT.items():
+        text[column] = F.when(F.expr(when), F.lit(value)).otherwise(text[column])
+    return t.select(*[c.alias(name) for name, c in text.items()])
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone lookup view (25 rows at every scale: nation and region are fixed-size dimensions)."""
     n = table(spark, sf_dir, "nation")

@@ -7,8 +7,12 @@ never retried in another format, so a real write error surfaces instead of being
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from dataclasses import dataclass
 
+from pyspark.sql import DataFrame, SparkSession
+
+from . import files
 from .snapshots import SnapshotTable, delta_available
 
 
@@ -37,18 +41,62 @@ PRODUCT_FORMATS: dict[str, tuple[str, list[str]]] = {
 }
 
 
+@dataclass(frozen=True)
+class TableFormat:
+    """How a versioned table of one format is written and read."""
+
+    available: Callable[[SparkSession], bool]
+    write: Callable[[DataFrame, str, list[str], str, dict], None]
+    read: Callable[[SparkSession, str], DataFrame]
+
+
+def _write_delta(df: DataFrame, path: str, partition_by: list[str], mode: str, parameters: dict) -> None:
+    w = df.write.format("delta").mode(mode)
+    (w.partitionBy(*partition_by) if partition_by else w).save(path)
+
+
+def _write_snapshot(df: DataFrame, path: str, partition_by: list[str], mode: str, parameters: dict) -> None:
+    SnapshotTable(df.sparkSession, path).commit(df, mode=mode, partition_by=partition_by or None, parameters=parameters)
+
+
+#: Formats in the order of preference; the last is always there.
+TABLE_FORMATS: dict[str, TableFormat] = {
+    "delta": TableFormat(delta_available, _write_delta, lambda spark, path: spark.read.format("delta").load(path)),
+    "parquet": TableFormat(lambda spark: True, _write_snapshot, lambda spark, path: SnapshotTable(spark, path).read()),
+}
+
+
+def _format_path(path: str) -> str:
+    return f"{path.rstrip('/')}-format"
+
+
+def table_format(spark: SparkSession, path: str) -> str | None:
+    """The format that the table at ``path`` is written in (recorded beside it); None for no table."""
+    recorded = files.read_optional(spark, _format_path(path), lambda p: spark.read.schema("format string").json(p))
+    row = recorded.first() if recorded is not None else None
+    return row["format"] if row else None
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite",
                 parameters: dict | None = None) -> str:
-    """Write ``df`` as a versioned table; returns the format used: ``"delta"`` when that table
-    format is on the class path, else ``"parquet"`` (a snapshot-ledger table over parquet)."""
-    if delta_available(df.sparkSession):
-        w = df.write.format("delta").mode(mode)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.save(path)
-        return "delta"
-    SnapshotTable(df.sparkSession, path).commit(df, mode=mode, partition_by=partition_by, parameters=parameters)
-    return "parquet"
+    """Write ``df`` as a versioned table; returns the format used.
+
+    A table keeps the format it has; a new one gets the first that is on the class path (``"delta"``,
+    else ``"parquet"``: a snapshot-ledger table over parquet), recorded beside the table.
+    """
+    spark = df.sparkSession
+    fmt = table_format(spark, path)
+    if fmt is None:
+        fmt = next(name for name, f in TABLE_FORMATS.items() if f.available(spark))
+        spark.createDataFrame([(fmt,)], "format string").coalesce(1).write.mode("overwrite").json(_format_path(path))
+    TABLE_FORMATS[fmt].write(df, path, partition_by or [], mode, parameters or {})
+    return fmt
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table, by the reader of the format it was written in (a table that
+    was committed to directly is a snapshot table)."""
+    return TABLE_FORMATS[table_format(spark, path) or "parquet"].read(spark, path)
 
 
 def write_product(df: DataFrame, product: str, path: str, parameters: dict | None = None) -> str:

@@ -1,10 +1,17 @@
-"""Versioned tables on plain parquet: overwrite/append commits, history, time travel.
+"""Versioned tables on plain parquet: overwrite/append commits, history, time travel, evolving schemas.
 
 Each commit writes a new data folder ``<root>/v=<n>`` and then appends one row to the ledger
 ``<root>/_ledger`` (version, commit time, operation, parameters, metrics, user metadata, the data
-folders that make up the version, partition columns). Readers only see folders named by a ledger
-row, so a job that dies mid-write leaves an unreferenced folder and never a half-visible
-version; a re-run simply commits the next version. One writer per table is assumed.
+folders of this commit, the version it builds on, partition columns, schemas). A version consists
+of the folders of all commits from its ``base_version`` (the last overwrite) on, so a ledger row
+names its own folders only. Readers only see folders named by a ledger row, so a job that dies
+mid-write leaves an unreferenced folder and never a half-visible version; a re-run simply commits
+the next version. One writer per table is assumed.
+
+A commit stores its own schema and the table's: an append may add columns and widen types
+(``WIDER``). Readers get the table's schema; folders with a narrower type are read as they were
+written and converted, all others are one relation. An append whose types cannot be brought
+together with the table's is refused before anything is written.
 
 Row metrics come from an ``Observation`` attached to the write (no second pass over the data).
 """
@@ -16,8 +23,6 @@ import json
 import uuid
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +37,17 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("files", T.ArrayType(T.StringType())),
     T.StructField("partition_by", T.ArrayType(T.StringType())),
     T.StructField("schema_json", T.StringType()),
+    T.StructField("own_schema_json", T.StringType()),
+    T.StructField("base_version", T.LongType()),
 ])
+#: Ledger columns that only the reader of a table needs.
+PLUMBING = ("files", "schema_json", "own_schema_json", "base_version")
+#: Types that hold every value of both: a column's type after an append.
+WIDER = {frozenset(pair): wide for *pair, wide in (
+    ("tinyint", "smallint", "smallint"), ("tinyint", "int", "int"), ("tinyint", "bigint", "bigint"),
+    ("smallint", "int", "int"), ("smallint", "bigint", "bigint"), ("int", "bigint", "bigint"),
+    ("tinyint", "double", "double"), ("smallint", "double", "double"), ("int", "double", "double"),
+    ("float", "double", "double"), ("date", "timestamp_ntz", "timestamp_ntz"))}
 
 
 def delta_available(spark: SparkSession) -> bool:
@@ -44,21 +59,34 @@ def delta_available(spark: SparkSession) -> bool:
         return False
 
 
-def _merged(stored: str | None, added: T.StructType) -> str | None:
-    """Stored columns, then the new ones an append brings; None (infer) where types disagree."""
-    if stored is None:
-        return None
-    columns = {f.name: f for f in T.StructType.fromJson(json.loads(stored)).fields}
-    if any(f.name in columns and columns[f.name].dataType != f.dataType for f in added.fields):
-        return None
-    return T.StructType([*columns.values(), *(f for f in added.fields if f.name not in columns)]).json()
+def merged_schema(table: T.StructType, added: T.StructType) -> T.StructType:
+    """The table's columns with types wide enough for both, then the new ones an append brings."""
+    columns = {f.name: f for f in table.fields}
+    for f in added.fields:
+        old = columns.get(f.name)
+        if old is None or old.dataType == f.dataType:
+            columns[f.name] = old or f
+            continue
+        wide = WIDER.get(frozenset((old.dataType.simpleString(), f.dataType.simpleString())))
+        if wide is None:
+            raise ValueError(f"column {f.name}: {f.dataType.simpleString()} cannot be appended to "
+                             f"{old.dataType.simpleString()}")
+        columns[f.name] = T.StructField(f.name, T.StructType.fromDDL(f"c {wide}")[0].dataType)
+    return T.StructType([T.StructField(f.name, f.dataType) for f in columns.values()])
+
+
+def _parsed(schema_json: str) -> T.StructType:
+    return T.StructType.fromJson(json.loads(schema_json))
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str):
+    """``view``: name of a catalog view that every commit makes show the current version."""
+
+    def __init__(self, spark: SparkSession, root: str, view: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.ledger_path = f"{self.root}/_ledger"
+        self.view = view
 
     # ------------------------------------------------------------------ ledger
     def _ledger_exists(self) -> bool:
@@ -96,11 +124,14 @@ class SnapshotTable:
                     parameters: dict, metrics: dict, user_metadata: str | None, partition_by: list[str] | None,
                     now: dt.datetime | None) -> int:
         version = newest["version"] + 1 if newest else 0
-        kept = list(newest["files"]) if newest and mode == "append" else []
-        stored = _merged(newest["schema_json"], schema) if kept else schema.json()
+        extends = newest is not None and mode == "append"
+        table = merged_schema(_parsed(newest["schema_json"]), schema) if extends else schema
         row = (version, now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), operation, parameters,
-               {k: str(v) for k, v in metrics.items()}, user_metadata, kept + folders, list(partition_by or []), stored)
+               {k: str(v) for k, v in metrics.items()}, user_metadata, folders, list(partition_by or []), table.json(),
+               schema.json(), newest["base_version"] if extends else version)
         self.spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.ledger_path)
+        if self.view:
+            self.refresh_view()
         return version
 
     # ------------------------------------------------------------------ write
@@ -109,6 +140,8 @@ class SnapshotTable:
                now: dt.datetime | None = None) -> int:
         newest = self._newest()
         version = newest["version"] + 1 if newest else 0
+        if newest and mode == "append":
+            merged_schema(_parsed(newest["schema_json"]), df.schema)  # refused before it is written
         # a folder of its own per attempt: what a dead writer left is never in the way of the next one
         folder = f"{self.root}/v={version}-{uuid.uuid4().hex}"
         obs = Observation(f"commit_{version}")
@@ -152,26 +185,75 @@ class SnapshotTable:
             raise ValueError(f"no version {version if version is not None else f'at or before {timestamp}'}")
         return found
 
+    def _commits(self, entry: dict) -> list[dict]:
+        """The ledger rows whose folders make up a version: a row per commit since the last overwrite."""
+        since = F.col("version").between(entry["base_version"], entry["version"])
+        return [r.asDict() for r in self.history().filter(since).orderBy("version").collect() if r["files"]]
+
     def read(self, version: int | None = None, timestamp=None, schema: T.StructType | None = None) -> DataFrame:
         """Current version, or the one given by number or by time (latest commit at or before it)."""
         e = self._entry(version, timestamp)
-        reader = self.spark.read
-        if schema is None and e["schema_json"]:
-            # as committed: no inference, and a text partition value such as '007' stays text
-            schema = T.StructType.fromJson(json.loads(e["schema_json"]))
-        files = list(e["files"])
-        if not files:
-            return self.spark.createDataFrame([], schema)
-        if schema is not None:
-            reader = reader.schema(schema)
-        if len(files) == 1:
-            return reader.parquet(files[0])
+        # as committed: no inference, and a text partition value such as '007' stays text
+        schema = schema or _parsed(e["schema_json"])
+        # folders that differ only in columns they lack are one relation: one listing, one scan,
+        # however many appends the table has had
+        groups: dict[tuple, list[str]] = {}
+        for commit in self._commits(e):
+            groups.setdefault((*self._narrower(commit, schema), ("", *commit["partition_by"])), []).extend(commit["files"])
+        frames = []
+        for (*narrow, _), files in groups.items():
+            types = dict(narrow)
+            stored = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in schema.fields])
+            frames.append(self.spark.read.schema(stored).parquet(*files).select(
+                *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in types else F.col(f"`{f.name}`")
+                  for f in schema.fields]))
+        return reduce(DataFrame.unionByName, frames) if frames else self.spark.createDataFrame([], schema)
+
+    @staticmethod
+    def _narrower(commit: dict, schema: T.StructType) -> list[tuple[str, T.DataType]]:
+        """Columns that the commit's files hold in another type than ``schema``."""
+        wanted = {f.name: f.dataType for f in schema.fields}
+        own = _parsed(commit["own_schema_json"]).fields
+        return [(f.name, f.dataType) for f in own if f.name in wanted and f.dataType != wanted[f.name]]
+
+    def schema_versions(self) -> DataFrame:
+        """How the schema came about: a row per version and column that it added or widened
+        (version, column_name, change, old_type, new_type)."""
+        rows, before = [], {}
+        for entry in self.history().orderBy("version").select("version", "schema_json").collect():
+            after = {f.name: f.dataType.simpleString() for f in _parsed(entry["schema_json"]).fields}
+            rows += [(entry["version"], n, "added" if n not in before else "changed", before.get(n), t)
+                     for n, t in after.items() if before.get(n) != t]
+            rows += [(entry["version"], n, "removed", t, None) for n, t in before.items() if n not in after]
+            before = after
+        return self.spark.createDataFrame(rows, "version bigint, column_name string, change string, old_type string, "
+                                                "new_type string")
+
+    # ------------------------------------------------------------------ catalog
+    def refresh_view(self) -> None:
+        """(Re)build the catalog view from the ledger: every folder of the current version, with the
+        table's schema. Readers by name see the next version as soon as it is committed."""
+        entry = self._entry()
+        schema = _parsed(entry["schema_json"])
+        selects = []
+        for commit in self._commits(entry):
+            own = set(_parsed(commit["own_schema_json"]).names)
+            columns = ", ".join(f"CAST({f'`{f.name}`' if f.name in own else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
+                                for f in schema.fields)
+            selects += [f"SELECT {columns} FROM parquet.`{folder}`" for folder in commit["files"]]
+        if not selects:
+            nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
+            selects = [f"SELECT {nothing} WHERE false"]
+        # a view keeps the settings it was made with: partition values stay the text they are in the
+        # folder names until they are cast to the stored type
+        inference = "spark.sql.sources.partitionColumnTypeInference.enabled"
+        before = self.spark.conf.get(inference)
+        self.spark.conf.set(inference, "false")
         try:
-            # one relation over every folder of the version: one listing, one scan, however many
-            # appends the table has had; columns added by later commits are merged (NULL before)
-            return reader.option("mergeSchema", "true").parquet(*files)
-        except (AnalysisException, SparkRuntimeException, Py4JJavaError):
-            # folders whose schemas or partition layouts cannot be merged (raised while the
-            # schema is resolved, before anything runs): align them by name instead
-            frames = [reader.parquet(p) for p in files]
-            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self.view} AS {' UNION ALL '.join(selects)}")
+        finally:
+            self.spark.conf.set(inference, before)
+
+    def drop_view(self) -> None:
+        """Take the table's entry out of the catalog (its owner does, when the table goes)."""
+        self.spark.sql(f"DROP VIEW IF EXISTS {self.view}")

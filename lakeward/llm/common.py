@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
@@ -70,6 +71,26 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 16
             yield batch.slice(at, step)
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: workers live on, beside those of
+    later stages."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def _libc():
+    try:
+        libc = ctypes.CDLL(None)
+        libc.malloc_trim  # noqa: B018  (not every C library has it)
+        return libc
+    except (OSError, AttributeError):
+        return None
+
+
+_LIBC = _libc()
+
+
 class Remembered:
     """Results by key for repeated work, in bounded memory.
 

@@ -16,8 +16,8 @@ be in an answer). The best of every cell are scored again in double precision on
 vectors, in a fixed order of summation.
 
 Defined edge cases: vectors that are null, empty, zero, or hold null or non-finite components take
-no part, nor do rows with a null id, nor vectors whose length is not the table's most frequent one
-(ties: the smaller length); rows that agree in id and vector are one; an empty table, or one
+no part, nor do rows with a null id; vectors of different lengths are searched each length by
+itself; finite components of any size are searched (a product that overflows is infinite); rows that agree in id and vector are one; an empty table, or one
 without valid queries, gives an empty result; with few rows all candidates are returned; extra
 columns are ignored.
 """
@@ -25,6 +25,7 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -41,6 +42,10 @@ MOST_LISTS = 8192
 SAMPLE_VALUES = 1_000_000
 COPIES, BORDER = 8, 1.1
 RATIO = 1.13
+#: Centroids asked of the graph at first; four times as many where these are all wanted.
+BEAM = 64
+#: Vectors longer than so many times the sample's 99th percentile are a list of their own.
+FAR = 4.0
 #: A query's lists hold at least so many rows per neighbour asked for.
 LEAST_ROWS = 20
 GROUP = 64
@@ -143,8 +148,7 @@ def _valid(vectors: DataFrame, id_column: str, column: str) -> DataFrame:
     # -0.0 + 0.0 is 0.0: vectors that differ in the sign of a zero are equal
     rows = rows.filter("id is not null and vec is not null and size(vec) > 0").filter(~odd) \
         .filter(F.exists("vec", lambda v: v != 0)).withColumn("vec", F.transform("vec", lambda v: v + F.lit(0.0)))
-    usual = rows.groupBy(F.size("vec").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").first()
-    return rows.filter(F.size("vec") == usual["d"]).distinct() if usual else rows
+    return rows.distinct()
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -173,20 +177,35 @@ def _may_be_best(near: np.ndarray, lengths: np.ndarray, asked: float, d: int, mo
     return high >= np.partition(low, len(low) - most)[len(low) - most]
 
 
+def _norms(x: np.ndarray) -> np.ndarray:
+    """Lengths of rows of any finite numbers (squares of large ones overflow, of small ones vanish)."""
+    most = np.abs(x).max(axis=1)
+    with np.errstate(over="ignore"):
+        return most * np.sqrt(((x / most[:, None])**2).sum(axis=1))
+
+
 def search(vectors: DataFrame, is_query: Column, id_column: str = "vec_id", column: str = "embedding",
            neighbours: int = NEIGHBOURS) -> DataFrame:
     """Per query (rows for which ``is_query`` of ``id`` holds): query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     rows = written(_as_binary(_valid(vectors, id_column, column), "id bigint, vec binary", ["id"]), "vectors")
+    # vectors of different lengths have no product: each length is a search of its own
+    lengths = sorted(r["bytes"] for r in rows.select(F.length("vec").alias("bytes")).distinct().collect())
+    found = [_search(rows.filter(F.length("vec") == n) if len(lengths) > 1 else rows, is_query, neighbours) for n in lengths]
+    if not found:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _search(rows: DataFrame, is_query: Column, neighbours: int) -> DataFrame:
+    """The search among ``rows`` (id, vec), whose vectors have one length."""
+    spark = rows.sparkSession
     # equal vectors: their smallest ids, one more than neighbours asked for; the rank filter is
     # applied before the shuffle too, so a very common vector leaves a few rows per task
     few = rows.withColumn("r", F.row_number().over(Window.partitionBy("vec").orderBy("id"))) \
         .filter(F.col("r") <= neighbours + 1)
     items = written(few.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids")), "distinct-vectors")
-    schema = "query_id bigint, rank int, vec_id bigint, score double"
     facts = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.length("vec")).alias("bytes")).first()
-    if not facts["n"]:
-        return spark.createDataFrame([], schema)
     most = max(64, SAMPLE_VALUES // (facts["bytes"] // 8))
     sample = items.select("vec", F.xxhash64("vec").alias("h")).orderBy("h", "vec").limit(most).collect()
     sample = np.stack([np.frombuffer(r["vec"], "<f8") for r in sample])
@@ -194,20 +213,35 @@ def search(vectors: DataFrame, is_query: Column, id_column: str = "vec_id", colu
     def norms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                yield pa.RecordBatch.from_pydict({"m": [float((_matrix(b.column("vec"))**2).sum(axis=1).max())]})
+                yield pa.RecordBatch.from_pydict({"m": [float(_norms(_matrix(b.column("vec"))).max())]})
 
     largest = items.select("vec").mapInArrow(norms, "m double").agg(F.max("m")).first()[0]
+    # a few vectors far longer than all others would shrink these to a point: they are a list of
+    # their own, which every query reads
+    radius = min(largest, FAR * float(np.quantile(_norms(sample), 0.99)))
+    sample = sample[_norms(sample) <= radius]
 
     def lifted(x: np.ndarray) -> np.ndarray:
-        return np.hstack([x, np.sqrt(np.maximum(largest - (x**2).sum(axis=1), 0))[:, None]])
+        x = x / radius
+        return np.hstack([x, np.sqrt(np.maximum(1 - (x**2).sum(axis=1), 0))[:, None]])
 
     lists = int(max(1, min(MOST_LISTS, facts["n"] // LIST, len(sample) // 4)))
     shared = spark.sparkContext.broadcast(Centroids(lifted(sample), lists))  # at most MOST_LISTS centroids
+    far_list = (lists // GROUP + 1) * GROUP if largest > radius else None
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 b = whole.slice(at, 1024)
+                far = _norms(_matrix(b.column("vec"))) > radius
+                if far.any():
+                    own = b.filter(pa.array(far))
+                    yield pa.RecordBatch.from_pydict({
+                        "list": pa.array([far_list] * own.num_rows, pa.int32()),
+                        "first": pa.array([True] * own.num_rows, pa.bool_()), "ids": own.column("ids"), "vec": own.column("vec")})
+                    b = b.filter(pa.array(~far))
+                if not b.num_rows:
+                    continue
                 ids, dist = shared.value.search(lifted(_matrix(b.column("vec"))), 3 * COPIES)
                 ids, dist = ids[:, :COPIES], dist[:, :COPIES]
                 row, k = np.nonzero(dist <= dist[:, :1] * BORDER + 1e-12)
@@ -218,24 +252,41 @@ def search(vectors: DataFrame, is_query: Column, id_column: str = "vec_id", colu
 
     postings = written(items.select("ids", "vec").mapInArrow(
         assign, "list int, first boolean, ids array<bigint>, vec binary"), "postings")
-    held = postings.filter("first").groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per list
+    held = postings.filter(F.col("first") & (F.col("list") < lists)).groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per list
     holds = np.zeros(lists, np.int64)
     for r in held:
         holds[r["list"]] = r["n"]
     enough = LEAST_ROWS * neighbours
 
+    def _probed(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, list) of the lists that every row of ``x`` reads. The graph is searched for as many
+        nearest centroids as it takes until one of them is not wanted any more."""
+        rows_, lists_, left, beam = [], [], np.arange(len(x)), min(lists, BEAM)
+        while len(left):
+            ids, dist = shared.value.search(x[left], beam)
+            # distances are to a point at distance of the largest norm: ratios as for rows
+            before = np.cumsum(holds[ids], axis=1) - holds[ids]
+            wanted = ((dist <= dist[:, :1] * RATIO + 1e-12) | (before < enough)) & np.isfinite(dist)
+            done = ~wanted[:, -1] if beam < lists else np.ones(len(left), bool)
+            row, k = np.nonzero(wanted[done])
+            rows_.append(left[done][row])
+            lists_.append(ids[done][row, k])
+            left, beam = left[~done], min(lists, 4 * beam)
+        if far_list is not None:
+            rows_.append(np.arange(len(x)))
+            lists_.append(np.full(len(x), far_list))
+        return np.concatenate(rows_), np.concatenate(lists_)
+
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 b = whole.slice(at, 256)
                 x = _matrix(b.column("vec"))
-                ids, dist = shared.value.search(np.hstack([x, np.zeros((len(x), 1))]), lists)
-                # distances are to a point at distance of the largest norm: ratios as for rows
-                before = np.cumsum(holds[ids], axis=1) - holds[ids]
-                wanted = (dist <= dist[:, :1] * RATIO + 1e-12) | (before < enough)
-                row, k = np.nonzero(wanted & np.isfinite(dist))
-                got = pa.table({"id": pa.array(row), "group": pa.array(ids[row, k] // GROUP, pa.int32()),
-                                "list": pa.array(ids[row, k], pa.int32())}) \
+                # a query longer than all lists asks by its direction
+                x = x / np.maximum(radius, _norms(x))[:, None]
+                row, lists_of = _probed(np.hstack([x, np.zeros((len(x), 1))]))
+                got = pa.table({"id": pa.array(row), "group": pa.array(lists_of // GROUP, pa.int32()),
+                                "list": pa.array(lists_of, pa.int32())}) \
                     .group_by(["id", "group"]).aggregate([("list", "list")])
                 mine = b.take(got.column("id").combine_chunks())
                 yield pa.RecordBatch.from_pydict({

@@ -103,27 +103,34 @@ def _options(token: str) -> list[list[tuple[str, float]]]:
 
 
 def decoded(token: str, model: CharacterModel, spaced: bool = False) -> tuple[float, str]:
-    """The most likely reading of a token and its cost."""
-    states: dict[str, tuple[float, str]] = {"  ": (0.0, "")}
-    for options in _options(token):
-        nxt: dict[str, tuple[float, str]] = {}
-
-        def offer(state: str, cost: float, text: str) -> None:
-            if state not in nxt or cost < nxt[state][0]:
-                nxt[state] = (cost, text)
+    """The most likely reading of a token and its cost.
 
-        for state, (cost, text) in states.items():
+    Viterbi over the last two symbols; a state keeps a link to the one before, so the work and the
+    memory are in proportion to the token's length. Of readings of equal cost the first found counts.
+    """
+    states: dict[str, tuple[float, tuple | None]] = {"  ": (0.0, None)}
+    for options in _options(token):
+        nxt: dict[str, tuple[float, tuple | None]] = {}
+        for state, (cost, link) in states.items():
             for reading, extra in options:
                 s, k = state, cost + extra
                 for c in reading:
                     k += model.cost(s, symbol(c))
                     s = s[1] + symbol(c)
-                offer(s, k, text + reading)
+                if s not in nxt or k < nxt[s][0]:
+                    nxt[s] = (k, (link, reading) if reading else link)
                 if spaced and reading:
-                    offer(" " + " ", k + model.cost(s, " ") + WORD_END, text + reading + " ")
+                    k += model.cost(s, " ") + WORD_END
+                    if "  " not in nxt or k < nxt["  "][0]:
+                        nxt["  "] = (k, (link, reading + " "))
         states = nxt
-    ends = ((cost + (0 if s[1] == " " else model.cost(s, " ")), text) for s, (cost, text) in states.items())
-    return min(ends)
+    cost, link = min(((cost + (0 if s[1] == " " else model.cost(s, " ")), link) for s, (cost, link) in states.items()),
+                     key=lambda end: end[0])
+    parts = []
+    while link is not None:
+        link, reading = link
+        parts.append(reading)
+    return cost, "".join(reversed(parts))
 
 
 def restore(token: str, model: CharacterModel, spaced: bool = False) -> list[str]:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, slices, text_or_empty, width, written
+from .common import give_back, packed, slices, text_or_empty, width, written
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -44,7 +44,9 @@ TOLERANCE = 1e-6
 BANDS, ROWS = 24, 4
 HASHES = BANDS * ROWS
 STEP = 16
-CHUNK = 512
+#: Classes, and shingles of their texts, that a chunk of a large bucket holds on average (long texts
+#: make chunks of fewer classes); a block verifies two chunks.
+CHUNK, CHUNK_SHINGLES = 512, 400_000
 #: Announces needed texts to the scan: at most 16**5 = 1,048,576 prefixes, whatever the input.
 PREFIX_DIGITS = 5
 REMEMBERED = 400_000
@@ -113,6 +115,7 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
                 "n": pa.array([len(s) for s in sets], pa.int32()),
                 "sig": pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary())})
         _known.clear()  # the worker lives on
+        give_back()
 
     text = text_or_empty()
     return docs.select("doc_id", F.md5(text).alias("text_key"), text.alias("text")).mapInArrow(
@@ -123,13 +126,15 @@ def _blocks(classes: DataFrame) -> DataFrame:
     """(block, band, diagonal, chunk, set_id) of every class that shares a bucket."""
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(
         b.alias("band"), F.xxhash64(b, F.substring(F.col("sig"), b * ROWS * 4 + 1, F.lit(ROWS * 4))).alias("key")))
-    banded = classes.select("set_id", F.inline(keys)).select("band", "key", "set_id")
+    banded = classes.select("set_id", "n", F.inline(keys)).select("band", "key", "set_id", "n")
     buckets = banded.groupBy("band", "key").agg(
-        F.count(F.lit(1)).alias("m"), F.sum(F.xxhash64("set_id").cast("decimal(20,0)")).alias("s"),
+        F.count(F.lit(1)).alias("m"), F.sum("n").alias("shingles"), F.sum(F.xxhash64("set_id").cast("decimal(20,0)")).alias("s"),
         F.bit_xor(F.xxhash64("set_id", F.lit(1))).alias("x")).filter("m > 1")
     # of buckets with the same members, that of the smallest band: the one where their pairs first agree
-    kept = buckets.groupBy("m", "s", "x").agg(F.min(F.struct("band", "key")).alias("b")).select(
-        "b.band", "b.key", F.ceil(F.col("m") / CHUNK).cast("int").alias("chunks"))
+    kept = buckets.groupBy("m", "s", "x").agg(
+        F.min(F.struct("band", "key")).alias("b"), F.max("shingles").alias("shingles")).select(
+        "b.band", "b.key", F.ceil(F.greatest(F.col("m") / CHUNK, F.col("shingles") / CHUNK_SHINGLES)).cast("int")
+        .alias("chunks"))
     member = banded.join(kept, ["band", "key"]).withColumn(
         "chunk", F.pmod(F.xxhash64("set_id", F.lit(2)), F.col("chunks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
@@ -260,6 +265,7 @@ def _sets(docs: DataFrame, needed: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"text_key": batch.column("text_key"), "shingles": pa.array(
                 [shingles(t, words).tobytes() for t in batch.column("text").to_pylist()], pa.binary())})
         _known.clear()
+        give_back()
 
     return texts.select("text_key", "text").mapInArrow(run, "text_key string, shingles binary")
 

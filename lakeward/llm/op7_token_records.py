@@ -101,7 +101,7 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int, folder: str, par
         name = f"part-{part:05d}-{uuid.uuid4().hex}"
         data = index = None
         at = records = ids = 0
-        for batch in slices(batches, "text", 8 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             if data is None:
                 store.create_dir(base)
                 data = store.open_output_stream(f"{base}/{name}.rec", buffer_size=1 << 20)

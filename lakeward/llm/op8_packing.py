@@ -105,7 +105,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPAC
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, packer = encoder(tokenizer, True), Packer(TaskContext.get().partitionId(), capacity, slack)
-        for batch in slices(batches, "text", 8 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), words.encode(batch.column("text").to_pylist()),
                                    strict=True):
                 packer.add(doc_id, ids + end)

@@ -18,6 +18,8 @@ from itertools import islice
 
 import numpy as np
 
+from .common import give_back
+
 #: A worker remembers pieces of about so many bytes in all (bounds memory, changes no result) ...
 REMEMBERED_BYTES = 48 << 20
 #: ... and, between tasks and when that is full, the most frequent ones only.
@@ -141,7 +143,7 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.held > REMEMBERED_BYTES:
-            self.forget()
+            self._shrink()
         known, numbers = len(self.numbers), self.numbers
         cut = [self._pieces(t) for t in texts]
         coded = [None if p is None else np.fromiter(map(numbers.__getitem__, p), np.int64, len(p)) for p in cut]
@@ -161,7 +163,11 @@ class WordEncoder:
         return out
 
     def forget(self) -> None:
-        """Keep the most frequent pieces only (at the end of a task: the worker lives on)."""
+        """At the end of a task keep the most frequent pieces only (the worker lives on)."""
+        self._shrink()
+        give_back()
+
+    def _shrink(self) -> None:
         keep = np.sort(np.argsort(-self.asked, kind="stable")[:FREQUENT])
         pieces, start, length, flat = list(self.numbers), self.start, self.length, self.flat
         short = [k for k in keep.tolist() if len(pieces[k]) <= 32 and self.asked[k] > 1]

@@ -103,3 +103,37 @@ def test_near_equal_vectors_are_told_apart(spark, scale):
                                "vec_id bigint, embedding array<double>")
     got, want = answers(op2.search(df, F.col("id") % 20 == 0)), brute(ids, x)
     assert {q: [v for _, v, _ in found] for q, found in got.items()} == {q: [v for v, _ in w] for q, w in want.items()}
+
+
+def test_huge_components_and_two_lengths(spark):
+    r = np.random.default_rng(4)
+    x = r.normal(size=(3000, 12))
+    x[[5, 700]] *= 1e200
+    x[40] *= 1e300
+    y = r.normal(size=(900, 7))
+    rows = [(k, v.tolist()) for k, v in enumerate(x)] + [(10_000 + k, v.tolist()) for k, v in enumerate(y)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = answers(op2.search(df, F.col("id") % 20 == 0))
+    for ids, v in ((np.arange(3000), x), (10_000 + np.arange(900), y)):
+        with np.errstate(over="ignore"):
+            want = brute(ids, v)
+        assert set(got) >= set(want)
+        hits = sum(len({i for _, i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+        assert hits >= 0.9 * sum(len(w) for w in want.values())
+        # the longest vectors are in every answer that they belong to
+        for q, w in want.items():
+            big = {i for i, score in w if abs(score) > 1e100}
+            assert big <= {i for _, i, _ in got[q]}
+    assert len(got) == 150 + 45 and all(len(v) == 20 for v in got.values())
+
+
+def test_search_of_the_graph_stops_early():
+    r = np.random.default_rng(5)
+    points = r.normal(size=(4000, 8))
+    centroids = op2.Centroids(points, 500)
+    opened = []
+    whole, _ = centroids.search(points[:50], 500)
+    for beam in (op2.BEAM,):
+        near, _ = centroids.search(points[:50], beam)
+        opened.append(np.mean([len(set(a[:20]) & set(b[:20])) for a, b in zip(near, whole)]))
+    assert opened[0] >= 18

@@ -1,6 +1,10 @@
+import itertools
+import math
 import random
+import time
 import zlib
 
+import numpy as np
 import pytest
 
 from lakeward.llm import op4_toxicity as op4
@@ -114,3 +118,74 @@ def test_edge_cases(spark, edge_docs, make_docs):
     none = op4.scores(docs, labels.limit(0)).collect()
     assert {r.score for r in none} == {0.0}
     assert op4.scores(make_docs([]), labels).collect() == []
+
+
+def enumerated(token, model, spaced):
+    """The cheapest of all readings of a token, every one of them tried."""
+    best = (float("inf"), "")
+    for path in itertools.product(*op4._options(token)):
+        for ends in itertools.product((False, True), repeat=len(path) if spaced else 0):
+            state, cost, text = "  ", 0.0, ""
+            for k, (reading, extra) in enumerate(path):
+                cost += extra
+                for c in reading:
+                    cost += model.cost(state, op4.symbol(c))
+                    state, text = state[1] + op4.symbol(c), text + c
+                if spaced and ends[k] and reading:
+                    cost += model.cost(state, " ") + op4.WORD_END
+                    state, text = "  ", text + " "
+            cost += 0 if state[1] == " " else model.cost(state, " ")
+            best = min(best, (cost, text))
+    return best
+
+
+@pytest.mark.parametrize("spaced", [False, True])
+def test_viterbi_finds_the_cheapest_of_all_readings(model, spaced):
+    r = random.Random(21)
+    for _ in range(60):
+        token = "".join(r.choice("ids1!0o3@.-u") * r.choice((1, 1, 1, 3)) for _ in range(r.randint(1, 4)))[:6]
+        cost, text = op4.decoded(token, model, spaced)
+        least, _ = enumerated(token, model, spaced)
+        assert cost == pytest.approx(least, rel=1e-12), token
+
+
+def test_long_tokens_take_time_in_proportion(model):
+    def seconds(n):
+        began = time.process_time()
+        op4.decoded("1d10t" * n, model)
+        return time.process_time() - began
+
+    seconds(2000)
+    assert seconds(32_000) < 30 * max(seconds(2000), 0.01)
+
+
+def test_decision_list_against_a_plain_loop():
+    r = random.Random(22)
+    for _ in range(20):
+        names = [f"f{k}" for k in range(12)]
+        rows_ = [sorted(r.sample(range(12), r.randint(0, 5))) for _ in range(120)]
+        toxic = [r.random() < (0.9 if 3 in row or 7 in row else 0.1) for row in rows_]
+        got, rest = op4.decision_list(names, [np.array(x, np.int32) for x in rows_], np.array(toxic))
+        # the rule with the largest gain first, on the rows that no earlier rule covers
+        left, want = list(range(len(rows_))), {}
+        telling = {f for f in range(12) if sum(toxic[k] for k in left if f in rows_[k]) >= sum(not toxic[k] for k in left if f in rows_[k])}
+        while left:
+            base = sum(toxic[k] for k in left) / len(left)
+            if not 0 < base < 1:
+                break
+
+            def gain(f):
+                pos, neg = (sum(toxic[k] == t for k in left if f in rows_[k]) for t in (True, False))
+                p = pos / max(1, pos + neg)
+                if f not in telling or p < 0.5:
+                    return 0.0
+                return (pos * math.log(p / base) if pos else 0) + (neg * math.log((1 - p) / (1 - base)) if neg else 0)
+
+            best = max(range(12), key=lambda f: (gain(f), -f))
+            if gain(best) < math.log(12 / op4.SIGNIFICANCE):
+                break
+            pos, neg = (sum(toxic[k] == t for k in left if best in rows_[k]) for t in (True, False))
+            want[names[best]] = (pos + 0.5) / (pos + neg + 1)
+            left = [k for k in left if best not in rows_[k]]
+        assert got == pytest.approx(want) and list(got) == list(want)
+        assert rest == pytest.approx((sum(toxic[k] for k in left) + 0.5) / (len(left) + 1) if left else 0.5)

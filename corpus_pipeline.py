@@ -21,9 +21,20 @@ from lakeward.llm.queries import BYTE_TOKENIZER
 
 ORACLE_SQL = None
 
+#: Rows handed to a Python worker at a time: documents are long, and a batch is held by the executor
+#: and by its worker.
+BATCH_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.5 stay."""
+    _small_batches(spark)
     return op4_toxicity.clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -34,6 +45,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked documents that with the smallest doc_id stays."""
+    _small_batches(spark)
     return op6_ngram_join.representatives(docs)
 
 
@@ -44,6 +56,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all rows in packed sequences."""
+    _small_batches(spark)
     return op8_packing.pack(docs, public_tokenizers.path(BYTE_TOKENIZER))
 
 

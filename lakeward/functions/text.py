@@ -63,10 +63,10 @@ def match_confidence(*evidence: Column | str) -> Column:
 
 def decision(confidence: Column | str, high: float, medium: float) -> Column:
     """The highest band whose floor the confidence reaches; below every floor (and NULL) REJECT."""
-    bands = F.array(*[F.struct(F.lit(float(floor)).alias("floor"), F.lit(label).alias("label"))
-                      for floor, label in ((high, AUTO_MERGE), (medium, STEWARD_REVIEW))])
-    reached = F.filter(bands, lambda band: _c(confidence) >= band["floor"])
-    return F.coalesce(F.get(reached, F.lit(0))["label"], F.lit(REJECT))
+    out = F.lit(REJECT)
+    for floor, label in sorted(((medium, STEWARD_REVIEW), (high, AUTO_MERGE)), key=lambda band: band[0]):
+        out = F.when(_c(confidence) >= F.lit(float(floor)), F.lit(label)).otherwise(out)
+    return out
 
 
 def concat_key(block: Column | str, name: Column | str) -> Column:

@@ -41,9 +41,9 @@ def _rarest_first(pieces: DataFrame, key: list[str], holders: DataFrame, name: l
 
 # --------------------------------------------------------------------------------- edit distance
 
-def _edit_pairs(items: DataFrame, group: list[str], slack: float) -> DataFrame:
-    """Pairs (group, x, y) of ``items`` (group, name, rest) whose rests may be within
-    ``floor(slack * length of the longer name)`` edits; the names differ by their rests only."""
+def edit_pieces(items: DataFrame, group: list[str], slack: float) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the piece join of ``items`` (group, name, rest): the rarest chunks of every
+    name as the longer of a pair, and the pieces of every name as the shorter."""
     def budget(length: Column) -> Column:
         return F.floor(length * F.lit(slack) + F.lit(1e-9)).cast("int")
 
@@ -73,7 +73,13 @@ def _edit_pairs(items: DataFrame, group: list[str], slack: float) -> DataFrame:
     # the chunks that can go missing and one more
     x = ranked.withColumn("i", F.explode(F.slice("order", 1, F.least("t", F.col("chunks") - 1) + 1))) \
         .withColumn("piece", F.substr("rest", F.col("i") * F.col("q") + 1, F.col("q")))
-    x = x.select(*key, F.col("name").alias("x"), F.col("rest").alias("rx"), "r", "t", "chunks", "order", "i")
+    return x.select(*key, F.col("name").alias("x"), F.col("rest").alias("rx"), "r", "t", "chunks", "order", "i"), y
+
+
+def _edit_pairs(items: DataFrame, group: list[str], slack: float) -> DataFrame:
+    """Pairs (group, x, y) of ``items`` (group, name, rest) whose rests may be within
+    ``floor(slack * length of the longer name)`` edits; the names differ by their rests only."""
+    x, y = edit_pieces(items, group, slack)
 
     def stands(i: Column) -> Column:
         first = F.greatest(F.lit(1), i * F.col("q") + 1 - F.col("t"))
@@ -81,7 +87,7 @@ def _edit_pairs(items: DataFrame, group: list[str], slack: float) -> DataFrame:
         return F.contains(window, F.substr(F.col("rx"), i * F.col("q") + 1, F.col("q")))
 
     shorter = F.col("r") - F.length("ry")
-    joined = x.join(y, key).filter(
+    joined = x.join(y, [*group, "q", "piece"]).filter(
         (shorter >= 0) & (shorter <= F.col("t")) & ((shorter > 0) | (F.col("ry") < F.col("rx"))))
     standing = F.when(F.col("q") == 0, F.col("order")).otherwise(F.filter("order", stands))
     joined = joined.withColumn("standing", standing).filter(

@@ -70,6 +70,12 @@ def declared_match_key(entities: DataFrame) -> Column:
     return tx.declared_key(F.col("Borough"), F.col(zone_col))
 
 
+def blocked_by(z: DataFrame, key: Column) -> DataFrame:
+    """Standardised rows whose block is ``key``, e.g. the declared blocking key: every operator of the
+    pair plan then compares rows of equal key only (rows with a NULL key pair with none)."""
+    return z.withColumn(BLOCK, key)
+
+
 # ----------------------------------------------------------------------------- duplicate evidence
 
 def dup_by_match_key(z: DataFrame) -> DataFrame:
@@ -112,7 +118,10 @@ def id_multiplicity(z: DataFrame) -> DataFrame:
 
 
 def _pairs_of(multiplicity):
-    """Pairs of rows with distinct ids, ``(n^2 - sum of m_id^2) / 2``, in exact decimal arithmetic."""
+    """Pairs of rows with distinct ids, ``(n^2 - sum of m_id^2) / 2``, in exact decimal arithmetic.
+
+    Counts are longs: more than 2^63 pairs (a block of over 4.29e9 rows) raise instead of wrapping.
+    """
     m = multiplicity.cast("decimal(18,0)")
     n = F.sum(m).cast("decimal(19,0)")
     return ((n * n - F.sum(m * m)) * F.lit(Decimal("0.5"))).cast("long")
@@ -279,24 +288,29 @@ def audit_by_block(z: DataFrame, scorer: str, high: float = gov.HIGH_CONFIDENCE,
     group sizes; the others count their verified pairs, and the rest of a block is the reject band.
     """
     per_id = id_multiplicity(z) if per_id is None else per_id
-    if scorer == HEURISTIC:
-        equal = name_groups(per_id).groupBy(F.col(BLOCK).alias("borough")).agg(F.sum("same_name_pairs").alias("equal"))
-        totals = block_pair_totals(per_id).select(F.col(BLOCK).alias("borough"), "pairs").join(equal, "borough")
-        parts = [(gov.HEURISTIC_EXACT_SCORE, F.col("equal")), (gov.HEURISTIC_OTHER_SCORE, F.col("pairs") - F.col("equal"))]
-        bands = {band: sum((F.when(tx.decision(F.lit(score), high, medium) == band, n).otherwise(0) for score, n in parts),
-                           F.lit(0).cast("long")) for band in (gov.AUTO_MERGE, gov.STEWARD_REVIEW)}
-    else:
+    if scorer != HEURISTIC:
         scores = name_pair_scores(z, high, medium, per_id=per_id, scorer=scorer)
-        found = scores.groupBy("borough").agg(*[
-            F.sum(F.when(F.col("decision") == band, F.col("pair_count"))).alias(band)
-            for band in (gov.AUTO_MERGE, gov.STEWARD_REVIEW)])
-        totals = block_pair_totals(per_id).select(F.col(BLOCK).alias("borough"), "pairs").join(found, "borough", "left")
-        bands = {band: F.coalesce(F.col(band), F.lit(0)).cast("long") for band in (gov.AUTO_MERGE, gov.STEWARD_REVIEW)}
-    merge, review = bands[gov.AUTO_MERGE], bands[gov.STEWARD_REVIEW]
-    return totals.filter("pairs > 0").select(
-        F.lit(scorer).alias("scorer"), "borough", F.col("pairs").alias("total_pairs_compared"),
-        merge.alias("auto_merge_pairs"), review.alias("steward_review_pairs"),
-        (F.col("pairs") - merge - review).alias("reject_pairs"))
+        return bands_by_block(per_id, scores).select(F.lit(scorer).alias("scorer"), "*")
+    equal = name_groups(per_id).groupBy(F.col(BLOCK).alias("borough")).agg(F.sum("same_name_pairs").alias("equal"))
+    pairs = block_pair_totals(per_id).select(F.col(BLOCK).alias("borough"), "pairs").join(equal, "borough")
+    counts = pairs.select("borough", F.inline(F.array(*[
+        F.struct(tx.decision(F.lit(score), high, medium).alias("decision"), n.alias("pair_count"))
+        for score, n in ((gov.HEURISTIC_EXACT_SCORE, F.col("equal")),
+                         (gov.HEURISTIC_OTHER_SCORE, F.col("pairs") - F.col("equal")))])))
+    return bands_by_block(per_id, counts).select(F.lit(scorer).alias("scorer"), "*")
+
+
+def bands_by_block(per_id: DataFrame, scores: DataFrame) -> DataFrame:
+    """Per block with pairs: all of them, and those of ``scores`` (borough, decision, pair_count) per
+    band; what ``scores`` does not have is the reject band."""
+    found = scores.groupBy("borough").agg(*[
+        F.sum(F.when(F.col("decision") == band, F.col("pair_count"))).alias(band)
+        for band in (gov.AUTO_MERGE, gov.STEWARD_REVIEW)])
+    merge, review = (F.coalesce(F.col(band), F.lit(0)).cast("long") for band in (gov.AUTO_MERGE, gov.STEWARD_REVIEW))
+    totals = block_pair_totals(per_id).filter("pairs > 0").select(F.col(BLOCK).alias("borough"), "pairs")
+    return totals.join(found, "borough", "left").select(
+        "borough", F.col("pairs").alias("total_pairs_compared"), merge.alias("auto_merge_pairs"),
+        review.alias("steward_review_pairs"), (F.col("pairs") - merge - review).alias("reject_pairs"))
 
 
 # ------------------------------------------------------------------------------ golden master

@@ -198,9 +198,14 @@ def read_quarantine(spark: SparkSession, quarantine_root: str) -> DataFrame:
 
 def matching_job(spark: SparkSession, zones: DataFrame, master_root: str, steward_path: str, products_root: str,
                  audit_path: str, high: float = gov.HIGH_CONFIDENCE, medium: float = gov.MEDIUM_CONFIDENCE,
-                 job_name: str = "mdm_matching", now=None) -> dict:
+                 job_name: str = "mdm_matching", now=None, rejects_path: str | None = None) -> dict:
     """Standardise, write golden master (snapshot), steward queue, auto-merge pairs of keys and members
-    of keys, duplicate evidence and the audit summary (in its own ``summary/`` folder, beside the evidence)."""
+    of keys, duplicate evidence and the audit summary (in its own ``summary/`` folder, beside the evidence).
+
+    ``rejects_path`` receives what becomes of the rejected pairs: their number per block (the pairs
+    themselves are nearly all pairs of a block).
+    """
+    rejects_path = rejects_path or f"{products_root}/rejects"
     z = m.standardize(zones)
     master_format = sinks.write_product(m.golden_master(z, now=now), "master_zones", master_root,
                                         parameters={"job": job_name})
@@ -213,11 +218,13 @@ def matching_job(spark: SparkSession, zones: DataFrame, master_root: str, stewar
                         f"{products_root}/auto_merge")
     sinks.write_product(m.auto_merge_members(z, high, per_id=per_id), "auto_merge_members",
                         f"{products_root}/auto_merge_members")
+    by_block = m.bands_by_block(per_id, scores).select("borough", "total_pairs_compared", "reject_pairs")
+    sinks.write_product(by_block, "reject_counts", rejects_path)
     for name, frame in (("dup_by_location_id", m.dup_by_id(z)), ("dup_by_match_key", m.dup_by_match_key(z))):
         sinks.write_product(frame, name, f"{products_root}/{name}")
     audit = m.match_audit(z, high, medium, per_id=per_id, scores=scores).withColumns({
         "master_out_path": F.lit(master_root), "master_format": F.lit(master_format),
-        "steward_queue_path": F.lit(steward_path), "job_name": F.lit(job_name),
+        "steward_queue_path": F.lit(steward_path), "rejects_path": F.lit(rejects_path), "job_name": F.lit(job_name),
         "generated_at_utc": F.current_timestamp() if now is None else F.lit(now).cast("timestamp")})
     sinks.write_product(audit, "match_audit", f"{audit_path.rstrip('/')}/summary")
     master_version = SnapshotTable(spark, master_root).latest_version() if master_format == "parquet" else None

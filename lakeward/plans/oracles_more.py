@@ -211,6 +211,10 @@ oracle("match_by_scorer", "\nUNION ALL\n".join([
     _by_block("jaro_winkler", "decision", f"{PARTS_JW} SELECT * FROM scored"),
     _by_block("heuristic", "CASE WHEN zone_a = zone_b THEN 'AUTO_MERGE' ELSE 'STEWARD_REVIEW' END",
               f"{PARTS_M} SELECT * FROM scored")]))
+oracle("match_declared_blocking", _by_block("heuristic", "band", f"""{with_(PARTS, std('parts'))},
+keyed AS (SELECT location_id, zone_norm, UPPER(TRIM(Borough)) || '::' || UPPER(TRIM(Zone)) AS declared_key FROM zk)
+SELECT a.declared_key AS borough, CASE WHEN a.zone_norm = b.zone_norm THEN 'AUTO_MERGE' ELSE 'STEWARD_REVIEW' END AS band
+FROM keyed a JOIN keyed b ON a.declared_key = b.declared_key AND a.location_id < b.location_id"""))
 oracle("match_audit", _audit(PARTS_M))
 oracle("match_audit_suppliers", _audit(SUPS_M))
 oracle("golden_master", f"""{with_(PARTS, std('parts'))},

@@ -179,3 +179,11 @@ def match_by_scorer(spark, sf_dir):
     per_id = m.id_multiplicity(z)
     audits = [m.audit_by_block(z, scorer, per_id=per_id) for scorer in (m.LEVENSHTEIN, m.JARO_WINKLER, m.HEURISTIC)]
     return audits[0].unionByName(audits[1]).unionByName(audits[2])
+
+
+@query("match_declared_blocking")
+def match_declared_blocking(spark, sf_dir):
+    """Pairs per band under the declared blocking key and the declared (heuristic) scorer."""
+    e = fx.part_entities(spark, sf_dir)
+    z = m.blocked_by(m.standardize(e), m.declared_match_key(e))
+    return m.audit_by_block(z, m.HEURISTIC)

@@ -59,7 +59,8 @@ def apply_profile(spark: SparkSession, profile: dict[str, str] = CLUSTER_PROFILE
 
 
 def _explicitly_set(spark: SparkSession, key: str) -> bool:
-    return spark.sparkContext.getConf().contains(key)
+    # set by the launcher, or later at run time
+    return spark.sparkContext.getConf().contains(key) or key in dict(spark.conf.getAll)
 
 
 def _listing_tasks(cores: int | str) -> int:

@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,9 +88,16 @@ def read_zones_inferred(spark: SparkSession, path: str) -> DataFrame:
     text = read_zones_csv(spark, path, schema=T.StructType([T.StructField(n, T.StringType()) for n in names.values()]))
     if not names:
         return text
+
+    def misfits(name: str, kind: str) -> Column:
+        value = F.col(f"`{name}`")
+        # a single letter or digit converts to a boolean too, but does not say that it is one
+        fits = F.lower(value).isin("true", "false") if kind == "boolean" else value.try_cast(kind).isNotNull()
+        return F.count_if(value.isNotNull() & ~fits).alias(kind)
+
     # one pass: a column has the first type that all its values convert to
-    fits = text.agg(*[F.struct(*[F.count_if(F.col(f"`{n}`").isNotNull() & F.col(f"`{n}`").try_cast(kind).isNull()).alias(kind)
-                                 for kind in INFERRED_TYPES]).alias(f"c{i}") for i, n in enumerate(text.columns)]).first()
+    fits = text.agg(*[F.struct(*[misfits(n, kind) for kind in INFERRED_TYPES]).alias(f"c{i}")
+                      for i, n in enumerate(text.columns)]).first()
     kinds = [next((kind for kind in INFERRED_TYPES if not fits[f"c{i}"][kind]), "string") for i in range(len(text.columns))]
     return text.select(*[F.col(f"`{n}`").try_cast(kind).alias(n) for n, kind in zip(text.columns, kinds, strict=True)])
 

@@ -31,6 +31,7 @@ PRODUCT_FORMATS: dict[str, tuple[str, list[str]]] = {
     "steward_queue": ("parquet", []),
     "auto_merge_pairs": ("parquet", []),
     "auto_merge_members": ("parquet", []),
+    "reject_counts": ("parquet", []),
     "dup_by_location_id": ("csv", []),
     "dup_by_match_key": ("csv", []),
     "match_audit": ("json", []),
@@ -114,3 +115,29 @@ def write_product(df: DataFrame, product: str, path: str, parameters: dict | Non
     else:
         raise ValueError(f"unknown format {fmt!r} for product {product!r}")
     return fmt
+
+
+def register_product(spark: SparkSession, product: str, path: str, name: str) -> None:
+    """Make the current state of a product readable by ``name`` in the catalog.
+
+    A table's entry shows its current version (register again after a commit, or commit through a
+    ``SnapshotTable`` that has the view); other products are the files at ``path``.
+    """
+    fmt = PRODUCT_FORMATS[product][0]
+    if fmt == "table":
+        fmt = table_format(spark, path) or "parquet"
+        if fmt == "parquet":
+            SnapshotTable(spark, path, view=name).refresh_view()
+            return
+    if fmt == "csv":
+        # a view cannot carry reader options; the evidence has a header
+        frame = spark.read.option("header", True).csv(path)
+        source = ", ".join(f"`_c{i}` AS `{c}`" for i, c in enumerate(frame.columns))
+        header = " OR ".join(f"`_c{i}` <> '{c}'" for i, c in enumerate(frame.columns)) or "true"
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {source} FROM csv.`{path}` WHERE {header}")
+    else:
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {fmt}.`{path}`")
+
+
+def unregister_product(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP VIEW IF EXISTS {name}")

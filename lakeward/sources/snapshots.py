@@ -196,12 +196,14 @@ class SnapshotTable:
         # as committed: no inference, and a text partition value such as '007' stays text
         schema = schema or _parsed(e["schema_json"])
         # folders that differ only in columns they lack are one relation: one listing, one scan,
-        # however many appends the table has had
+        # however many appends the table has had; folders with partitions are one each
         groups: dict[tuple, list[str]] = {}
         for commit in self._commits(e):
-            groups.setdefault((*self._narrower(commit, schema), ("", *commit["partition_by"])), []).extend(commit["files"])
+            for folder in commit["files"]:
+                apart = folder if commit["partition_by"] else ""
+                groups.setdefault((apart, *self._narrower(commit, schema)), []).append(folder)
         frames = []
-        for (*narrow, _), files in groups.items():
+        for (_, *narrow), files in groups.items():
             types = dict(narrow)
             stored = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in schema.fields])
             frames.append(self.spark.read.schema(stored).parquet(*files).select(
@@ -234,9 +236,16 @@ class SnapshotTable:
         """(Re)build the catalog view from the ledger: every folder of the current version, with the
         table's schema. Readers by name see the next version as soon as it is committed."""
         entry = self._entry()
-        schema = _parsed(entry["schema_json"])
+        schema, commits = _parsed(entry["schema_json"]), self._commits(entry)
+        text = {f.name for f in schema.fields if f.dataType == T.StringType()}
+        self.drop_view()
+        if any(text & set(c["partition_by"]) for c in commits):
+            # SQL over a folder takes '007' in a folder's name for a number: such a table's entry is
+            # a view of the session
+            self.read().createOrReplaceTempView(self.view)
+            return
         selects = []
-        for commit in self._commits(entry):
+        for commit in commits:
             own = set(_parsed(commit["own_schema_json"]).names)
             columns = ", ".join(f"CAST({f'`{f.name}`' if f.name in own else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
                                 for f in schema.fields)
@@ -244,16 +253,9 @@ class SnapshotTable:
         if not selects:
             nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
             selects = [f"SELECT {nothing} WHERE false"]
-        # a view keeps the settings it was made with: partition values stay the text they are in the
-        # folder names until they are cast to the stored type
-        inference = "spark.sql.sources.partitionColumnTypeInference.enabled"
-        before = self.spark.conf.get(inference)
-        self.spark.conf.set(inference, "false")
-        try:
-            self.spark.sql(f"CREATE OR REPLACE VIEW {self.view} AS {' UNION ALL '.join(selects)}")
-        finally:
-            self.spark.conf.set(inference, before)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.view} AS {' UNION ALL '.join(selects)}")
 
     def drop_view(self) -> None:
         """Take the table's entry out of the catalog (its owner does, when the table goes)."""
+        self.spark.catalog.dropTempView(self.view)
         self.spark.sql(f"DROP VIEW IF EXISTS {self.view}")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from lakeward.operators import ingest as ing
 from lakeward.operators import quality as q
 from lakeward.operators import schema as sch
+from lakeward.sources import files
 
 T = "VendorID int, tpep_pickup_datetime string, tpep_dropoff_datetime string, fare_amount string, " \
     "passenger_count int, RatecodeID int, PULocationID int, DOLocationID int, trip_distance double"
@@ -163,3 +164,56 @@ def test_gate_sides_without_rows_and_stop_before_publishing(spark, tmp_path):
 def test_text_measure_fails_its_row(spark):
     df = spark.createDataFrame([("x",), ("-1",), ("2",), (None,)], "fare_amount string")
     assert q.quality_gate(df).report.first().fare_amount_non_negative_fail_count == 2
+
+
+def test_csv_folder_with_differing_headers(spark, tmp_path):
+    folder = tmp_path / "zones"
+    folder.mkdir()
+    (folder / "a.csv").write_text("LocationID,Borough,Zone,service_zone\n1,B1,Z1,s\nx,B9,\"Z,9\",s\n")
+    (folder / "b.csv").write_text("LocationID,Zone,Borough,service_zone\n2,Z2,B2,t\n")
+    (folder / "c.csv").write_text("zone_name,note,LOCATIONID\nZ3,n,3\n")
+    (folder / "d.csv").write_text("")
+    (folder / "e.csv").write_text("Zone,LocationID,Borough,service_zone\n")
+    got = files.read_zones_csv(spark, str(folder), typed=True)
+    assert dict(got.dtypes)["LocationID"] == "int"
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(
+        [(1, "B1", "Z1", "s"), (None, "B9", "Z,9", "s"), (2, "B2", "Z2", "t"), (3, None, "Z3", None)], key=repr)
+    assert len(files.csv_headers(spark, str(folder))) == 4
+    inferred = files.read_zones_inferred(spark, str(folder))
+    assert dict(inferred.dtypes) == {"LocationID": "string", "Borough": "string", "Zone": "string",
+                                     "service_zone": "string", "zone_name": "string", "note": "string"}
+    (folder / "a.csv").write_text("LocationID,Borough,Zone,service_zone\n1,B1,Z1,2.5\n")
+    (folder / "b.csv").write_text("LocationID,Zone,Borough,service_zone\n3000000000,Z2,B2,7\n")
+    kinds = dict(files.read_zones_inferred(spark, str(folder)).dtypes)
+    assert (kinds["LocationID"], kinds["service_zone"]) == ("bigint", "double")
+
+
+def test_declared_rules_on_text(spark):
+    rows = [("1", "3.5", "2024-01-01 00:00:00", "2024-01-01 01:00:00"), ("1", "x", "2024-01-01 00:00:00", "2024-01-01 01:00:00"),
+            (None, "-2", "late", "2024-01-01 01:00:00"), ("seven", None, "2024-01-02 00:00:00", "2024-01-01 01:00:00")]
+    df = spark.createDataFrame(rows, "VendorID string, fare_amount string, tpep_pickup_datetime string, tpep_dropoff_datetime string")
+    rules = q.declared_rules(df=df)
+    assert {r.name: [c for c, _ in r.typed] for r in rules}["pickup_before_dropoff"] == [
+        "tpep_pickup_datetime", "tpep_dropoff_datetime"]
+    flagged = q.flag_frame(df, rules)
+    assert flagged.columns[:4] == df.columns  # the input stays as it came
+    got = flagged.select("fare_amount", "trip_vendor_not_null", "fare_amount_non_negative", "pickup_before_dropoff", "dq_pass")
+    assert [tuple(r) for r in got.collect()] == [
+        ("3.5", True, True, True, True), ("x", True, False, True, False), ("-2", False, False, False, False),
+        (None, False, True, False, False)]
+    # code rules beside them see the columns as they are
+    both = q.flag_frame(df, q.code_rules(df, [("fare_range", "within", ("fare_amount",), (0, None), "validity", "low")]) + rules)
+    assert [r.fare_range for r in both.collect()] == [True, False, False, True]
+
+
+def test_text_ingest_keeps_what_does_not_convert(spark):
+    df = spark.createDataFrame([("1", "2.5", "keep"), ("one", "", None), (None, "1e3", "k")],
+                               "VendorID string, fare_amount string, other string")
+    found = sch.typed_ingest(df)
+    assert [(r.VendorID, r.fare_amount, r.other, r.raw_values, r.nonconforming) for r in found.collect()] == [
+        (1, 2.5, "keep", {}, 0), (None, None, None, {"VendorID": "one", "fare_amount": ""}, 2), (None, 1000.0, "k", {}, 0)]
+    report = {r.column_name: (r.nonconforming_rows, r.null_rows, r.example) for r in sch.conformance_of_ingest(found).collect()}
+    assert report == {"VendorID": (1, 1, "one"), "fare_amount": (1, 0, "")}
+    assert sch.conformance_of_ingest(sch.typed_ingest(df.limit(0))).first().total_rows == 0
+    with pytest.raises(ValueError):
+        sch.typed_ingest(df.withColumnRenamed("other", "raw_values"))

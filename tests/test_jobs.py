@@ -81,3 +81,70 @@ def test_product_routing_formats(spark):
     csv = spark.read.option("header", True).csv(f"{root}/c")
     assert csv.columns == ["id", "v"] and csv.count() == 2
     assert set(sinks.PRODUCT_FORMATS) >= {"curated_trips", "quarantine", "master_zones", "steward_queue"}
+
+
+def test_jobs_read_the_format_that_was_written(spark, monkeypatch):
+    """With another table format first in line, what job 4 writes is what job 5 reads."""
+    root = scratch_path(spark, "formats")
+    used = []
+
+    def write(df, path, partition_by, mode, parameters):
+        used.append("write")
+        df.write.mode(mode).orc(f"{path}/orc")
+
+    def read(s, path):
+        used.append("read")
+        return s.read.orc(f"{path}/orc")
+
+    stub = sinks.TableFormat(lambda s: True, write, read)
+    trips = fx.trips(spark, SF_SMALL).limit(200)
+    jobs.raw_to_validated(spark, trips, f"{root}/validated", now=CLOCK)
+    files.write_zones_csv(fx.master_zones(spark, SF_SMALL), f"{root}/zones")
+    jobs.validated_to_curated(spark, f"{root}/validated", f"{root}/zones", f"{root}/curated", now=CLOCK)
+    monkeypatch.setattr(sinks, "TABLE_FORMATS", {"stub": stub, **sinks.TABLE_FORMATS})
+    res = jobs.matching_job(spark, files.read_zones_csv(spark, f"{root}/zones"), f"{root}/master", f"{root}/steward",
+                            f"{root}/products", f"{root}/audit", now=CLOCK)
+    assert res == {"master_version": None, "master_format": "stub"}
+    jobs.lifecycle_job(spark, f"{root}/master", f"{root}/curated", f"{root}/orphans", f"{root}/lifecycle",
+                       f"{root}/history", f"{root}/summary", now=CLOCK)
+    assert used == ["write", "read"]
+    # a table keeps its format, whatever is preferred later
+    assert sinks.table_format(spark, f"{root}/master") == "stub"
+    monkeypatch.setattr(sinks, "TABLE_FORMATS", {"parquet": sinks.TABLE_FORMATS["parquet"], "stub": stub})
+    assert sinks.write_table(trips, f"{root}/master") == "stub"
+    rejects = spark.read.parquet(f"{root}/products/rejects")
+    audit = spark.read.json(f"{root}/audit/summary").first()
+    assert audit.rejects_path == f"{root}/products/rejects"
+    assert rejects.agg(F.sum("reject_pairs")).first()[0] == audit.reject_pairs
+
+
+def test_profile_leaves_settings_alone(spark):
+    from lakeward import session
+
+    key, other = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(other)
+    spark.conf.set(key, "1m")
+    try:
+        session.apply_profile(spark, {key: "64m", other: "8m", "spark.task.maxFailures": "8"})
+        assert spark.conf.get(key) == "1m" and spark.conf.get(other) == "8m"
+    finally:
+        spark.conf.unset(key)
+        spark.conf.unset(other)
+    assert spark.conf.get(other) == before
+
+
+def test_products_are_readable_by_name(spark):
+    root = scratch_path(spark, "catalog")
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, v string")
+    for product in ("master_zones", "steward_queue", "match_audit", "dup_by_match_key"):
+        path, name = f"{root}/{product}", f"by_name_{product}"
+        sinks.write_product(df, product, path)
+        sinks.register_product(spark, product, path, name)
+        got = spark.table(name).select(F.col("id").cast("int"), "v")
+        assert sorted(map(tuple, got.collect()), key=repr) == [(1, "a"), (2, None)], product
+        if product == "master_zones":
+            sinks.write_product(df.limit(1), product, path)
+            sinks.register_product(spark, product, path, name)
+            assert spark.table(name).count() == 1
+        sinks.unregister_product(spark, name)
+        assert not spark.catalog.tableExists(name)

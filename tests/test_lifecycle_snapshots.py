@@ -114,3 +114,85 @@ def test_archive_rerun_adds_nothing(spark, tmp_path):
     for _ in range(2):
         jobs.archive_expired(spark, master.root, archive.root, "2025-01-02")
         assert [r.id for r in archive.read().collect()] == [1] and [r.id for r in master.read().collect()] == [2]
+
+
+def test_types_widen_and_columns_come_over_appends(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "t"))
+    t.commit(spark.createDataFrame([(1, "a", 1.5)], "id int, v string, x float"))
+    t.commit(spark.createDataFrame([(3_000_000_000, True)], "id bigint, flag boolean"), mode="append")
+    t.commit(spark.createDataFrame([(2, 2.25)], "id int, x double"), mode="append")
+    got = t.read()
+    assert got.dtypes == [("id", "bigint"), ("v", "string"), ("x", "double"), ("flag", "boolean")]
+    assert sorted(map(tuple, got.collect())) == [(1, "a", 1.5, None), (2, None, 2.25, None), (3_000_000_000, None, None, True)]
+    assert t.read(version=0).dtypes == [("id", "int"), ("v", "string"), ("x", "float")]
+    with pytest.raises(ValueError, match="column v"):
+        t.commit(spark.createDataFrame([(1, 2)], "id int, v int"), mode="append")
+    assert t.latest_version() == 2 and t.read().count() == 3  # refused before anything was written
+    assert sorted((r.version, r.column_name, r.change, r.old_type, r.new_type) for r in t.schema_versions().collect()) == [
+        (0, "id", "added", None, "int"), (0, "v", "added", None, "string"), (0, "x", "added", None, "float"),
+        (1, "flag", "added", None, "boolean"), (1, "id", "changed", "int", "bigint"), (2, "x", "changed", "float", "double")]
+    t.commit(spark.createDataFrame([(7,)], "v int"))  # an overwrite may have any schema
+    assert [tuple(r) for r in t.read().collect()] == [(7,)]
+
+
+def test_a_ledger_row_names_its_own_folders(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "t"))
+    for k in range(4):
+        t.commit(spark.createDataFrame([(k,)], "k int"), mode="append")
+    rows = t.history().collect()
+    assert [len(r.files) for r in rows] == [1] * 4 and {r.base_version for r in rows} == {0}
+    assert sorted(r.k for r in t.read(version=2).collect()) == [0, 1, 2]
+
+
+def test_catalog_view_follows_the_table(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "t"), view="follows_the_table")
+    by_name = lambda: sorted(map(tuple, spark.sql("SELECT * FROM follows_the_table").collect()), key=repr)
+    t.commit(spark.createDataFrame([(1, "007"), (2, None)], "id int, code string"), partition_by=["code"])
+    assert by_name() == [(1, "007"), (2, None)]
+    t.commit(spark.createDataFrame([(3_000_000_000, "n")], "id bigint, note string"), mode="append")
+    assert by_name() == sorted(map(tuple, t.read().collect()), key=repr) and len(by_name()) == 3
+    t.commit(spark.createDataFrame([(9,)], "id int").limit(0))
+    assert by_name() == [] and spark.table("follows_the_table").columns == ["id"]
+    t.register([], spark.createDataFrame([(1,)], "other int").schema, {})
+    assert by_name() == [] and spark.table("follows_the_table").columns == ["other"]
+    t.drop_view()
+    assert not spark.catalog.tableExists("follows_the_table")
+
+
+def test_history_is_appended(spark, tmp_path):
+    from lakeward.plans import jobs
+
+    a, b, root = SnapshotTable(spark, str(tmp_path / "a")), SnapshotTable(spark, str(tmp_path / "b")), str(tmp_path / "h")
+    tables = {"a": a.root, "b": b.root}
+    assert jobs.append_history(spark, tables, root, "j") == 0 and SnapshotTable(spark, root).read().count() == 0
+    for k in range(3):
+        a.commit(spark.range(k + 1))
+    assert jobs.append_history(spark, tables, root, "j") == 3
+    b.commit(spark.range(1))
+    a.commit(spark.range(1), mode="append")
+    assert jobs.append_history(spark, tables, root, "j") == 2
+    assert jobs.append_history(spark, tables, root, "j") == 0
+    got = SnapshotTable(spark, root).read()
+    assert got.columns[:10] == jobs.HISTORY_COLUMNS and dict(got.dtypes)["snapshot_id"] == "bigint"
+    assert sorted((r.snapshot_id, r.table_name, r.version) for r in got.collect()) == [
+        (1, "a", 0), (2, "a", 1), (3, "a", 2), (4, "b", 0), (5, "a", 3)]
+
+
+def test_run_ledger_states(spark, tmp_path):
+    from lakeward.plans import jobs
+
+    ledger = jobs.RunLedger(spark, str(tmp_path / "runs"))
+    ids = []
+    with ledger.run(jobs.RunRecord("ok", "in", "out")) as rec:
+        rec.records_in = 5
+        ids.append(rec.run_id)
+        assert [(r.status, r.records_in) for r in ledger.read().collect()] == [("RUNNING", None)]
+    with pytest.raises(RuntimeError):
+        with ledger.run(jobs.RunRecord("bad", "in", "out")) as rec:
+            ids.append(rec.run_id)
+            raise RuntimeError("broken")
+    got = {r.run_id: (r.job_name, r.status, r.records_in, r.error_message) for r in ledger.read().collect()}
+    assert got == {ids[0]: ("ok", "SUCCEEDED", 5, None), ids[1]: ("bad", "FAILED", None, "RuntimeError: broken")}
+    assert ledger.rows().count() == 4 and dict(ledger.read().dtypes)["run_id"] == "bigint"
+    first, later = jobs.new_run_id(dt.datetime(2025, 1, 1)), jobs.new_run_id(dt.datetime(2025, 1, 1, 0, 0, 1))
+    assert 0 < first < later < 1 << 63

@@ -1,11 +1,15 @@
 """License scan by a positional index of rare words (DataFrame functions only).
 
-A template is a sequence of words with mandatory key phrases at fixed offsets. The words of its key
+A template is a license's text with mandatory key phrases at fixed offsets. The words of its key
 phrases that are rarest in the corpus (highest inverse document frequency) are its postings: (word,
-offset). The template's other words need not be in a text, so none of them is a posting. Where a file has a posting's word at position p, the template may start at p - offset; the starts
-that all of a template's postings agree on are kept, and the key phrases are verified there word
-by word. Everything happens in the file's own row: no shuffle, no exploded words. Only the
-document frequencies of the templates' own words (a bounded list) reach the driver.
+template, offset). The template's other words need not be in a text, so none of them is a posting.
+
+The postings form one table, word -> (template, offset) pairs, however many templates there are. A
+file's places of indexed words are looked up in it; a posting at place p lets its template start at
+p - offset. The (template, start) pairs are sorted, those that all of the template's postings agree
+on are neighbours and stay, and the template's key phrases are verified there word by word.
+Everything happens in the file's own row: no shuffle, no exploded words. Only the document
+frequencies of the key phrases' words (a bounded list) reach the driver.
 
 Defined edge cases: null text counts as empty (no words, no labels, score 0); repeated rows are
 judged one by one; texts of any length are scanned whole; an empty table gives an empty result;
@@ -30,25 +34,55 @@ BASE_PHRASES: list[tuple[str, str]] = [
     ("all rights reserved", "reserved"),
 ]
 
-#: Label, template, mandatory key phrases of the template (public license texts).
+#: Label, public license text (its notice or first paragraph), mandatory key phrases.
 TEMPLATES: list[tuple[str, str, list[str]]] = [
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy",
+    ("mit",
+     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+     "documentation files the software to deal in the software without restriction including without limitation the "
+     "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+     "persons to whom the software is furnished to do so subject to the following conditions",
      ["permission is hereby granted", "free of charge", "any person obtaining a copy"]),
-    ("apache-2.0", "licensed under the apache license version 2 0",
+    ("apache-2.0",
+     "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the "
+     "license you may obtain a copy of the license at http www apache org licenses license 2 0",
      ["licensed under the apache license", "version 2 0"]),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted",
+    ("bsd",
+     "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+     "following conditions are met redistributions of source code must retain the above copyright notice this list of "
+     "conditions and the following disclaimer",
      ["redistribution and use in source and binary forms", "are permitted"]),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose",
+    ("isc",
+     "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+     "provided that the above copyright notice and this permission notice appear in all copies",
      ["permission to use copy modify", "distribute this software"]),
+    ("gpl-notice",
+     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
+     "license as published by the free software foundation either version",
+     ["this program is free software", "you can redistribute it", "gnu general public license"]),
     ("lgpl", "gnu lesser general public license", ["gnu lesser general public license"]),
     ("agpl", "gnu affero general public license", ["gnu affero general public license"]),
-    ("mpl-2.0", "subject to the terms of the mozilla public license", ["mozilla public license"]),
-    ("epl", "eclipse public license", ["eclipse public license"]),
+    ("mpl-2.0",
+     "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not "
+     "distributed with this file you can obtain one at http mozilla org mpl 2 0",
+     ["mozilla public license"]),
+    ("epl",
+     "this program and the accompanying materials are made available under the terms of the eclipse public license v1 0",
+     ["eclipse public license"]),
     ("cc0", "cc0 1 0 universal", ["cc0 1 0 universal"]),
     ("cc-by-sa", "cc by sa", ["cc by sa"]),
     ("cc-by-nc", "cc by nc", ["cc by nc"]),
     ("cc-attribution", "creative commons attribution", ["creative commons attribution"]),
-    ("unlicense", "this is free and unencumbered software released into the public domain",
+    ("boost",
+     "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and "
+     "accompanying documentation covered by this license the software",
+     ["any person or organization obtaining a copy", "covered by this license"]),
+    ("zlib",
+     "this software is provided as is without any express or implied warranty in no event will the authors be held liable "
+     "for any damages arising from the use of this software",
+     ["this software is provided as is without any express or implied", "in no event will the authors be held liable"]),
+    ("unlicense",
+     "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use "
+     "compile sell or distribute this software",
      ["free and unencumbered software", "public domain"]),
 ]
 
@@ -57,15 +91,19 @@ POSTINGS = 2
 
 
 def _templates() -> list[dict]:
-    base = [{"label": label, "words": phrase.split(), "keys": [phrase.split()], "base": True}
-            for phrase, label in BASE_PHRASES]
-    more = [{"label": label, "words": text.split(), "keys": [k.split() for k in keys], "base": False}
-            for label, text, keys in TEMPLATES]
-    for t in base + more:
-        t["keys"] = [(next(i for i in range(len(t["words"])) if t["words"][i:i + len(k)] == k), k) for k in t["keys"]]
-        # lower() also maps the Kelvin sign to k; no template word may depend on that
-        assert not any("k" in w for w in t["words"])
-    return base + more
+    """label, base, keys (offset of each key phrase in the part of the text that they span) and span."""
+    out = []
+    for label, text, phrases, base in [*((label, phrase, [phrase], True) for phrase, label in BASE_PHRASES),
+                                       *((*t, False) for t in TEMPLATES)]:
+        words, keys = text.split(), []
+        for key in (p.split() for p in phrases):
+            keys.append((next(i for i in range(len(words)) if words[i:i + len(key)] == key), key))
+            # lower() also maps the Kelvin sign to k; no key word may depend on that
+            assert not any("k" in w for w in key)
+        first = min(at for at, _ in keys)
+        keys = sorted((at - first, key) for at, key in keys)
+        out.append({"label": label, "base": base, "keys": keys, "span": max(at + len(key) for at, key in keys)})
+    return out
 
 
 def words_of(text: Column) -> Column:
@@ -84,12 +122,12 @@ def document_frequencies(docs: DataFrame, vocabulary: list[str]) -> dict[str, in
 
 
 def postings_of(templates: list[dict], frequencies: dict[str, int], most: int = POSTINGS) -> list[list[tuple[str, int]]]:
-    """Per template the rarest words that a text must have (those of its key phrases; without any, all
-    words) with their offsets; ties to the longer word, then the earlier."""
+    """Per template the rarest words of its key phrases with their offsets; ties to the longer word,
+    then the earlier."""
     out = []
     for t in templates:
         offsets: dict[str, int] = {}
-        for at, key in sorted(t.get("keys") or [(0, t["words"])]):
+        for at, key in t["keys"]:
             for k, w in enumerate(key):
                 offsets.setdefault(w, at + k)
         idf = {w: -math.log(1 + frequencies.get(w, 0)) for w in offsets}
@@ -98,50 +136,63 @@ def postings_of(templates: list[dict], frequencies: dict[str, int], most: int =
     return out
 
 
+def _index(postings: list[list[tuple[str, int]]]) -> tuple[list[str], Column]:
+    """The indexed words, and for each (in this order) its (template, offset) pairs."""
+    table: dict[str, list[tuple[int, int]]] = {}
+    for t, posting in enumerate(postings):
+        for word, offset in posting:
+            table.setdefault(word, []).append((t, offset))
+    words = sorted(table)
+    return words, F.array(*[F.array(*[F.struct(F.lit(t).alias("t"), F.lit(o).alias("o")) for t, o in table[w]]) for w in words])
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     templates = _templates()
     vocabulary = sorted({w for t in templates for _, key in t["keys"] for w in key})
     postings = postings_of(templates, document_frequencies(docs, vocabulary))
-    rare = sorted({w for p in postings for w, _ in p})
+    indexed, pairs = _index(postings)
+    # what is known of every template, by its number
+    needed = F.array(*[F.lit(len(p)) for p in postings])
+    span = F.array(*[F.lit(t["span"]) for t in templates])
+    keys = F.array(*[F.array(*[F.struct(F.lit(at).alias("at"), _literal(key).alias("words")) for at, key in t["keys"]])
+                     for t in templates])
+    label, is_base = _literal(t["label"] for t in templates), F.array(*[F.lit(t["base"]) for t in templates])
 
     words = F.col("words")
     rows = docs.select("doc_id", words_of(text_or_empty()).alias("words"))
-    # positions of rare words, from 0; files without any are done after one look
-    at = F.when(F.arrays_overlap(words, _literal(rare)), F.filter(
-        F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.element_at(words, i + 1).isin(rare)))
-    rows = rows.select("doc_id", "words", F.coalesce(at, F.array().cast("array<int>")).alias("at"))
-
-    def starts(template: dict, posting: list[tuple[str, int]]) -> Column:
-        def possible(word: str, offset: int) -> Column:
-            return F.transform(F.filter("at", lambda i: F.element_at(words, i + 1) == word), lambda i: i - offset)
-
-        agreed = possible(*posting[0])
-        for more in posting[1:]:
-            agreed = F.array_intersect(agreed, possible(*more))
-
-        def verified(s: Column) -> Column:
-            ok = (s >= 0) & (s + len(template["words"]) <= F.size(words))
-            for offset, key in template["keys"]:
-                ok = ok & (F.slice(words, F.greatest(s, F.lit(0)) + offset + 1, len(key)) == _literal(key))
-            return ok
-
-        return F.filter(agreed, verified)
-
-    found = rows.select("doc_id", F.size("words").cast("bigint").alias("n_words"), *[
-        F.when(F.size("at") > 0, starts(t, p)).otherwise(F.array().cast("array<int>")).alias(f"t{k}")
-        for k, (t, p) in enumerate(zip(templates, postings, strict=True))])
-
-    def joined(which) -> Column:
-        names = F.array_compact(F.array(*[F.when(F.size(f"t{k}") > 0, F.lit(t["label"]))
-                                          for k, t in enumerate(templates) if which(t)]))
-        return F.array_join(F.array_sort(F.array_distinct(names)), ",")
-
-    base = F.concat(*[F.col(f"t{k}") for k, t in enumerate(templates) if t["base"]])
-    everywhere = F.concat(*[F.col(f"t{k}") for k in range(len(templates))])
+    # places of indexed words, from 0; files without any are done after one look
+    places = F.when(F.arrays_overlap(words, _literal(indexed)), F.filter(
+        F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.element_at(words, i + 1).isin(indexed)))
+    rows = rows.select("doc_id", "words", F.coalesce(places, F.array().cast("array<int>")).alias("at"))
+
+    def looked_up(i: Column) -> Column:
+        posting = F.element_at(pairs, F.array_position(_literal(indexed), F.element_at(words, i + 1)).cast("int"))
+        return F.transform(posting, lambda p: F.struct(p["t"].alias("t"), (i - p["o"]).alias("s")))
+
+    rows = rows.withColumn("starts", F.array_sort(F.flatten(F.transform("at", looked_up))))
+
+    def agreed(c: Column, i: Column) -> Column:
+        # equal pairs are neighbours; a pair comes once per posting, so its run cannot be longer
+        return F.get(F.col("starts"), i + F.element_at(needed, c["t"] + 1) - 1) == c
+
+    def verified(c: Column) -> Column:
+        start = F.greatest(c["s"], F.lit(0))
+        return (c["s"] >= 0) & (c["s"] + F.element_at(span, c["t"] + 1) <= F.size(words)) & F.forall(
+            F.element_at(keys, c["t"] + 1), lambda k: F.slice(words, start + k["at"] + 1, F.size(k["words"])) == k["words"])
+
+    found = rows.select("doc_id", F.size("words").cast("bigint").alias("n_words"),
+                        F.filter(F.filter("starts", agreed), verified).alias("found"))
+    found = found.withColumn("base", F.filter("found", lambda c: F.element_at(is_base, c["t"] + 1)))
+
+    def joined(which: str) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(
+            F.transform(which, lambda c: F.element_at(label, c["t"] + 1)))), ",")
+
     return found.select(
-        "doc_id", "n_words", F.size(base).cast("bigint").alias("n_base"),
-        F.array_min(base).cast("bigint").alias("first_word"), F.array_max(base).cast("bigint").alias("last_word"),
-        joined(lambda t: t["base"]).alias("base_labels"), joined(lambda t: True).alias("labels"),
+        "doc_id", "n_words", F.size("base").cast("bigint").alias("n_base"),
+        F.array_min(F.col("base")["s"]).cast("bigint").alias("first_word"),
+        F.array_max(F.col("base")["s"]).cast("bigint").alias("last_word"),
+        joined("base").alias("base_labels"), joined("found").alias("labels"),
         # each verified place halves the doubt
-        (F.lit(1.0) - F.pow(F.lit(0.5), F.size(everywhere))).alias("score"))
+        (F.lit(1.0) - F.pow(F.lit(0.5), F.size("found"))).alias("score"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from . import op5_license, op10_url_filter
-
 
 OP9 = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -83,21 +81,42 @@ SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict
 FROM urls LEFT JOIN fitting ON urls.row_id = fitting.row_id AND place = 1"""
 
 
+# the contract's phrases and labels, and the other licenses' key phrases with their distances
+_LICENSES = [
+    ("cc-by", [(0, "cc by")]), ("gpl", [(0, "general public license")]), ("reserved", [(0, "all rights reserved")]),
+    ("mit", [(0, "permission is hereby granted"), (4, "free of charge"), (8, "any person obtaining a copy")]),
+    ("apache-2.0", [(0, "licensed under the apache license"), (5, "version 2 0")]),
+    ("bsd", [(0, "redistribution and use in source and binary forms"), (12, "are permitted")]),
+    ("isc", [(0, "permission to use copy modify"), (7, "distribute this software")]),
+    ("gpl-notice", [(0, "this program is free software"), (5, "you can redistribute it"),
+                    (18, "gnu general public license")]),
+    ("lgpl", [(0, "gnu lesser general public license")]), ("agpl", [(0, "gnu affero general public license")]),
+    ("mpl-2.0", [(0, "mozilla public license")]), ("epl", [(0, "eclipse public license")]),
+    ("cc0", [(0, "cc0 1 0 universal")]), ("cc-by-sa", [(0, "cc by sa")]), ("cc-by-nc", [(0, "cc by nc")]),
+    ("cc-attribution", [(0, "creative commons attribution")]),
+    ("boost", [(0, "any person or organization obtaining a copy"), (13, "covered by this license")]),
+    ("zlib", [(0, "this software is provided as is without any express or implied"),
+              (12, "in no event will the authors be held liable")]),
+    ("unlicense", [(0, "free and unencumbered software"), (7, "public domain")]),
+]
+_BASE_LICENSES = ("cc-by", "gpl", "reserved")
+
+
 def _op5() -> str:
-    def at(offset: int, words: list[str]) -> str:
-        return " AND ".join(f"w[i + {offset + k + 1}] = '{x}'" for k, x in enumerate(words))
-
-    columns, names = [], []
-    for k, t in enumerate(op5_license._templates()):
-        test = " AND ".join(at(o, key) for o, key in t["keys"])
-        columns.append(f"list_filter(range(CAST(len(w) AS BIGINT) - {len(t['words']) - 1}), lambda i: {test}) AS t{k}")
-        names.append(t)
-    every = range(len(names))
-    base = " || ".join(f"t{k}" for k in every if names[k]["base"])
+    def at(offset: int, phrase: str) -> str:
+        return " AND ".join(f"w[i + {offset + k + 1}] = '{x}'" for k, x in enumerate(phrase.split()))
+
+    columns = []
+    for k, (_, keys) in enumerate(_LICENSES):
+        span = max(o + len(p.split()) for o, p in keys)
+        test = " AND ".join(at(o, p) for o, p in keys)
+        columns.append(f"list_filter(range(CAST(len(w) AS BIGINT) - {span - 1}), lambda i: {test}) AS t{k}")
+    every = range(len(_LICENSES))
+    base = " || ".join(f"t{k}" for k in every if _LICENSES[k][0] in _BASE_LICENSES)
     both = " || ".join(f"t{k}" for k in every)
 
     def labels(which) -> str:
-        cases = ", ".join(f"CASE WHEN len(t{k}) > 0 THEN '{names[k]['label']}' END" for k in every if which(names[k]))
+        cases = ", ".join(f"CASE WHEN len(t{k}) > 0 THEN '{_LICENSES[k][0]}' END" for k in every if which(_LICENSES[k][0]))
         return f"coalesce(array_to_string(list_sort(list_distinct(list_filter([{cases}], lambda x: x IS NOT NULL))), ','), '')"
 
     return rf"""
@@ -108,7 +127,7 @@ WITH words AS (
 found AS (SELECT doc_id, len(w) AS n, {', '.join(columns)} FROM words)
 SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len({base}) AS BIGINT) AS n_base,
        CAST(list_min({base}) AS BIGINT) AS first_word, CAST(list_max({base}) AS BIGINT) AS last_word,
-       {labels(lambda t: t['base'])} AS base_labels, {labels(lambda t: True)} AS labels,
+       {labels(lambda t: t in _BASE_LICENSES)} AS base_labels, {labels(lambda t: True)} AS labels,
        1.0::DOUBLE - pow(0.5::DOUBLE, len({both})) AS score
 FROM found"""
 

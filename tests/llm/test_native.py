@@ -39,8 +39,7 @@ def scan(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
 
     def places(template):
-        n = len(template["words"])
-        return [i for i in range(len(words) - n + 1)
+        return [i for i in range(len(words) - template["span"] + 1)
                 if all(words[i + o:i + o + len(k)] == k for o, k in template["keys"])]
 
     found = [(t, places(t)) for t in op5_license._templates()]
@@ -64,7 +63,7 @@ def test_license_scan(make_docs, edge_docs):
 
 
 def test_rarest_words_become_postings():
-    t = [{"words": ["the", "rare", "words", "the"]}]
+    t = [{"keys": [(0, ["the", "rare", "words", "the"])]}]
     assert op5_license.postings_of(t, {"the": 100, "rare": 1, "words": 5}) == [[("rare", 1), ("words", 2)]]
 
 
@@ -85,6 +84,23 @@ def test_only_key_phrases_decide(make_docs):
         assert rows(got, *names) == want
 
 
+def test_templates_hold_the_contract_and_their_own_texts(make_docs):
+    assert op5_license.BASE_PHRASES == [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
+    # a text is found by its own template, and its plan does not grow with their number
+    items = [(k, f"x {text}", "s") for k, (_, text, _) in enumerate(op5_license.TEMPLATES)]
+    got = {r.doc_id: r.labels.split(",") for r in op5_license.scan(make_docs(items)).collect()}
+    assert all(op5_license.TEMPLATES[k][0] in labels for k, labels in got.items())
+    assert "gpl" in got[next(k for k, t in enumerate(op5_license.TEMPLATES) if t[0] == "gpl-notice")]
+
+
+def test_many_places_of_one_word(make_docs):
+    """Long files full of indexed words are looked up in time near proportion to their length."""
+    texts = ["license public " * 30_000 + "general public license", "all rights " * 20_000 + "all rights reserved " * 2_000]
+    items = [(k, t, "s") for k, t in enumerate(texts)]
+    names = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    assert rows(op5_license.scan(make_docs(items)), *names) == sorted(((i, *scan(t)) for i, t, _ in items), key=repr)
+
+
 def test_sql_twins(spark):
     import duckdb
 
@@ -92,7 +108,7 @@ def test_sql_twins(spark):
     from lakeward.llm.queries import queries
 
     con, sf = duckdb.connect(), "/root/testdata/sf0.001"
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     for name, sql in oracle_sql().items():
         got = queries()[name](spark, sf)

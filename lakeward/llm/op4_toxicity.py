@@ -72,6 +72,11 @@ def symbol(c: str) -> str:
     return c if "a" <= c <= "z" else OTHER
 
 
+SYMBOLS = " abcdefghijklmnopqrstuvwxyz" + OTHER
+#: The number of every Latin-1 character's symbol.
+SYMBOL_NUMBER = np.array([SYMBOLS.index(symbol(chr(c))) if c != 32 else 0 for c in range(256)], np.int64)
+
+
 class CharacterModel:
     """Smoothed trigram costs from counts of (two symbols before, symbol)."""
 
@@ -175,6 +180,24 @@ def spaced_words(text: str, model: CharacterModel) -> Iterator[str]:
         yield from restore("".join(run.split()), model, spaced=True)
 
 
+def trigram_counts(words: dict[str, int]) -> dict[str, int]:
+    """How often each three symbols follow one another in words without signs, given how often each
+    word occurs; a word has two blanks before it and one behind."""
+    kept = [(w, n) for word, n in words.items() if PLAIN.fullmatch(w := EDGE.sub("", word))]
+    if not kept:
+        return {}
+    text = "".join([f"  {w} " for w, _ in kept])
+    at = SYMBOL_NUMBER[np.frombuffer(text.encode("latin-1", "replace"), np.uint8)]
+    length = np.array([len(w) + 3 for w, _ in kept])
+    times = np.repeat(np.array([n for _, n in kept], float), length)
+    ends = np.cumsum(length)
+    times[ends - 1] = times[ends - 2] = 0  # three symbols that would reach into the next word
+    size = len(SYMBOLS)
+    found = np.bincount((at[:-2] * size + at[1:-1]) * size + at[2:], times[:-2], size**3)
+    return {SYMBOLS[k // size**2] + SYMBOLS[k // size % size] + SYMBOLS[k % size]: int(found[k])
+            for k in np.flatnonzero(found).tolist()}
+
+
 def _trigrams(docs: DataFrame) -> dict[str, int]:
     """Trigram counts over all words of all documents: at most 28**3 numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,13 +205,7 @@ def _trigrams(docs: DataFrame) -> dict[str, int]:
             words: Counter = Counter()
             for text in batch.column("text").to_pylist():
                 words.update(text.lower().split())
-            counts: Counter = Counter()
-            for word, n in words.items():
-                word = EDGE.sub("", word)
-                if PLAIN.fullmatch(word):
-                    w = "  " + (word if word.isascii() else "".join(map(symbol, word))) + " "
-                    for k in range(len(w) - 2):
-                        counts[w[k:k + 3]] += n
+            counts = trigram_counts(words)
             yield pa.RecordBatch.from_pydict({"t": pa.array(list(counts), pa.string()),
                                               "n": pa.array(list(counts.values()), pa.int64())})
 

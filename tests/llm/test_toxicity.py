@@ -3,6 +3,7 @@ import math
 import random
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -189,3 +190,17 @@ def test_decision_list_against_a_plain_loop():
             left = [k for k in left if best not in rows_[k]]
         assert got == pytest.approx(want) and list(got) == list(want)
         assert rest == pytest.approx((sum(toxic[k] for k in left) + 0.5) / (len(left) + 1) if left else 0.5)
+
+
+def test_trigram_counts_against_a_plain_loop():
+    r = random.Random(23)
+    words = {"".join(r.choice("abzé日ßZ'1!-") for _ in range(r.randint(0, 7))): r.randint(1, 9) for _ in range(500)}
+    want = Counter()
+    for word, n in words.items():
+        word = op4.EDGE.sub("", word)
+        if op4.PLAIN.fullmatch(word):
+            w = "  " + "".join(map(op4.symbol, word)) + " "
+            for k in range(len(w) - 2):
+                want[w[k:k + 3]] += n
+    assert op4.trigram_counts(words) == want
+    assert op4.trigram_counts({}) == {} and op4.trigram_counts({"!!": 3}) == {}

@@ -96,7 +96,8 @@ def plain(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def with_shared_heads(conversations: DataFrame, every: int = 20, most: int = 4) -> tuple[DataFrame, DataFrame]:
     """As ``plain``, of conversations rebuilt on a shared head: conversation c gets the first h turns
-    of conversation c - c % every in place of its own first h; h = crc32(c as text) % most."""
+    of conversation c - c % every in place of its own first h; h = crc32(c as text) % most. The
+    remainder has c's sign, so negative ids share the heads of the multiple next to 0."""
     turns, counts = numbered(conversations)
     h = F.crc32(F.col("conv").cast("string")) % most
     own = counts.groupBy("conv").agg(F.sum("n").alias("n")).select(

@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import text_or_empty
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words: every ASCII character but digits and letters.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: Phrase and label.
 BASE_PHRASES: list[tuple[str, str]] = [
@@ -107,8 +108,12 @@ def _templates() -> list[dict]:
 
 
 def words_of(text: Column) -> Column:
-    """The text's words, lower-cased (for words without k this is the lower-casing of A-Z alone)."""
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    """The text's words, lower-cased (for words without k this is the lower-casing of A-Z alone).
+
+    Cutting at what is no word costs a fraction of searching for words; only the first and the last
+    piece can be empty.
+    """
+    return F.array_remove(F.split(F.lower(text), BETWEEN), "")
 
 
 def _literal(words) -> Column:

@@ -128,14 +128,16 @@ def _pairs_of(multiplicity):
 
 
 def name_groups(per_id: DataFrame) -> DataFrame:
-    """Per (block, name): rows ``n`` and ``same_name_pairs`` = pairs of rows with distinct ids.
+    """Per (block, name): rows ``n``, ``same_name_pairs`` = pairs of rows with distinct ids, and the
+    ``golden_id`` (see ``golden_ids``).
 
     ``(n^2 - sum over ids of m_id^2) / 2`` where ``m_id`` is the multiplicity of an id in the group.
     A hash aggregate with map-side partial aggregation; a hot group is pre-aggregated per task.
     """
     return per_id.groupBy(BLOCK, NAME).agg(
         F.sum("_m").alias("n"),
-        _pairs_of(F.col("_m")).alias("same_name_pairs"))
+        _pairs_of(F.col("_m")).alias("same_name_pairs"),
+        F.min(ID).alias("golden_id"))
 
 
 def block_pair_totals(per_id: DataFrame) -> DataFrame:
@@ -147,19 +149,24 @@ def block_pair_totals(per_id: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------------- candidate generation
 
-def fuzzy_candidates(names: DataFrame, medium: float, scorer: str = LEVENSHTEIN) -> DataFrame:
+def fuzzy_candidates(names: DataFrame, medium: float, scorer: str = LEVENSHTEIN, kept: list[str] = ()) -> DataFrame:
     """Distinct pairs (block, name_x, name_y), ``x != y``, that *may* reach ``medium``; exact filter.
 
     ``names`` has distinct non-NULL ``(borough_norm, zone_norm)``. Returns columns
-    ``borough_norm, zone_u, zone_v`` with ``zone_u < zone_v``. Bounds of ``medium``: above 0.1009 for
+    ``borough_norm, zone_u, zone_v`` with ``zone_u < zone_v``, and the columns ``kept`` of ``names``
+    as ``*_u`` and ``*_v``. Bounds of ``medium``: above 0.1009 for
     edit distance, above 0.7309 for Jaro-Winkler (below, names without anything in common qualify).
     """
     weight, bonus = gov.CONFIDENCE_WEIGHTS
     if scorer == LEVENSHTEIN:
-        found = edit_candidates(names, BLOCK, NAME, medium, weight, bonus)
+        found = edit_candidates(names, BLOCK, NAME, medium, weight, bonus, kept)
     else:
-        found = jaro_winkler_candidates(names, BLOCK, NAME, (medium - bonus) / weight - ROUNDING, medium / weight - ROUNDING)
-    return found.select(F.col("block").alias(BLOCK), F.least("x", "y").alias("zone_u"), F.greatest("x", "y").alias("zone_v"))
+        found = jaro_winkler_candidates(names, BLOCK, NAME, (medium - bonus) / weight - ROUNDING, medium / weight - ROUNDING, kept)
+    straight = F.col("x") < F.col("y")
+    return found.select(
+        F.col("block").alias(BLOCK), F.least("x", "y").alias("zone_u"), F.greatest("x", "y").alias("zone_v"),
+        *[F.when(straight, F.col(f"{c}_x")).otherwise(F.col(f"{c}_y")).alias(f"{c}_u") for c in kept],
+        *[F.when(straight, F.col(f"{c}_y")).otherwise(F.col(f"{c}_x")).alias(f"{c}_v") for c in kept])
 
 
 # --------------------------------------------------------------------------------- name pairs
@@ -176,35 +183,46 @@ def name_pair_scores(z: DataFrame, high: float = gov.HIGH_CONFIDENCE, medium: fl
     match_confidence, decision, pair_count. Same-name groups appear with ``zone_u = zone_v``.
     With ``actionable_only`` only pairs at or above ``medium`` are returned (the rest is REJECT).
     """
+    scores = _pair_scores(z, high, medium, per_id, scorer).drop("_id_u", "_id_v")
+    if actionable_only:
+        scores = scores.filter(F.col("match_confidence") >= F.lit(medium))
+    return scores
+
+
+def _pair_scores(z: DataFrame, high: float, medium: float, per_id: DataFrame | None, scorer: str = LEVENSHTEIN) -> DataFrame:
+    """``name_pair_scores`` with the golden ids ``_id_u`` and ``_id_v`` of the two names.
+
+    Pairs may be far more than names, so a name takes its rows and golden id along into the pair
+    instead of pairs being joined with names again.
+    """
     per_id = id_multiplicity(z) if per_id is None else per_id
     groups = name_groups(per_id)
     same = groups.filter(F.col("same_name_pairs") > 0).select(
-        BLOCK, F.col(NAME).alias("zone_u"), F.col(NAME).alias("zone_v"), F.col("same_name_pairs").alias("pair_count"))
+        BLOCK, F.col(NAME).alias("zone_u"), F.col(NAME).alias("zone_v"), F.col("same_name_pairs").alias("pair_count"),
+        F.col("golden_id").alias("_id_u"), F.col("golden_id").alias("_id_v"))
     same = _scored(same, "zone_u", "zone_v", high, medium, scorer)
 
-    names = groups.filter(F.col(NAME).isNotNull()).select(BLOCK, NAME, "n")
-    cand = fuzzy_candidates(names.select(BLOCK, NAME), medium, scorer)
+    names = groups.filter(F.col(NAME).isNotNull()).select(BLOCK, NAME, F.col("n").alias("_n"), F.col("golden_id").alias("_id"))
+    cand = fuzzy_candidates(names, medium, scorer, ["_n", "_id"])
     cand = _scored(cand, "zone_u", "zone_v", high, medium, scorer).filter(F.col("match_confidence") >= F.lit(medium))
-    # id pairs between two different names: n_u * n_v minus pairs of rows sharing one id,
-    # counted only for the verified candidates (work bounded by their ids, not by the block)
-    mu = per_id.select(BLOCK, F.col(NAME).alias("zone_u"), ID, F.col("_m").alias("_mu"))
-    mv = per_id.select(BLOCK, F.col(NAME).alias("zone_v"), ID, F.col("_m").alias("_mv"))
-    keys = cand.select(BLOCK, "zone_u", "zone_v")
+    # id pairs between two different names: n_u * n_v minus pairs of rows sharing one id. These come
+    # from ids under several names of a block only, and from the candidates among these names (work
+    # bounded by the ids of the candidates, not by the block)
+    several = per_id.filter(F.col(NAME).isNotNull()).groupBy(BLOCK, ID).agg(F.count(F.lit(1)).alias("_names")) \
+        .filter("_names > 1").select(BLOCK, ID)
+    multi = per_id.filter(F.col(NAME).isNotNull()).join(several, [BLOCK, ID], "left_semi")
+    mu = multi.select(BLOCK, F.col(NAME).alias("zone_u"), ID, F.col("_m").alias("_mu"))
+    mv = multi.select(BLOCK, F.col(NAME).alias("zone_v"), ID, F.col("_m").alias("_mv"))
+    keys = fuzzy_candidates(multi.select(BLOCK, NAME).distinct(), medium, scorer)
     shared = (keys.join(mu, [BLOCK, "zone_u"]).join(mv, [BLOCK, "zone_v", ID])
                   .groupBy(BLOCK, "zone_u", "zone_v").agg(F.sum(F.col("_mu") * F.col("_mv")).alias("_shared")))
-    nu = names.select(BLOCK, F.col(NAME).alias("zone_u"), F.col("n").alias("_nu"))
-    nv = names.select(BLOCK, F.col(NAME).alias("zone_v"), F.col("n").alias("_nv"))
-    fuzzy = (cand.join(nu, [BLOCK, "zone_u"]).join(nv, [BLOCK, "zone_v"])
-                 .join(shared, [BLOCK, "zone_u", "zone_v"], "left")
-                 .withColumn("pair_count", (F.col("_nu") * F.col("_nv") - F.coalesce("_shared", F.lit(0))).cast("long"))
+    fuzzy = (cand.join(shared, [BLOCK, "zone_u", "zone_v"], "left")
+                 .withColumn("pair_count", (F.col("_n_u") * F.col("_n_v") - F.coalesce("_shared", F.lit(0))).cast("long"))
                  .filter(F.col("pair_count") > 0))
     cols = [F.col(BLOCK).alias("borough"), "zone_u", "zone_v", "name_similarity",
             F.col("token_a").alias("token_u"), F.col("token_b").alias("token_v"),
-            "token_match", "match_confidence", "decision", "pair_count"]
-    out = same.select(*cols).unionByName(fuzzy.select(*cols))
-    if actionable_only:
-        out = out.filter(F.col("match_confidence") >= F.lit(medium))
-    return out
+            "token_match", "match_confidence", "decision", "pair_count", "_id_u", "_id_v"]
+    return same.select(*cols).unionByName(fuzzy.select(*cols))
 
 
 def golden_ids(per_id: DataFrame) -> DataFrame:
@@ -221,12 +239,15 @@ def match_decisions(z: DataFrame, high: float = gov.HIGH_CONFIDENCE, medium: flo
     Rows of one key are in ``auto_merge_members``.
     """
     per_id = id_multiplicity(z) if per_id is None else per_id
-    scores = name_pair_scores(z, high, medium, per_id=per_id) if scores is None else scores
-    ids = golden_ids(per_id)
-    pairs = scores.filter(F.col("zone_u") != F.col("zone_v"))
-    for side in ("u", "v"):
-        pairs = pairs.join(ids.select(F.col(BLOCK).alias("borough"), F.col(NAME).alias(f"zone_{side}"),
-                                      F.col("golden_id").alias(f"_id_{side}")), ["borough", f"zone_{side}"])
+    if scores is None:
+        pairs = _pair_scores(z, high, medium, per_id).filter(
+            (F.col("zone_u") != F.col("zone_v")) & (F.col("match_confidence") >= F.lit(medium)))
+    else:
+        ids = golden_ids(per_id)
+        pairs = scores.filter(F.col("zone_u") != F.col("zone_v"))
+        for side in ("u", "v"):
+            pairs = pairs.join(ids.select(F.col(BLOCK).alias("borough"), F.col(NAME).alias(f"zone_{side}"),
+                                          F.col("golden_id").alias(f"_id_{side}")), ["borough", f"zone_{side}"])
     ends = [F.struct(F.col(f"_id_{side}").alias("id"), F.col(f"zone_{side}").alias("zone"),
                      F.col(f"token_{side}").alias("token")) for side in ("u", "v")]
     pairs = pairs.withColumns({"_a": F.least(*ends), "_b": F.greatest(*ends)})

@@ -145,3 +145,17 @@ def test_golden_rows_of_other_column_names(spark):
         ("UNKNOWN", "Alpha One", None), ("UNKNOWN", "Alpha Onee", None)]
     queue = sw.queue_table(m.match_decisions(z, medium=0.7), golden).collect()
     assert [(q.borough, q.zone_name) for q in queue] == [("UNKNOWN", "Alpha Onee")]
+
+
+def test_numbered_names_are_compared_directly(spark, monkeypatch):
+    """Names that differ in a few digits have no rare piece: each pair of them is met once, not once a digit."""
+    numbered = [f"SUPPLIER {k:09d}" for k in range(0, 90_000, 300)]
+    other = [f"SUPPLIER {word} TRADING HOUSE" for word in ("ALPHA", "ALPHAS", "BRAVO", "CHARLIE")]
+    taken = []
+    direct = c._direct_pairs
+    monkeypatch.setattr(c, "_direct_pairs", lambda x, *rest: taken.append({r.x for r in x.collect()}) or direct(x, *rest))
+    got = pairs_of(m.fuzzy_candidates(names_of(spark, numbered + other), 0.8))
+    assert set(numbered) <= taken[0]
+    wanted = {(a, b) for a, b in itertools.combinations(sorted(numbered + other), 2)
+              if round(0.9 * round(1 - lev(a, b) / max(len(a), len(b)), 4) + 0.1, 4) >= 0.8}
+    assert wanted <= got and len(got - wanted) < 0.1 * len(wanted)

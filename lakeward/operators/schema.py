@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,9 +79,15 @@ def typed_ingest(raw: DataFrame, declared=gov.TRIP_SCHEMA) -> DataFrame:
         raise ValueError(f"evidence columns collide with input columns: {sorted(clash)}")
     source = {c: F.col(f"`{c}`") for c in raw.columns}
     typed = {c: source[c].try_cast(t) for c, t in kinds.items()}
-    bad = F.array_compact(F.array(*[
-        F.when(source[c].isNotNull() & typed[c].isNull(), F.struct(F.lit(c), source[c].cast("string"))) for c in kinds]))
-    return raw.select(*[typed.get(c, source[c]).alias(c) for c in raw.columns], F.map_from_entries(bad).alias("raw_values")) \
+    spoilt = {c: source[c].isNotNull() & typed[c].isNull() for c in kinds}
+    none = F.array().cast("array<struct<key:string,value:string>>")
+    # most rows convert: their evidence is the empty map, without a look at each column
+    bad = F.concat(none, *[
+        F.when(spoilt[c], F.array(F.struct(F.lit(c).alias("key"), source[c].cast("string").alias("value")))).otherwise(none)
+        for c in kinds])
+    evidence = F.when(reduce(operator.or_, spoilt.values(), F.lit(False)), F.map_from_entries(bad)).otherwise(
+        F.map_from_entries(none))
+    return raw.select(*[typed.get(c, source[c]).alias(c) for c in raw.columns], evidence.alias("raw_values")) \
         .withColumn("nonconforming", F.size("raw_values"))
 
 

@@ -47,7 +47,8 @@ from .common import slices, written
 from .op10_url_filter import host_of
 
 SALTS = 64
-#: Items kept per level of a wrapper, the most frequent first (bounds the model, not the pages).
+#: Items of a wrapper's level that a reader looks through; longer levels are looked up by key. A wrapper
+#: keeps every item, however many a level has.
 MOST_ITEMS = 64
 #: Pages with the element around it that are needed before a text may count as a label, and the
 #: share of them that must show it.
@@ -343,11 +344,7 @@ def align(x: list[list], y: list[list], same_page: bool) -> list[list]:
             merge(x[p], y[q], same_page)
             out.append(x[p])
         i, j = p + 1, q + 1
-    out = fold(out)
-    if len(out) > MOST_ITEMS:
-        often = set(map(id, sorted(out, key=lambda t: -t[PAGES])[:MOST_ITEMS]))
-        out = [t for t in out if id(t) in often]
-    return out
+    return fold(out)
 
 
 def checksum(text: str) -> int:
@@ -408,12 +405,17 @@ class Reader:
         self.root = wrapper or ["", 0, 0, 0, 0, None, [], None]
         self.holds: dict[int, bool] = {}
         self.varies: dict[int, int] = {}
+        self.places: dict[int, dict[str, list[int]]] = {}
         self._prepare(self.root)
         self.frame = self._frame()
 
     def _prepare(self, item: list) -> bool:
         tag, *names = item[KEY].split(" ")
         held = tag in ("article", "main") and DROP_NAMES.isdisjoint(names)
+        if len(item[ITEMS]) > MOST_ITEMS:
+            places = self.places[id(item)] = {}
+            for k, child in enumerate(item[ITEMS]):
+                places.setdefault(child[KEY], []).append(k)
         for child in item[ITEMS]:
             held |= self._prepare(child)
         self.holds[id(item)] = held
@@ -467,12 +469,17 @@ class Reader:
                 and around[PAGES] >= LABEL_PAGES and item[PAGES] >= LABEL_SHARE * around[PAGES]
                 and item[CONSTANT] == checksum(text.strip()))
 
-    @staticmethod
-    def _next(item: list | None, cursor: int, key: str) -> tuple[list | None, int]:
+    def _next(self, item: list | None, cursor: int, key: str) -> tuple[list | None, int]:
         """The wrapper's item for a page's next token under ``item``."""
         if item is None:
             return None, cursor
         items = item[ITEMS]
+        if len(items) > MOST_ITEMS:
+            if not (found := self.places[id(item)].get(key)):
+                return None, cursor
+            at = bisect_left(found, cursor)
+            k = found[at if at < len(found) else 0]
+            return items[k], k
         for k in range(cursor, len(items)):
             if items[k][KEY] == key:
                 return items[k], k

@@ -184,3 +184,17 @@ def test_matches_are_a_common_subsequence(monkeypatch):
             assert all(a < c and b < d for (a, b), (c, d) in zip(got, got[1:]))
             if cells == 10_000:
                 assert len(got) == len(op1._common(x, y))
+
+
+def test_a_level_keeps_every_item():
+    """Labels beyond the items that a reader looks through are found like the others."""
+    many = 3 * op1.MOST_ITEMS
+    slug = lambda k: "".join(chr(97 + int(c)) for c in f"{k:04d}")
+    page = lambda n, skip: "<body>" + "".join(
+        f"<div class='z{slug(k)}'>Label {k}</div>" for k in range(many) if k != skip) + f"<p>Text {n}</p></body>"
+    pages = [page(n, 10 * n) for n in range(2 * op1.LABEL_PAGES)]
+    whole = op1.expression(pages[0])
+    for html in pages[1:]:
+        whole = op1.combined(whole, op1.expression(html))
+    read = op1.Reader(json.loads(json.dumps(whole))).text
+    assert [read(html) for html in pages] == [f"Text {n}" for n in range(len(pages))]
